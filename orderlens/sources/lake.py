@@ -5,25 +5,35 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.functions import calendar
+from orderlens.schemas import SILVER
 
 FORMAT = "parquet"
 
 
-def write_bronze(tables: Mapping[str, DataFrame], folder: str, fmt: str = FORMAT) -> None:
-    """Replace each Bronze table; orders are stored by purchase month."""
+def write_bronze(
+    tables: Mapping[str, DataFrame], folder: str, splits_per_month: int = 16, fmt: str = FORMAT
+) -> dict[str, int]:
+    """Replace each Bronze table and return its row count, taken while writing.
+
+    Orders are stored by purchase month, each month spread over ``splits_per_month`` tasks
+    by a hash of the order: no month, however large, is written by one task.
+    """
+    counts = {}
     for table, df in tables.items():
+        seen = Observation(table)
+        df = df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
         if table == "orders":
-            df = df.withColumn("purchase_ym", calendar.year_month())
-            # One shuffle by month and a hash of the order, so that no month, however
-            # large, is written by one task, and no task writes many small months.
-            df = df.repartition("purchase_ym", F.pmod(F.xxhash64("order_id"), F.lit(16)))
+            split = F.pmod(F.xxhash64("order_id"), F.lit(splits_per_month))
+            df = df.withColumn("purchase_ym", calendar.year_month()).repartition("purchase_ym", split)
             df.write.format(fmt).mode("overwrite").partitionBy("purchase_ym").save(f"{folder}/{table}")
         else:
             full_refresh(df, f"{folder}/{table}", fmt)
+        counts[table] = seen.get["n_rows"]
+    return counts
 
 
 def full_refresh(df: DataFrame, path: str, fmt: str = FORMAT) -> None:
@@ -52,7 +62,7 @@ def write_silver(df: DataFrame, path: str, splits_per_month: int = 16, fmt: str
 
 def read_silver(spark: SparkSession, path: str, keep: bool = False, fmt: str = FORMAT) -> DataFrame:
     """Silver; ``keep`` holds it on the executors for the seven KPI tables (unpersist when done)."""
-    df = spark.read.format(fmt).load(path)
+    df = spark.read.format(fmt).load(path).select(*SILVER)
     return df.persist(StorageLevel.MEMORY_AND_DISK) if keep else df
 
 
