@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.functions.measures import half_up
 from orderlens.schemas import CONTRACTS
 
 UNKNOWN = "unknown"
@@ -22,7 +23,7 @@ def _conform(name: str, kind: str) -> Column:
         return value
     if kind.startswith("decimal"):
         digits = int(kind.split(",")[1][:-1])
-        return F.round(F.col(name), digits).try_cast(kind)
+        return half_up(F.col(name).cast("double"), digits).try_cast(kind)
     return F.col(name).try_cast(kind)
 
 
