@@ -141,6 +141,78 @@ def gold_tables(
     }
 
 
+GROUPINGS = {
+    "late_rate_by_state": BY_STATE.keys,
+    "late_rate_by_category": BY_CATEGORY.keys,
+    "seller_performance": BY_SELLER.keys,
+    "cross_state_impact": BY_CROSSING.keys,
+    "delay_review_impact": ("is_late",),
+    "monthly_trend": BY_MONTH.keys,
+    "weekday_pattern": BY_WEEKDAY.keys,
+}
+GROUP_COLUMNS = tuple(column for keys in GROUPINGS.values() for column in keys)
+
+
+def gold_in_one_pass(
+    silver: DataFrame, settings: Settings = DEFAULTS, stage: Callable[[DataFrame], DataFrame] = staged
+) -> dict[str, DataFrame]:
+    """The same seven tables from a single read of Silver.
+
+    One aggregation over seven grouping sets, combined before its shuffle, holds every
+    total; it has one row per state, category, seller and so on, is staged, and each
+    table picks its own rows from it.
+    """
+    measured = silver.select(
+        *GROUP_COLUMNS,
+        F.col("is_late").alias("_late"),
+        "delivery_days",
+        "review_score",
+        "total_price",
+        bad_review(settings).alias("_bad"),
+    )
+    sets = [[F.col(c) for c in keys] for keys in GROUPINGS.values()]
+    grouped = measured.groupingSets(sets, *[F.col(c) for c in GROUP_COLUMNS]).agg(
+        F.grouping_id(*GROUP_COLUMNS).alias("_grouping"),
+        F.count("*").alias("_orders"),
+        count_of(F.col("_late")).alias("late_orders"),
+        F.count("review_score").alias("_reviewed"),
+        F.sum("_bad").alias("bad_reviews"),
+        mean("delivery_days").alias("avg_delivery_days"),
+        mean("review_score").alias("avg_review_score"),
+        mean("total_price").alias("avg_order_value"),
+    )
+    totals = stage(grouped)
+
+    def rows(table: str, count: str = "_orders") -> DataFrame:
+        # A set bit in the grouping id marks a column that is not grouped by.
+        bits = ["0" if c in GROUPINGS[table] else "1" for c in GROUP_COLUMNS]
+        picked = totals.where(F.col("_grouping") == int("".join(bits), 2))
+        return picked.withColumn("total_orders", F.col(count))
+
+    def rates(table: str, *shown: Column | str) -> DataFrame:
+        rate = percent("late_orders", "total_orders").alias("late_rate_pct")
+        return rows(table).select(*GROUPINGS[table], "total_orders", "late_orders", *shown, rate)
+
+    by_category = rates("late_rate_by_category", F.col("avg_order_value").alias("avg_price"), "avg_review_score")
+    by_seller = rates("seller_performance", "avg_delivery_days", "avg_review_score", "avg_order_value")
+    reviewed = rows("delay_review_impact", "_reviewed").where("total_orders > 0")
+    return {
+        "late_rate_by_state": rates("late_rate_by_state", "avg_delivery_days", "avg_review_score"),
+        "late_rate_by_category": min_support(by_category, settings.min_group_orders),
+        "seller_performance": rank_topn(by_seller, "total_orders", settings.top_sellers, "seller_rank"),
+        "cross_state_impact": rates("cross_state_impact", "avg_delivery_days", "avg_review_score"),
+        "delay_review_impact": reviewed.select(
+            "is_late",
+            "total_orders",
+            "avg_review_score",
+            "bad_reviews",
+            percent("bad_reviews", "total_orders").alias("bad_review_rate_pct"),
+        ),
+        "monthly_trend": rates("monthly_trend", "avg_order_value", "avg_review_score"),
+        "weekday_pattern": rates("weekday_pattern", "avg_delivery_days"),
+    }
+
+
 def sort_rate_desc(kpi: DataFrame, key: str) -> DataFrame:
     """Highest late rate first, ties by key."""
     return kpi.orderBy(F.desc("late_rate_pct"), F.asc_nulls_last(key))

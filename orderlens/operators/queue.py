@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,16 +12,38 @@ from orderlens.functions import calendar
 from orderlens.functions.measures import count_of, half_up
 from orderlens.functions.risk import PRIORITIES, feature_columns, reward, risk_level, risk_to_action
 from orderlens.operators import cleaning, silver
+from orderlens.session import staged
+
+# Candidates looked at per recent order wanted.
+OVERSCAN = 25
 
 
 def having_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     return orders.join(items.select("order_id"), "order_id", "left_semi")
 
 
-def recent_orders(orders: DataFrame, items: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """The latest orders, of any status, that have items."""
+def recent_orders(
+    orders: DataFrame,
+    items: DataFrame,
+    settings: Settings = DEFAULTS,
+    stage: Callable[[DataFrame], DataFrame] = staged,
+) -> DataFrame:
+    """The latest orders, of any status, that have items.
+
+    A multiple of the latest orders, bounded by its limit, is looked up in the items by
+    broadcast, which scans one column of the items and shuffles none. Only if too few of
+    them have items is the whole order table joined.
+    """
     newest = [F.desc_nulls_last(calendar.BOUGHT), F.asc("order_id")]
-    return having_items(orders, items).orderBy(*newest).limit(settings.recent_orders)
+    wanted = settings.recent_orders
+    candidates = stage(orders.orderBy(*newest).limit(wanted * OVERSCAN))
+    ids = F.broadcast(candidates.select("order_id"))
+    present = items.join(ids, "order_id", "left_semi").select("order_id").distinct()
+    found = stage(candidates.join(present, "order_id", "left_semi").orderBy(*newest).limit(wanted))
+    # With fewer candidates than asked for, the candidates are all the orders there are.
+    if found.count() == wanted or candidates.count() < wanted * OVERSCAN:
+        return found
+    return having_items(orders, items).orderBy(*newest).limit(wanted)
 
 
 def payloads(

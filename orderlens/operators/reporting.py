@@ -1,10 +1,10 @@
-"""Reporting views and the five validation questions, as SQL over the KPI tables."""
+"""Reporting views and the five validation questions over the KPI tables."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.config import DEFAULTS, Settings
@@ -41,21 +41,23 @@ def reliable_sellers(sellers: DataFrame, settings: Settings = DEFAULTS) -> DataF
     )
 
 
+def late_label(flag: str = "is_late") -> Column:
+    return F.when(F.col(flag), "En retard").otherwise("A l'heure")
+
+
+def crossing_label(flag: str = "cross_state_delivery") -> Column:
+    return F.when(F.col(flag), "Inter-etats").otherwise("Meme etat")
+
+
 def review_by_lateness(impact: DataFrame) -> DataFrame:
-    return impact.selectExpr(
-        "CASE WHEN is_late THEN 'En retard' ELSE 'A l''heure' END AS statut",
-        "total_orders",
-        "avg_review_score",
-        "bad_review_rate_pct",
+    return impact.select(
+        late_label().alias("statut"), "total_orders", "avg_review_score", "bad_review_rate_pct"
     )
 
 
 def cross_vs_same_state(impact: DataFrame) -> DataFrame:
-    return impact.selectExpr(
-        "CASE WHEN cross_state_delivery THEN 'Inter-etats' ELSE 'Meme etat' END AS type_livraison",
-        "total_orders",
-        "late_rate_pct",
-        "avg_delivery_days",
+    return impact.select(
+        crossing_label().alias("type_livraison"), "total_orders", "late_rate_pct", "avg_delivery_days"
     )
 
 

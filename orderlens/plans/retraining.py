@@ -48,10 +48,9 @@ def monthly_job(
     lakehouse: str,
     params: model.TreeParams = model.MONTHLY,
     settings: Settings = DEFAULTS,
-    splits_per_month: int = 16,
 ) -> MonthlyRun:
     """From stored Bronze on. The model is saved if it passes the gate; monitoring runs either way."""
-    quality = medallion.refine(spark, lakehouse, settings, splits_per_month)
+    quality = medallion.refine(spark, lakehouse, settings)
     gold = medallion.publish(spark, lakehouse, settings)
     silver = lake.read_silver(spark, f"{lakehouse}/silver/orders_consolidated")
     training = train_and_evaluate(silver, params, settings)

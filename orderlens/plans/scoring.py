@@ -17,6 +17,6 @@ def order_queue(model: PipelineModel, tables: Mapping[str, DataFrame], settings:
     """The ``queue_length`` riskiest of the ``recent_orders`` latest orders."""
     latest = queue.recent_orders(tables["orders"], tables["order_items"], settings)
     # A handful of rows used on two sides of a join: written once.
-    waiting = staged(queue.payloads(staged(latest), tables, settings, chosen=True))
+    waiting = staged(queue.payloads(latest, tables, settings, chosen=True))
     scores = models.score_batch(model, waiting, settings)
     return queue.priority_queue(queue.scores_to_orders(scores, waiting), settings)

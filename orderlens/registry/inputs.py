@@ -22,8 +22,8 @@ class Inputs:
         self.folder = folder
 
     @cached_property
-    def tables(self) -> dict[str, DataFrame]:
-        return retail.read_tables(self.spark, self.folder)
+    def tables(self) -> retail.RetailTables:
+        return retail.RetailTables(self.spark, self.folder)
 
     def __getitem__(self, table: str) -> DataFrame:
         return self.tables[table]

@@ -359,6 +359,7 @@ _WITH_PRELUDE: dict[str, str] = {
             "customers": "m_customers",
             "sellers": "m_sellers",
             "products": "m_products",
+            "category_translation": "m_translation",
         }
     ),
     "s05_s06_bronze_round_trip": "SELECT strftime(bought, '%Y-%m') AS purchase_ym, count(*) AS n_orders FROM m_orders GROUP BY 1",
@@ -418,8 +419,9 @@ _WITH_PRELUDE: dict[str, str] = {
     "p21_p22_risk_to_action": RISK,
     "p23_short_id": """SELECT review_id, review_id || '-' || order_id || '-' || review_id AS long_id,
         left(review_id || '-' || order_id || '-' || review_id, 10) AS short_id FROM m_reviews""",
-    "p24_label_case": """SELECT CASE WHEN is_late THEN 'En retard' ELSE 'A l''heure' END AS statut, count(*) AS n_orders
-        FROM silver GROUP BY 1""",
+    "p24_label_case": """SELECT CASE WHEN is_late THEN 'En retard' ELSE 'A l''heure' END AS statut,
+        CASE WHEN cross_state_delivery THEN 'Inter-etats' ELSE 'Meme etat' END AS type_livraison, count(*) AS n_orders
+        FROM silver GROUP BY 1, 2""",
     "p25_risk_badge": f"SELECT order_id, {_BY_PCT['text']} AS text, {_BY_PCT['badge']} AS color FROM ({RISK})",
     "p26_year_month_key": "SELECT order_id, strftime(bought, '%Y-%m') AS purchase_ym FROM m_orders",
     "p27_period_split": PERIODS + "SELECT order_id, purchase_year, period FROM periods",
@@ -464,6 +466,18 @@ _WITH_PRELUDE: dict[str, str] = {
     "a10_delay_review_impact": BY_LATENESS,
     "a11_monthly_trend": BY_MONTH,
     "a12_weekday_pattern": BY_WEEKDAY,
+    "a06_a12_gold_one_pass": " UNION ALL ".join(
+        f"SELECT '{kpi}' AS kpi, {key} AS key, total_orders, {rate} AS rate_pct FROM ({source})"
+        for kpi, source, key, rate in (
+            ("late_rate_by_state", BY_STATE, "customer_state", "late_rate_pct"),
+            ("late_rate_by_category", BY_CATEGORY, "coalesce(product_category_name_english, '?')", "late_rate_pct"),
+            ("seller_performance", TOP_SELLERS, "main_seller_id || '/' || seller_state", "late_rate_pct"),
+            ("cross_state_impact", BY_CROSSING, "CAST(cross_state_delivery AS VARCHAR)", "late_rate_pct"),
+            ("delay_review_impact", BY_LATENESS, "CAST(is_late AS VARCHAR)", "bad_review_rate_pct"),
+            ("monthly_trend", BY_MONTH, "purchase_year || '/' || purchase_month", "late_rate_pct"),
+            ("weekday_pattern", BY_WEEKDAY, "CAST(purchase_weekday AS VARCHAR)", "late_rate_pct"),
+        )
+    ),
     "a13_executive_dashboard": DASHBOARD,
     "a14_quality_report": f"""
         SELECT count(*) AS total_orders, {_round("CAST(count(*) FILTER (WHERE is_late) AS DOUBLE) / count(*)", 4)} AS late_share,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ def _(x: Inputs) -> DataFrame:
 
 @query("s04_ingest_all")
 def _(x: Inputs) -> DataFrame:
-    return landing.ingest_counts({k: v for k, v in x.tables.items() if k != "category_translation"})
+    return landing.ingest_counts(x.tables)
 
 
 @query("s01_s14_csv_round_trip")
@@ -66,7 +67,7 @@ def _(x: Inputs) -> DataFrame:
 @query("s05_s06_bronze_round_trip")
 def _(x: Inputs) -> DataFrame:
     path = scratch_path(x.spark, "bronze")
-    lake.write_bronze({"orders": x["orders"]}, path, splits_per_month=1)
+    lake.write_bronze({"orders": x["orders"]}, path)
     rows = lake.read_bronze(x.spark, path, "orders")
     return rows.groupBy("purchase_ym").agg(F.count("*").alias("n_orders"))
 
@@ -74,7 +75,7 @@ def _(x: Inputs) -> DataFrame:
 @query("s07_s08_silver_round_trip")
 def _(x: Inputs) -> DataFrame:
     path = scratch_path(x.spark, "silver")
-    lake.write_silver(x.silver, path, splits_per_month=1)
+    lake.write_silver(x.silver, path)
     return lake.read_silver(x.spark, path)
 
 
@@ -254,9 +255,9 @@ def _(x: Inputs) -> DataFrame:
 
 @query("p24_label_case")
 def _(x: Inputs) -> DataFrame:
-    labelled = x.silver.select("is_late", F.lit(1).alias("total_orders"), F.lit(None).alias("avg_review_score"),
-                               F.lit(None).alias("bad_review_rate_pct"))
-    return reporting.review_by_lateness(labelled).groupBy("statut").agg(F.count("*").alias("n_orders"))
+    labels = x.silver.select("order_id", reporting.late_label().alias("statut"),
+                             reporting.crossing_label().alias("type_livraison"))
+    return labels.groupBy("statut", "type_livraison").agg(F.count("*").alias("n_orders"))
 
 
 @query("p25_risk_badge")
@@ -458,6 +459,19 @@ def _(x: Inputs) -> DataFrame:
     return landing.ingest_counts({n: x.spark.read.parquet(f"{x.folder}/{n}.parquet") for n in names})
 
 
+@query("a06_a12_gold_one_pass")
+def _(x: Inputs) -> DataFrame:
+    # All seven tables from one aggregation, in a common shape.
+    parts = []
+    for name, table in kpis.gold_in_one_pass(x.silver, SETTINGS).items():
+        keys = [c for c in table.columns if c in kpis.GROUP_COLUMNS]
+        group = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("?")) for k in keys])
+        rate = [c for c in table.columns if c.endswith("_rate_pct")][0]
+        parts.append(table.select(F.lit(name).alias("kpi"), group.alias("key"), "total_orders",
+                                  F.col(rate).alias("rate_pct")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ---- windows, sorts, limits ---------------------------------------------------------
 
 
@@ -736,8 +750,8 @@ def _(x: Inputs) -> DataFrame:
 @query("d06_monthly_job")
 def _(x: Inputs) -> DataFrame:
     home = scratch_path(x.spark, "month")
-    lake.write_bronze(x.tables, f"{home}/bronze", splits_per_month=1)
-    run = retraining.monthly_job(x.spark, home, QUICK, SETTINGS, splits_per_month=1)
+    lake.write_bronze(x.tables, f"{home}/bronze")
+    run = retraining.monthly_job(x.spark, home, QUICK, SETTINGS)
     return _flat_summary(run.monitoring["summary"])
 
 

@@ -15,6 +15,17 @@ RUNTIME = {
     # third of the rows: let AQE split it even where that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Dimensions up to this size are broadcast instead of shuffling the orders; beyond it
+    # the same joins shuffle.
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+}
+
+
+# For sessions built here: the Python call site of every column expression is for
+# notebooks and costs a job its start-up time.
+AT_START = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -22,7 +33,7 @@ def build_session(app: str = "orderlens", master: str | None = None, **conf: str
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME, **conf}.items():
+    for key, value in {**RUNTIME, **AT_START, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -35,21 +46,36 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode.
+
+    Checkpoints of iterative jobs go there too."""
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="orderlens-"))
-    return context.getCheckpointDir().rstrip("/")
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="orderlens-"))
+    return (named or context.getCheckpointDir()).rstrip("/")
+
+
+def scratch_home(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/orderlens/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/orderlens/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_home(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application staged. Call it when no result still reads from there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(scratch_home(spark))
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:

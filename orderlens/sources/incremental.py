@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.functions.calendar import BOUGHT
+from orderlens.session import path_exists
 
 
 def new_rows(source: DataFrame, target: DataFrame, cursor: str = BOUGHT, key: str = "order_id") -> DataFrame:
@@ -15,8 +16,10 @@ def new_rows(source: DataFrame, target: DataFrame, cursor: str = BOUGHT, key: st
     and makes a repeated run add nothing. Only target rows at the cursor value can clash,
     so the anti-join sees that slice alone, not the whole target.
     """
-    mark = target.agg(F.max(cursor)).scalar()
-    fresh = source.where(F.coalesce(F.col(cursor) >= mark, mark.isNull()))
+    first = F.lit("0001-01-01").cast(target.schema[cursor].dataType)
+    mark = target.agg(F.coalesce(F.max(cursor), first)).scalar()
+    # Plain comparisons with the mark, so both scans can skip older row groups.
+    fresh = source.where(F.col(cursor) >= mark)
     at_mark = target.where(F.col(cursor) == mark).select(key)
     return fresh.join(at_mark, key, "left_anti")
 
@@ -25,11 +28,6 @@ def append_new(
     spark: SparkSession, source: DataFrame, path: str, cursor: str = BOUGHT, key: str = "order_id", fmt: str = "parquet"
 ) -> None:
     """Append to a stored table, creating it on the first run."""
-    target = spark.read.schema(source.schema).format(fmt).load(path) if _exists(spark, path) else None
+    target = spark.read.schema(source.schema).format(fmt).load(path) if path_exists(spark, path) else None
     rows = source if target is None else new_rows(source, target, cursor, key)
     rows.write.format(fmt).mode("append").save(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)

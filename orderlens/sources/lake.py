@@ -14,22 +14,22 @@ from orderlens.schemas import SILVER
 FORMAT = "parquet"
 
 
-def write_bronze(
-    tables: Mapping[str, DataFrame], folder: str, splits_per_month: int = 16, fmt: str = FORMAT
-) -> dict[str, int]:
-    """Replace each Bronze table and return its row count, taken while writing.
-
-    Orders are stored by purchase month, each month spread over ``splits_per_month`` tasks
-    by a hash of the order: no month, however large, is written by one task.
-    """
+def _by_partition(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows gathered by storage partition. Rebalancing lets AQE split a partition that
+    outgrows the advisory size (a month may hold a third of all orders) and merge small ones."""
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
+def write_bronze(tables: Mapping[str, DataFrame], folder: str, fmt: str = FORMAT) -> dict[str, int]:
+    """Replace each Bronze table, orders stored by purchase month, and return the row
+    counts, taken while writing."""
     counts = {}
     for table, df in tables.items():
         seen = Observation(table)
         df = df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
         if table == "orders":
-            split = F.pmod(F.xxhash64("order_id"), F.lit(splits_per_month))
-            df = df.withColumn("purchase_ym", calendar.year_month()).repartition("purchase_ym", split)
-            df.write.format(fmt).mode("overwrite").partitionBy("purchase_ym").save(f"{folder}/{table}")
+            months = _by_partition(df.withColumn("purchase_ym", calendar.year_month()), "purchase_ym")
+            months.write.format(fmt).mode("overwrite").partitionBy("purchase_ym").save(f"{folder}/{table}")
         else:
             full_refresh(df, f"{folder}/{table}", fmt)
         counts[table] = seen.get["n_rows"]
@@ -44,20 +44,10 @@ def read_bronze(spark: SparkSession, folder: str, table: str, fmt: str = FORMAT)
     return spark.read.format(fmt).load(f"{folder}/{table}")
 
 
-def write_silver(df: DataFrame, path: str, splits_per_month: int = 16, fmt: str = FORMAT) -> None:
-    """Replace Silver, stored by year and month.
-
-    Each month is spread over ``splits_per_month`` tasks by a hash of the order: a
-    month holding a third of all orders does not end in one task.
-    """
-    split = F.pmod(F.xxhash64("order_id"), F.lit(splits_per_month))
-    (
-        df.repartition("purchase_year", "purchase_month", split)
-        .write.format(fmt)
-        .mode("overwrite")
-        .partitionBy("purchase_year", "purchase_month")
-        .save(path)
-    )
+def write_silver(df: DataFrame, path: str, fmt: str = FORMAT) -> None:
+    """Replace Silver, stored by year and month."""
+    months = ("purchase_year", "purchase_month")
+    _by_partition(df, *months).write.format(fmt).mode("overwrite").partitionBy(*months).save(path)
 
 
 def read_silver(spark: SparkSession, path: str, keep: bool = False, fmt: str = FORMAT) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,14 +78,35 @@ def read_pruned(spark: SparkSession, path: str, columns: list[str], fmt: str = "
     return spark.read.format(fmt).load(path).select(*columns)
 
 
+def _order_bodies(raw: DataFrame, body: str) -> DataFrame:
+    batch = T.StructType(
+        [
+            *schemas.PAYLOAD.fields,
+            T.StructField("orders", T.ArrayType(schemas.PAYLOAD)),
+            T.StructField(CORRUPT, T.StringType()),
+        ]
+    )
+    parsed = F.from_json(body, batch, {"columnNameOfCorruptRecord": CORRUPT})
+    return raw.select(F.col(body).alias("text"), parsed.alias("body"))
+
+
+def _readable() -> Column:
+    return F.col("text").isNotNull() & F.col(f"body.{CORRUPT}").isNull() & ~F.col("text").rlike(r"^\s*(\{\s*\})?\s*$")
+
+
 def parse_order_json(raw: DataFrame, body: str = "value") -> DataFrame:
     """One row per order from JSON text holding one order, or a list under ``orders``.
 
-    Fields outside the payload schema are dropped; absent ones are null.
+    Fields outside the payload schema are dropped; absent ones are null. Empty and
+    malformed bodies are left out, see ``rejected_order_json``.
     """
-    batch = T.StructType([*schemas.PAYLOAD.fields, T.StructField("orders", T.ArrayType(schemas.PAYLOAD))])
     names = schemas.PAYLOAD.fieldNames()
-    parsed = raw.select(F.from_json(body, batch).alias("body")).where("body IS NOT NULL")
     one = F.struct(*[F.col(f"body.{n}").alias(n) for n in names])
-    rows = parsed.select(F.explode(F.coalesce("body.orders", F.array(one))).alias("o"))
+    listed = F.coalesce("body.orders", F.array(one))
+    rows = _order_bodies(raw, body).where(_readable()).select(F.explode(listed).alias("o"))
     return rows.select("o.*").withColumn("order_id", F.coalesce("order_id", F.lit("unknown")))
+
+
+def rejected_order_json(raw: DataFrame, body: str = "value") -> DataFrame:
+    """Bodies that hold no order: null, blank, empty object, not JSON, or of a wrong type."""
+    return _order_bodies(raw, body).where(~_readable()).select(F.col("text").alias(body))

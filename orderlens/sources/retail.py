@@ -6,7 +6,9 @@ columns: line items stand in for items and payments, events for reviews.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.config import DEFAULTS
@@ -31,127 +33,120 @@ TRANSLATION = {
 PROMISED_DAYS = 180
 
 
-def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All eight tables, lazily."""
-
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-
-    lines = table("lineitem")
-    nations = table("nation").select("n_nationkey", "n_name")
-    tables = {
-        "orders": _orders(table("orders"), lines),
-        "order_items": _items(lines),
-        "payments": _payments(lines),
-        "reviews": _reviews(table("events")),
-        "customers": _customers(table("customer"), nations),
-        "sellers": _sellers(table("supplier"), nations),
-        "products": _products(table("part")),
-        "category_translation": _translation(spark),
-    }
-    return {name: _fit(df, name) for name, df in tables.items()}
-
-
-def _fit(df: DataFrame, name: str) -> DataFrame:
-    """Declared columns in order, missing ones null."""
-    have = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in SOURCES[name].fields
-        ]
-    )
-
-
-def _key(column: str) -> Column:
-    return F.col(column).cast("string")
-
-
-def _plus_hours(day: Column, hours: Column) -> Column:
-    return F.timestamp_add("HOUR", hours.cast("int"), day.cast("timestamp"))
-
-
-def _orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    # Delivery is the first shipment not before the order. An order's distinct ship days
-    # are bounded by the calendar, so the set stays small even for an order that holds a
-    # large share of all lines, and it is built before the shuffle.
-    ships = lines.groupBy(_key("l_orderkey").alias("order_id")).agg(
-        F.collect_set(F.col("l_shipdate").cast("date")).alias("days")
-    )
-    ordered = F.col("o_orderdate").cast("date")
-    first_ship = F.array_min(F.filter("days", lambda day: day >= ordered))
-    return (
-        orders.withColumn("order_id", _key("o_orderkey"))
-        .join(ships, "order_id", "left")
-        .select(
-            "order_id",
-            _key("o_custkey").alias("customer_id"),
-            F.when(F.col("o_orderstatus") == "P", "shipped").otherwise("delivered").alias("order_status"),
-            _plus_hours(F.col("o_orderdate"), F.col("o_orderkey") % 24).alias("order_purchase_timestamp"),
-            _plus_hours(first_ship, F.col("o_orderkey") % 7).alias("order_delivered_customer_date"),
-            F.date_add("o_orderdate", PROMISED_DAYS).cast("timestamp").alias("order_estimated_delivery_date"),
-        )
-    )
-
-
-def _items(lines: DataFrame) -> DataFrame:
-    return lines.select(
-        _key("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        _key("l_partkey").alias("product_id"),
-        _key("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        F.col("l_extendedprice").alias("price"),
-        (F.col("l_extendedprice") * F.col("l_tax")).alias("freight_value"),
-    )
-
-
-def _payments(lines: DataFrame) -> DataFrame:
-    return lines.select(
-        _key("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("payment_sequential"),
-        F.col("l_returnflag").alias("payment_type"),
-        F.col("l_linenumber").alias("payment_installments"),
-        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("payment_value"),
-    )
+# Declared, so that opening a table costs no look into its files; only columns used here.
+RAW = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double, "
+    "l_discount double, l_tax double, l_returnflag string, l_shipdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_type string, p_size int",
+    "events": "event_id bigint, ts timestamp_ntz, value double",
+}
 
 
-def _reviews(events: DataFrame) -> DataFrame:
+class RetailTables(Mapping):
+    """The eight tables by name, each built when asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+
+    def raw(self, name: str) -> DataFrame:
+        return self.spark.read.schema(RAW[name]).parquet(f"{self.folder}/{name}.parquet")
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name == "category_translation":
+            return _translation(self.spark)
+        return _fit(self._source(name), name)
+
+    def _source(self, name: str) -> DataFrame:
+        if name == "orders":
+            return _with_first_ship(self.raw("orders"), self.raw("lineitem"))
+        if name in ("order_items", "payments"):
+            return self.raw("lineitem")
+        if name == "reviews":
+            return self.raw("events")
+        if name == "products":
+            return self.raw("part")
+        people, nation_key = ("customer", "c_nationkey") if name == "customers" else ("supplier", "s_nationkey")
+        nations = self.raw("nation")
+        people = self.raw(people)
+        return people.join(nations, people[nation_key] == nations["n_nationkey"], "left")
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(SOURCES)
+
+    def __len__(self) -> int:
+        return len(SOURCES)
+
+
+# How each declared column is derived; columns not named are null.
+DERIVED = {
+    "orders": {
+        "order_id": "order_id",
+        "customer_id": "o_custkey",
+        "order_status": "CASE WHEN o_orderstatus = 'P' THEN 'shipped' ELSE 'delivered' END",
+        "order_purchase_timestamp": "timestampadd(HOUR, int(o_orderkey % 24), o_orderdate)",
+        "order_delivered_customer_date": "timestampadd(HOUR, int(o_orderkey % 7), first_ship)",
+        "order_estimated_delivery_date": f"timestampadd(DAY, {PROMISED_DAYS}, o_orderdate)",
+    },
+    "order_items": {
+        "order_id": "l_orderkey",
+        "order_item_id": "l_linenumber",
+        "product_id": "l_partkey",
+        "seller_id": "l_suppkey",
+        "shipping_limit_date": "l_shipdate",
+        "price": "l_extendedprice",
+        "freight_value": "l_extendedprice * l_tax",
+    },
+    "payments": {
+        "order_id": "l_orderkey",
+        "payment_sequential": "l_linenumber",
+        "payment_type": "l_returnflag",
+        "payment_installments": "l_linenumber",
+        "payment_value": "l_extendedprice * (1 - l_discount)",
+    },
     # Every fifth event repeats its predecessor's order; scores 0 and 6 are out of range.
-    about = F.col("event_id") - F.when(F.col("event_id") % 5 == 4, 1).otherwise(0)
-    return events.select(
-        _key("event_id").alias("review_id"),
-        about.cast("string").alias("order_id"),
-        (F.floor("value") % 7).alias("review_score"),
-        F.col("ts").alias("review_creation_date"),
-        F.col("ts").alias("review_answer_timestamp"),
-    )
-
-
-def _customers(customers: DataFrame, nations: DataFrame) -> DataFrame:
-    return customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
-        _key("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("customer_unique_id"),
-        F.col("n_name").alias("customer_city"),
-        F.col("n_name").alias("customer_state"),
-    )
+    "reviews": {
+        "review_id": "event_id",
+        "order_id": "event_id - CASE WHEN event_id % 5 = 4 THEN 1 ELSE 0 END",
+        "review_score": "floor(value) % 7",
+        "review_creation_date": "ts",
+        "review_answer_timestamp": "ts",
+    },
+    "customers": {
+        "customer_id": "c_custkey",
+        "customer_unique_id": "c_name",
+        "customer_city": "n_name",
+        "customer_state": "n_name",
+    },
+    "sellers": {"seller_id": "s_suppkey", "seller_city": "n_name", "seller_state": "n_name"},
+    "products": {
+        "product_id": "p_partkey",
+        "product_category_name": "p_type",
+        "product_photos_qty": "p_size % 7",
+        "product_weight_g": "p_size * 100",
+    },
+}
 
 
-def _sellers(suppliers: DataFrame, nations: DataFrame) -> DataFrame:
-    return suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
-        _key("s_suppkey").alias("seller_id"),
-        F.col("n_name").alias("seller_city"),
-        F.col("n_name").alias("seller_state"),
+def _fit(df: DataFrame, name: str) -> DataFrame:
+    """The declared columns in order and type."""
+    derived = DERIVED[name]
+    return df.selectExpr(
+        *[f"CAST({derived.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in SOURCES[name].fields]
     )
 
 
-def _products(parts: DataFrame) -> DataFrame:
-    return parts.select(
-        _key("p_partkey").alias("product_id"),
-        F.col("p_type").alias("product_category_name"),
-        (F.col("p_size") % 7).alias("product_photos_qty"),
-        (F.col("p_size") * 100).alias("product_weight_g"),
-    )
+def _with_first_ship(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    # Delivery is the first shipment not before the order. Joined and grouped on the same
+    # key, so both sides are shuffled once and later joins on the order reuse that layout;
+    # AQE splits an order that holds a large share of the lines.
+    placed = orders.selectExpr("CAST(o_orderkey AS string) AS order_id", "*")
+    shipped = lines.selectExpr("CAST(l_orderkey AS string) AS line_order", "l_shipdate")
+    in_time = F.expr("order_id = line_order AND l_shipdate >= o_orderdate")
+    return placed.join(shipped, in_time, "left").groupBy(*placed.columns).agg(F.min("l_shipdate").alias("first_ship"))
 
 
 def _translation(spark: SparkSession) -> DataFrame:

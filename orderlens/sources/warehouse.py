@@ -47,7 +47,7 @@ def export_table(df: DataFrame, table: str, database: str, path: str | None = No
     """Replace one warehouse table and refresh its statistics."""
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    writer = apply_contract(df, table).coalesce(1).write.mode("overwrite").format("parquet")
+    writer = apply_contract(df, table).write.mode("overwrite").format("parquet")
     if path:
         writer = writer.option("path", f"{path}/{table}")
     writer.saveAsTable(f"{database}.{table}")
@@ -65,7 +65,7 @@ def export_jdbc(gold: Mapping[str, DataFrame], url: str, schema: str, properties
     """The same tables into a SQL database. ``truncate`` keeps the declared table
     definition in place instead of dropping it; statistics are the database's to refresh."""
     for table in CONTRACTS:
-        df = apply_contract(gold[table], table).coalesce(1)
+        df = apply_contract(gold[table], table)
         df.write.option("truncate", True).jdbc(url, f"{schema}.{table}", mode="overwrite", properties=properties)
 
 
