@@ -77,7 +77,7 @@ def _blocks(counts: DataFrame) -> DataFrame:
 
 
 def _entropy_term(share: Column, mixed: Column) -> Column:
-    return F.when(share > 0, share * F.log(share / mixed)).otherwise(0.0)
+    return F.when(share > 0, share * F.log(F.try_divide(share, mixed))).otherwise(0.0)
 
 
 def distances(counts: DataFrame) -> DataFrame:
@@ -133,8 +133,8 @@ def distances(counts: DataFrame) -> DataFrame:
         F.sum((F.col("value") * F.col("n_ref")).cast("decimal(38,0)")).cast(WIDE).alias("first_moment"),
         F.sum(value * value * n).alias("second_moment"),
     )
-    share_ref = F.col("ref") / F.col("total_ref").cast("double")
-    share_cur = F.col("cur") / F.col("total_cur").cast("double")
+    share_ref = F.try_divide(F.col("ref"), F.col("total_ref").cast("double"))
+    share_cur = F.try_divide(F.col("cur"), F.col("total_cur").cast("double"))
     floored_ref = F.when(share_ref > 0, share_ref).otherwise(PSI_FLOOR)
     floored_cur = F.when(share_cur > 0, share_cur).otherwise(PSI_FLOOR)
     per_column = banded.groupBy("column_name", "n_values", "total_ref", "total_cur").agg(
@@ -147,8 +147,8 @@ def distances(counts: DataFrame) -> DataFrame:
     )
     total_ref = F.col("total_ref").cast("double")
     pairs = total_ref * F.col("total_cur").cast("double")
-    average = F.col("first_moment") / total_ref
-    variance = F.greatest(F.col("second_moment") / total_ref - average * average, F.lit(0.0))
+    average = F.try_divide("first_moment", total_ref)
+    variance = F.greatest(F.try_divide("second_moment", total_ref) - average * average, F.lit(0.0))
     norm = F.greatest(F.sqrt(variance) / 100, F.lit(MIN_NORM))
     known = F.col("total_ref") * F.col("total_cur") > 0
     return per_column.select(
@@ -156,8 +156,8 @@ def distances(counts: DataFrame) -> DataFrame:
         "n_values",
         "total_ref",
         "total_cur",
-        F.when(known, half_up(F.col("area") / pairs / 100 / norm, 6)).alias("wasserstein"),
-        F.when(known, half_up(F.col("gap") / pairs, 6)).alias("ks"),
+        F.when(known, half_up(F.try_divide("area", pairs) / 100 / norm, 6)).alias("wasserstein"),
+        F.when(known, half_up(F.try_divide("gap", pairs), 6)).alias("ks"),
         F.when(known, half_up(F.sqrt(F.greatest(F.col("divergence") / 2, F.lit(0.0))), 6)).alias("jensen_shannon"),
         F.when(known, half_up(F.greatest(F.col("psi"), F.lit(0.0)), 6)).alias("psi"),
     )
