@@ -33,7 +33,7 @@ WATCHED = (
 class Settings:
     # cleaning
     statuses: tuple[str, ...] = ("delivered",)
-    max_delivery_days: int = 200
+    max_delivery_days: int | None = 200  # None keeps every delivery time
     max_price: float = 7000.0
     score_range: tuple[int, int] = (1, 5)
     late_grain: str = "day"  # "day": whole days late; "instant": timestamp comparison

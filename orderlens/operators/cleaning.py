@@ -27,6 +27,8 @@ def drop_incomplete(df: DataFrame, table: str) -> DataFrame:
 
 
 def filter_delivery_range(orders: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    if settings.max_delivery_days is None:
+        return orders
     return orders.where(F.col("delivery_days").between(0, settings.max_delivery_days))
 
 

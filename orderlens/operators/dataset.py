@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.config import DEFAULTS, Settings
+from orderlens.functions import calendar
 from orderlens.functions.risk import feature_columns
+from orderlens.operators import cleaning, queue
 
 LABEL = "label"
 BUCKET_DIGITS = 4  # hex digits: 65,536 buckets per class
@@ -17,6 +21,16 @@ def training_set(silver: DataFrame) -> DataFrame:
     return silver.select("order_id", *feature_columns(), F.col("is_late").cast("int").alias(LABEL))
 
 
+def training_set_of_orders(tables: Mapping[str, DataFrame], settings: Settings = DEFAULTS) -> DataFrame:
+    """Features as the order queue sends them, for delivered orders straight from the source
+    tables, so a model scoring the queue is trained on what it will be given. Late is what
+    ``settings.late_grain`` says."""
+    delivered = cleaning.filter_delivered(tables["orders"], settings).where(F.col(calendar.DELIVERED).isNotNull())
+    late = F.coalesce(calendar.is_late(settings.late_grain), F.lit(False)).cast("int")
+    sent = queue.payloads(delivered.withColumn(LABEL, late), tables, settings, keep=(LABEL,))
+    return sent.select("order_id", *feature_columns(), LABEL)
+
+
 def with_split(rows: DataFrame, settings: Settings = DEFAULTS, key: str = "order_id") -> DataFrame:
     """Adds ``is_train``: exactly ``train_percent`` of each class, rounded down.
 

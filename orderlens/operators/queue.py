@@ -47,12 +47,17 @@ def recent_orders(
 
 
 def payloads(
-    orders: DataFrame, tables: Mapping[str, DataFrame], settings: Settings = DEFAULTS, chosen: bool = False
+    orders: DataFrame,
+    tables: Mapping[str, DataFrame],
+    settings: Settings = DEFAULTS,
+    chosen: bool = False,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Orders in the shape the scoring job takes, with state for display.
+    """Orders in the shape the scoring job takes, with state for display and the order
+    columns named in ``keep``.
 
-    Weekday numbering and the cross-state rule are those of Silver, so an order has the
-    same features here and in training; weight sums over all items as the queue shows it.
+    Weekday numbering and the cross-state rule are those of Silver; items are counted and
+    weighed unfiltered. ``dataset.training_set_of_orders`` trains on the same columns.
     ``chosen`` says the orders are a short list (a limit has bounded them): only their
     items and payments are then aggregated, found by a broadcast semi-join.
     """
@@ -66,10 +71,10 @@ def payloads(
         .transform(silver.with_customers, tables["customers"], settings)
         .transform(silver.with_sellers, tables["sellers"], settings)
     )
-    return joined.transform(payload_projection, settings)
+    return payload_projection(joined, settings, keep)
 
 
-def payload_projection(joined: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def payload_projection(joined: DataFrame, settings: Settings = DEFAULTS, keep: tuple[str, ...] = ()) -> DataFrame:
     return joined.select(
         "order_id",
         F.col("nb_items").cast("int").alias("nb_items"),
@@ -82,6 +87,7 @@ def payload_projection(joined: DataFrame, settings: Settings = DEFAULTS) -> Data
         F.coalesce(F.col("estimated_weight_kg"), F.lit(0.0)).alias("estimated_weight_kg"),
         F.coalesce(F.col("max_installments"), F.lit(1)).alias("max_installments"),
         F.col("customer_state").alias("state"),
+        *keep,
     )
 
 

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-MACRO_CENTS = "CAST(floor({} * 100 + 0.5) AS BIGINT)"
-
-
 def _cents(expression: str) -> str:
-    return MACRO_CENTS.format(f"({expression})")
+    return f"CAST(floor(({expression}) * 100 + 0.5) AS BIGINT)"
 
 
 def _pct(part: str, whole: str) -> str:
@@ -330,15 +327,16 @@ PERIODS = f"""
 """
 BY_PERIOD = _metrics("periods", "probability >= 0.5", "period")
 
-_REWARDS = """
-    SELECT order_id, risk, value, urgency, risk * 0.0 * value * 2 - 0.0 AS reward_0,
-           risk * 0.3 * value * 2 - 0.05 AS reward_1,
-           risk * 0.7 * value * 2 - 0.15 + CASE WHEN urgency < 0.2 AND risk > 0.15 THEN 0.3 ELSE 0.0 END AS reward_2
+def _reward(relief: str, cost: str) -> str:
+    return f"risk * {relief}::DOUBLE * value * 2 - {cost}::DOUBLE"
+
+
+_REWARDS = f"""
+    SELECT order_id, risk, value, urgency, {_reward("0.0", "0.0")} AS reward_0, {_reward("0.3", "0.05")} AS reward_1,
+           {_reward("0.7", "0.15")}
+               + CASE WHEN urgency < 0.2 AND risk > 0.15 THEN 0.3::DOUBLE ELSE 0::DOUBLE END AS reward_2
     FROM (SELECT order_id, probability AS risk, (price_cents // 100) % 1001 / 1000.0::DOUBLE AS value,
                  n * 104729 % 1000 / 1000.0::DOUBLE AS urgency FROM scored)"""
-_REWARDS = _REWARDS.replace("0.3 *", "0.3::DOUBLE *").replace("0.7 *", "0.7::DOUBLE *").replace("0.0 *", "0.0::DOUBLE *")
-_REWARDS = _REWARDS.replace("- 0.0 ", "- 0.0::DOUBLE ").replace("- 0.05", "- 0.05::DOUBLE").replace("- 0.15 ", "- 0.15::DOUBLE ")
-_REWARDS = _REWARDS.replace("THEN 0.3 ELSE 0.0", "THEN 0.3::DOUBLE ELSE 0.0::DOUBLE")
 
 
 def _sizes(tables: dict[str, str]) -> str:
@@ -527,6 +525,12 @@ _WITH_PRELUDE: dict[str, str] = {
                CAST(purchase_hour AS DOUBLE) AS f6, estimated_weight_kg AS f7, CAST(max_installments AS DOUBLE) AS f8
         FROM ({FEATURES} FROM silver)""",
     "m02_training_set": f"{FEATURES}, CAST(is_late AS INTEGER) AS label FROM silver",
+    "m02_training_set_of_orders": WEIGHED + f"""
+        SELECT p.order_id, nb_items, nb_sellers, total_price, total_freight,
+               CAST(cross_state_delivery AS INTEGER) AS cross_state_delivery, purchase_weekday, purchase_hour,
+               estimated_weight_kg, max_installments, CAST(coalesce(delivered > promised, false) AS INTEGER) AS label
+        FROM ({PAYLOADS}) p JOIN m_orders o ON o.order_id = p.order_id
+        WHERE order_status = 'delivered' AND delivered IS NOT NULL""",
     "m03_stratified_split": SPLIT,
     "m03_split_shares": f"SELECT is_train, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_late FROM ({SPLIT}) GROUP BY is_train",
     "m04_class_weight": f"""SELECT {_count("is_late")} AS positives, {_count("NOT is_late")} AS negatives,

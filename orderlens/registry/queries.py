@@ -577,6 +577,11 @@ def _(x: Inputs) -> DataFrame:
     return dataset.training_set(x.silver)
 
 
+@query("m02_training_set_of_orders")
+def _(x: Inputs) -> DataFrame:
+    return dataset.training_set_of_orders(x.tables, SETTINGS.but(late_grain="instant"))
+
+
 @query("m03_stratified_split")
 def _(x: Inputs) -> DataFrame:
     return dataset.with_split(_training(x), SETTINGS).select("order_id", "label", "is_train")
@@ -622,7 +627,8 @@ def _(x: Inputs) -> DataFrame:
 
 @query("m08_order_queue")
 def _(x: Inputs) -> DataFrame:
-    return scoring.order_queue(model.train(_training(x), QUICK, SETTINGS), x.tables, SETTINGS)
+    fitted = model.train(staged(dataset.training_set_of_orders(x.tables, SETTINGS)), QUICK, SETTINGS)
+    return scoring.order_queue(fitted, x.tables, SETTINGS)
 
 
 @query("m09_classification_metrics")
@@ -773,6 +779,6 @@ def _(x: Inputs) -> DataFrame:
     home = scratch_path(x.spark, "stream")
     payloads = _payloads(x)
     payloads.select(F.to_json(F.struct(*payloads.columns)).alias("value")).write.text(f"{home}/in")
-    fitted = model.train(_training(x), QUICK, SETTINGS)
+    fitted = model.train(staged(dataset.training_set_of_orders(x.tables, SETTINGS)), QUICK, SETTINGS)
     stream_scoring_job.stream_score(x.spark, f"{home}/in", f"{home}/out", f"{home}/ck", fitted).awaitTermination()
     return x.spark.read.parquet(f"{home}/out").select("order_id", "risk_proba", "risk_pct", "risk.level")

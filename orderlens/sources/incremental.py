@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.functions import calendar
 from orderlens.functions.calendar import BOUGHT
 from orderlens.session import path_exists
 
 
-def new_rows(source: DataFrame, target: DataFrame, cursor: str = BOUGHT, key: str = "order_id") -> DataFrame:
+def new_rows(
+    source: DataFrame, target: DataFrame, cursor: str = BOUGHT, key: str = "order_id", month: str | None = None
+) -> DataFrame:
     """Rows at or past the target's last cursor value whose key the target lacks.
 
     ``>=`` together with the anti-join keeps late rows that share the last cursor value
     and makes a repeated run add nothing. Only target rows at the cursor value can clash,
-    so the anti-join sees that slice alone, not the whole target.
+    so the anti-join sees that slice alone, not the whole target. ``month`` names the
+    target's storage partition by month of the cursor: only the last one is then read.
     """
+    if month:
+        target = target.where(F.col(month) == target.agg(F.max(month)).scalar())
     first = F.lit("0001-01-01").cast(target.schema[cursor].dataType)
     mark = target.agg(F.coalesce(F.max(cursor), first)).scalar()
     # Plain comparisons with the mark, so both scans can skip older row groups.
@@ -24,10 +30,10 @@ def new_rows(source: DataFrame, target: DataFrame, cursor: str = BOUGHT, key: st
     return fresh.join(at_mark, key, "left_anti")
 
 
-def append_new(
-    spark: SparkSession, source: DataFrame, path: str, cursor: str = BOUGHT, key: str = "order_id", fmt: str = "parquet"
-) -> None:
-    """Append to a stored table, creating it on the first run."""
-    target = spark.read.schema(source.schema).format(fmt).load(path) if path_exists(spark, path) else None
-    rows = source if target is None else new_rows(source, target, cursor, key)
-    rows.write.format(fmt).mode("append").save(path)
+def append_new(spark: SparkSession, orders: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Append new orders to Bronze, stored by purchase month, creating it on the first run."""
+    orders = orders.withColumn("purchase_ym", calendar.year_month())
+    if path_exists(spark, path):
+        target = spark.read.schema(orders.schema).format(fmt).load(path)
+        orders = new_rows(orders, target, month="purchase_ym")
+    orders.write.format(fmt).mode("append").partitionBy("purchase_ym").save(path)

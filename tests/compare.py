@@ -21,6 +21,17 @@ def database(folder: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# SQL type names and the Spark types they stand for.
+KINDS = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz",
+}
+
+
 def _cell(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else float(f"{value:.12g}") + 0.0
@@ -37,20 +48,17 @@ def spark_rows(df):
     return rows_of(df.columns, [tuple(r) for r in df.collect()])
 
 
-def sql_rows(connection, sql: str):
-    result = connection.execute(sql)
-    return rows_of([d[0] for d in result.description], result.fetchall())
-
-
 def difference(df, connection, sql: str) -> str | None:
-    """None when equal, else what differs first."""
+    """None when equal in columns, types and rows, else what differs first."""
+    result = connection.execute(sql)
+    kinds = {d[0]: KINDS.get(str(d[1]), str(d[1])) for d in result.description}
+    if kinds != dict(df.dtypes):
+        return f"types {sorted(set(dict(df.dtypes).items()) ^ set(kinds.items()))}"
+    _, want = rows_of(list(kinds), result.fetchall())
     names, got = spark_rows(df)
-    sql_names, want = sql_rows(connection, sql)
-    if names != sql_names:
-        return f"columns {names} against {sql_names}"
     if len(got) != len(want):
         return f"{len(got)} rows against {len(want)}"
     for mine, theirs in zip(got, want):
-        if mine != theirs or [type(a) for a in mine] != [type(b) for b in theirs]:
+        if mine != theirs:
             return f"{dict(zip(names, mine))} against {dict(zip(names, theirs))}"
     return None

@@ -57,6 +57,12 @@ def test_delivery_range_status_and_missing_dates(table):
     assert rows(kept, "order_id", "delivery_days") == [("200", 200), ("same day", 0)]
 
 
+def test_delivery_range_can_be_lifted(table):
+    slow = table(ORDERS, ("a", "delivered", "2018-01-02 10:00:00", "2019-01-03 00:00:00", "2018-02-01 00:00:00"))
+    assert rows(cleaning.clean_orders(slow), "order_id") == []
+    assert rows(cleaning.clean_orders(slow, DEFAULTS.but(max_delivery_days=None)), "order_id") == [("a",)]
+
+
 def test_price_bounds(table):
     items = table(
         ITEMS,

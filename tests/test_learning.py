@@ -33,6 +33,16 @@ def test_training_and_scoring_see_the_same_vector(silver):
     assert trained.exceptAll(served).count() == 0
 
 
+def test_queue_and_its_training_set_share_features(inputs):
+    """What the queue sends is what its model was trained on, order by order."""
+    trained = dataset.training_set_of_orders(inputs.tables, SETTINGS)
+    delivered = inputs["orders"].where("order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL")
+    served = queue.feature_defaults(queue.payloads(delivered, inputs.tables, SETTINGS))
+    assert trained.columns == [*served.columns, "label"]
+    assert trained.drop("label").exceptAll(served).count() == 0
+    assert trained.count() == served.count() > 262
+
+
 def test_split_is_exact_per_class(rows, split):
     per_class = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     taken = {r.label: r["count"] for r in split.where("is_train").groupBy("label").count().collect()}
