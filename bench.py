@@ -72,9 +72,6 @@ def main() -> None:
     }
     stored = staged(Inputs(spark, FOLDER).silver)
     timings["gold_from_stored_silver"] = median_seconds(
-        lambda: [drain(table) for table in kpis.gold_tables(stored, SETTINGS).values()]
-    )
-    timings["gold_one_pass_from_stored_silver"] = median_seconds(
         lambda: [drain(table) for table in kpis.gold_in_one_pass(stored, SETTINGS).values()]
     )
     timings["m08_score_batch"] = median_seconds(
