@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlens.config import DEFAULTS, Settings
 from orderlens.operators import kpis, silver
 from orderlens.schemas import CONTRACTS, SOURCES
+from orderlens.session import size_shuffles
 from orderlens.sources import lake, landing, warehouse
 
 
 def land(spark: SparkSession, raw: str, lakehouse: str, files: Mapping[str, str] | None = None) -> dict[str, int]:
     """Raw CSV to Bronze; rows per table."""
+    size_shuffles(spark, raw)
     return lake.write_bronze(landing.ingest_all(spark, raw, files), f"{lakehouse}/bronze")
 
 
 def refine(spark: SparkSession, lakehouse: str, settings: Settings = DEFAULTS) -> DataFrame:
     """Bronze to Silver; the quality report of what was written."""
+    size_shuffles(spark, f"{lakehouse}/bronze")
     tables = {name: lake.read_bronze(spark, f"{lakehouse}/bronze", name) for name in SOURCES}
     path = f"{lakehouse}/silver/orders_consolidated"
     lake.write_silver(silver.build_silver(tables, settings), path)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from orderlens.operators import cleaning, silver
 from orderlens.operators.dataset import LABEL
-from orderlens.session import tune
+from orderlens.session import size_shuffles, tune
 from orderlens.sources import retail
 
 SETTINGS = retail.SETTINGS
@@ -20,6 +20,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = tune(spark)
         self.folder = folder
+        size_shuffles(spark, folder)
 
     @cached_property
     def tables(self) -> retail.RetailTables:

@@ -581,6 +581,11 @@ _WITH_PRELUDE: dict[str, str] = {
     "d06_run_monitoring": PERIODS + BY_PERIOD,
     "t01_stream_ingest": "SELECT 'orders' AS source_table, order_status, count(*) AS n_orders FROM m_orders GROUP BY order_status",
 }
+_WITH_PRELUDE["s02_read_csv_inferred"] = """
+    SELECT DISTINCT p.product_category_name, product_category_name_english, product_photos_qty
+    FROM m_products p LEFT JOIN m_translation t ON t.product_category_name = p.product_category_name"""
+_WITH_PRELUDE["s10_export_warehouse"] = _WITH_PRELUDE["s11_contract_weekday_pattern"]
+_WITH_PRELUDE["s17_write_json_artifacts"] = _WITH_PRELUDE["a14_quality_report"]
 _WITH_PRELUDE["j05_left_sellers_salted"] = _WITH_PRELUDE["j05_left_sellers"]
 
 # Queries over the raw tables.

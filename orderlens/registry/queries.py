@@ -64,6 +64,15 @@ def _(x: Inputs) -> DataFrame:
     return landing.read_csv_typed(x.spark, path, x["payments"].schema)
 
 
+@query("s02_read_csv_inferred")
+def _(x: Inputs) -> DataFrame:
+    path = scratch_path(x.spark, "lookup")
+    named = silver.with_category(x["products"], x["category_translation"])
+    lookup = named.select("product_category_name", "product_category_name_english", "product_photos_qty").distinct()
+    lookup.write.option("header", True).csv(path)
+    return landing.read_csv_inferred(x.spark, path)
+
+
 @query("s05_s06_bronze_round_trip")
 def _(x: Inputs) -> DataFrame:
     path = scratch_path(x.spark, "bronze")
@@ -86,6 +95,14 @@ def _(x: Inputs) -> DataFrame:
     return lake.read_gold(x.spark, path, "monthly_trend")
 
 
+@query("s10_export_warehouse")
+def _(x: Inputs) -> DataFrame:
+    path = scratch_path(x.spark, "warehouse")
+    for _run in range(2):  # the second run replaces the first
+        warehouse.export_table(kpis.weekday_pattern(x.silver), "weekday_pattern", "default", path)
+    return warehouse.read_warehouse(x.spark, "weekday_pattern", "default").drop("inserted_at")
+
+
 def _contract(table: str, build: Callable[[Inputs], DataFrame]) -> None:
     @query(f"s11_contract_{table}")
     def _(x: Inputs) -> DataFrame:
@@ -138,6 +155,13 @@ def _(x: Inputs) -> DataFrame:
     return landing.parse_order_json(bodies)
 
 
+@query("s17_write_json_artifacts")
+def _(x: Inputs) -> DataFrame:
+    path = scratch_path(x.spark, "report")
+    lake.write_json(silver.quality_report(x.silver), path)
+    return x.spark.read.json(path)
+
+
 # ---- projections, filters, predicates ----------------------------------------------
 
 
@@ -515,9 +539,10 @@ def _(x: Inputs) -> DataFrame:
 
 @query("l06_priority_queue")
 def _(x: Inputs) -> DataFrame:
-    scores = queue.describe_risk(x.scored, settings=SETTINGS)
-    shown = x.silver.select("order_id", F.col("customer_state").alias("state"), F.col("total_price").cast("double"))
-    return queue.priority_queue(queue.scores_to_orders(scores, shown), SETTINGS)
+    price = F.col("total_price").cast("double").alias("total_price")
+    rows = staged(x.scored.select("order_id", "probability", F.col("customer_state").alias("state"), price))
+    scores = queue.describe_risk(rows, settings=SETTINGS)
+    return queue.priority_queue(queue.scores_to_orders(scores, rows), SETTINGS)
 
 
 # ---- validation questions -----------------------------------------------------------

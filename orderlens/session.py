@@ -18,6 +18,8 @@ RUNTIME = {
     # Dimensions up to this size are broadcast instead of shuffling the orders; beyond it
     # the same joins shuffle.
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # Files count as three times their size when that check is made: they are compressed.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
 }
 
 
@@ -45,6 +47,24 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(
+    spark: SparkSession, folder: str, bytes_each: int = 256 * 1024 * 1024, most: int = 40_000
+) -> None:
+    """Start shuffles with enough partitions for the input under ``folder``.
+
+    AQE merges partitions that turn out small but never adds any, so the starting number has
+    to fit the data. Small inputs leave the session as it is.
+    """
+    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    size = target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+    wanted = min(most, size // bytes_each)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    if size > 1 << 40:
+        # Terabytes of input: fewer and longer scan tasks, the columns read being few.
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(512 * 1024 * 1024))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode.
 

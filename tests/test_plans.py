@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from orderlens import schemas
+from orderlens import schemas, session
 from orderlens.operators import cleaning, drift, kpis, queue, silver as ops
 from orderlens.plans import retraining
 from orderlens.registry.inputs import SETTINGS
@@ -134,6 +134,42 @@ def test_hot_month_is_split_on_write(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/s").agg(F.count("*")).first()[0] == 60_000
 
 
+def test_hot_key_is_split_by_adaptive_execution(spark):
+    """A third of the facts on one key: AQE reads its partition in pieces, and loses nothing."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    small = {
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "40000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        facts = spark.range(0, 200_000, 1, 16).selectExpr(
+            "CAST(id AS string) AS order_id",
+            "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 5000 AS string) END AS main_seller_id",
+        )
+        sellers = spark.range(5000).selectExpr(
+            "CASE WHEN id = 0 THEN 'hot' ELSE CAST(id AS string) END AS seller_id", "'SP' AS seller_state", "'x' AS seller_city"
+        )
+        joined = ops.with_sellers(facts, sellers).groupBy("seller_state").agg(F.count("*").alias("n"))
+        assert {r.seller_state: r.n for r in joined.collect()}["SP"] > 199_900 - 40
+        assert "skew=true" in plan_of(joined)
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+
+
+def test_shuffles_start_with_enough_partitions(spark, bronze):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    session.size_shuffles(spark, bronze)
+    assert spark.conf.get(key, None) is None
+    session.size_shuffles(spark, bronze, bytes_each=1000, most=77)
+    assert spark.conf.get(key) == "77"
+    spark.conf.unset(key)
+
+
 def test_monthly_job_writes_every_layer(spark, inputs, tmp_path):
     home = str(tmp_path)
     lake.write_bronze(inputs.tables, f"{home}/bronze")
