@@ -646,8 +646,9 @@ def _(x: Inputs) -> DataFrame:
 
 @query("m08_score_batch")
 def _(x: Inputs) -> DataFrame:
-    fitted = model.train(_training(x), QUICK, SETTINGS)
-    return model.score_batch(fitted, x.silver, SETTINGS).select("order_id", "risk_proba", "risk_pct", "risk.*")
+    rows = staged(x.silver)
+    fitted = model.train(dataset.training_set(rows), QUICK, SETTINGS)
+    return model.score_batch(fitted, rows, SETTINGS).select("order_id", "risk_proba", "risk_pct", "risk.*")
 
 
 @query("m08_order_queue")
