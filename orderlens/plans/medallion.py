@@ -1,4 +1,4 @@
-"""Raw files to KPI tables: land, refine, publish, export."""
+"""Raw files to KPI tables: land, sync, refine, publish, export."""
 
 from __future__ import annotations
 
@@ -10,7 +10,10 @@ from orderlens.config import DEFAULTS, Settings
 from orderlens.operators import kpis, silver
 from orderlens.schemas import CONTRACTS, SOURCES
 from orderlens.session import size_shuffles
-from orderlens.sources import lake, landing, warehouse
+from orderlens.sources import incremental, lake, landing, warehouse
+
+# Tables taken in whole by every sync.
+REPLACED = ("order_items", "payments", "reviews")
 
 
 def land(spark: SparkSession, raw: str, lakehouse: str, files: Mapping[str, str] | None = None) -> dict[str, int]:
@@ -19,6 +22,16 @@ def land(spark: SparkSession, raw: str, lakehouse: str, files: Mapping[str, str]
     return lake.write_bronze(landing.ingest_all(spark, raw, files), f"{lakehouse}/bronze")
 
 
+def sync(spark: SparkSession, raw: str, lakehouse: str, files: Mapping[str, str] | None = None) -> None:
+    """The periodic intake into an existing Bronze: new orders are appended, their items,
+    payments and reviews replaced."""
+    size_shuffles(spark, raw)
+    tables = landing.ingest_all(spark, raw, files, only=("orders", *REPLACED))
+    incremental.append_new(spark, tables["orders"], f"{lakehouse}/bronze/orders")
+    for name in REPLACED:
+        lake.full_refresh(tables[name], f"{lakehouse}/bronze/{name}")
+
+
 def refine(spark: SparkSession, lakehouse: str, settings: Settings = DEFAULTS) -> DataFrame:
     """Bronze to Silver; the quality report of what was written."""
     size_shuffles(spark, f"{lakehouse}/bronze")

@@ -112,6 +112,22 @@ def test_medallion_from_csv_to_warehouse(spark, inputs, silver, raw, tmp_path):
     medallion.preview(gold["weekday_pattern"], 3)
 
 
+def test_sync_appends_orders_and_replaces_their_details(spark, inputs, raw, tmp_path):
+    home, part = f"{tmp_path}/lake", f"{tmp_path}/raw"
+    for name in schemas.SOURCES:
+        rows = inputs[name]
+        if name == "orders":
+            rows = rows.where("order_purchase_timestamp < timestamp '1998-03-05'")
+        rows.limit(rows.count() // 2 if name == "payments" else 1 << 30).write.option("header", True).csv(f"{part}/{name}")
+    first = medallion.land(spark, part, home, FILES)
+    for _run in range(2):
+        medallion.sync(spark, raw, home, FILES)
+    bronze = lake.read_bronze(spark, f"{home}/bronze", "orders")
+    assert first["orders"] < bronze.count() == bronze.select("order_id").distinct().count() == inputs["orders"].count()
+    assert first["payments"] < lake.read_bronze(spark, f"{home}/bronze", "payments").count() == inputs["payments"].count()
+    assert medallion.refine(spark, home, SETTINGS).first().total_orders == 262
+
+
 def test_contract_types_truncation_and_overflow(table):
     rows = table(
         "customer_state string, total_orders bigint, late_orders bigint, avg_delivery_days double, "
