@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderlens.llm import hnsw, quality, warc
+from orderlens.llm import hnsw, pieces, quality, warc
 from orderlens.session import scratch_path, staged
 
 
@@ -14,6 +14,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: A SentencePiece model on the machine; any path Spark can read may be given instead.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_sentencepiece_n_best(spark: SparkSession, sf_dir: str, model_path: str = PIECE_MODEL) -> DataFrame:
+    """Best ids, the four best segmentations as edits of them, and whether decoding gives the text back."""
+    model = pieces.model_bytes(spark, model_path)
+    return pieces.segment(table(spark, sf_dir, "documents"), model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "n_best", "round_trip"
+    )
+
+
 def op3_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,6 +65,7 @@ def op9_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece_n_best": op1_sentencepiece_n_best,
     "op3_quality_compression": op3_quality_compression,
     "op5_warc_transactions": op5_warc_transactions,
     "op9_hnsw_neighbours": op9_hnsw_neighbours,
