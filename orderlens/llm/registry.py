@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderlens.llm import hnsw, pieces, quality, warc
+from orderlens.llm import hnsw, linedup, pieces, quality, warc
 from orderlens.session import scratch_path, staged
 
 
@@ -58,6 +58,42 @@ FROM owner
 """
 
 
+def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linedup.without_runs(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id",
+        F.col("dedup_lines").cast("long").alias("n_lines"),
+        F.col("dedup_removed").cast("long").alias("n_removed"),
+        F.size("dedup_runs").cast("long").alias("n_runs"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+# Equal lines at two positions are on a diagonal; a maximal stretch of one is a repeated run.
+OP6_SQL = """
+WITH line AS (
+  SELECT doc_id, unnest(range(len(parts))) AS line_no, unnest(parts) AS content
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)),
+pair AS (
+  SELECT a.doc_id, a.line_no, b.doc_id AS other, a.line_no - b.line_no AS shift, len(a.content) + 1 AS width
+  FROM line a JOIN line b ON a.content = b.content AND (b.doc_id, b.line_no) < (a.doc_id, a.line_no)),
+stretch AS (
+  SELECT *, line_no - row_number() OVER (PARTITION BY doc_id, other, shift ORDER BY line_no) AS stretch FROM pair),
+long AS (
+  SELECT doc_id, other, shift, stretch FROM stretch GROUP BY ALL HAVING sum(width) >= 50),
+gone AS (
+  SELECT DISTINCT doc_id, line_no FROM stretch JOIN long USING (doc_id, other, shift, stretch)),
+marked AS (
+  SELECT line.*, gone.line_no IS NOT NULL AS away,
+         line.line_no - row_number() OVER (PARTITION BY line.doc_id, gone.line_no IS NOT NULL ORDER BY line.line_no) AS run
+  FROM line LEFT JOIN gone USING (doc_id, line_no))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE away) AS n_removed,
+       count(DISTINCT run) FILTER (WHERE away) AS n_runs,
+       sha256(coalesce(string_agg(content, chr(10) ORDER BY line_no) FILTER (WHERE NOT away), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 def op9_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hnsw.usable(table(spark, sf_dir, "embeddings"))
     graphs = staged(hnsw.index(rows), "hnsw")
@@ -68,9 +104,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece_n_best": op1_sentencepiece_n_best,
     "op3_quality_compression": op3_quality_compression,
     "op5_warc_transactions": op5_warc_transactions,
+    "op6_line_runs": op6_line_runs,
     "op9_hnsw_neighbours": op9_hnsw_neighbours,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_warc_transactions": OP5_SQL,
+    "op6_line_runs": OP6_SQL,
 }
