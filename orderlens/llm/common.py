@@ -5,8 +5,11 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from orderlens.session import staged
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 # Words are runs of anything but these; the class must mean the same to Java and Python.
@@ -53,3 +56,105 @@ def bounded_rows(df: DataFrame, most: int, what: str) -> list:
     if len(rows) > most:
         raise ValueError(f"{what} has more than {most} rows")
     return rows
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """``node, root``: for each end of an edge ``a, b`` (long) the smallest id it is connected to.
+
+    Alternating large-star and small-star contraction: edges and nodes stay distributed, the lineage
+    is cut by a written table after each round, and each round is two combined aggregations and joins.
+    """
+
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = staged(edges.distinct(), "edges")
+    before = None
+    while True:
+        # Large star: every larger neighbour is tied to the smallest of the neighbourhood.
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = staged(large.where("a <> b").distinct(), "large-star")
+        # Small star: smaller neighbours, and the node itself, to the smallest neighbour.
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
+            least.select("a", F.col("m").alias("b"))
+        )
+        edges = staged(small.where("a <> b").distinct(), "small-star")
+        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if now == before:
+            break
+        before = now
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    )
+
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so that powers have inverses modulo 2^64
+_BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    size = 1 << max(16, int(n).bit_length())
+    if size not in _POWERS:
+        _POWERS.clear()
+        ones = np.ones(size, dtype=np.uint64)
+        up, down = ones.copy(), ones.copy()
+        up[1:], down[1:] = _STEP, _BACK
+        _POWERS[size] = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+    return _POWERS[size]
+
+
+_SPACES = np.zeros(256, dtype=bool)
+_SPACES[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+
+
+def word_spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each word of UTF-8 bytes."""
+    inside = np.zeros(len(raw) + 2, dtype=np.int8)
+    inside[1:-1] = ~_SPACES[raw]
+    turns = np.diff(inside)
+    return np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each lower-cased (A-Z) word: the same in every process."""
+    up, down = _powers(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
+    return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def text_parts(column: pa.Array, most: int = 1 << 22):
+    """``(first, last, offsets, bytes)`` for runs of rows of a string array of about ``most`` bytes.
+
+    A longer text is a run of its own; nothing is copied.
+    """
+    wide = pa.types.is_large_string(column.type)
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64 if wide else np.int32)
+    offsets = offsets[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
+    first = 0
+    while first < len(column):
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + most, side="right")) - 1)
+        own = offsets[first : last + 1]
+        yield first, last, own - own[0], raw[own[0] : own[-1]]
+        first = last
+
+
+def words_of(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, hash and position among the bytes of each word of joined texts; words never cross texts."""
+    if len(offsets) > 2:
+        # A separator between texts: words end where a text does.
+        lengths = np.diff(offsets)
+        shifted = offsets[:-1] + np.arange(len(lengths))
+        spread = np.full(len(raw) + len(lengths), 0x20, dtype=np.uint8)
+        spread[np.arange(len(raw)) + np.repeat(np.arange(len(lengths)), lengths)] = raw
+    else:
+        shifted, spread = offsets[:1], raw
+    starts, ends = word_spans(spread)
+    rows = np.searchsorted(shifted, starts, side="right") - 1
+    return rows, word_hashes(spread, starts, ends), starts

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderlens.llm import hnsw, linedup, pieces, quality, warc
+from orderlens.llm import hnsw, jaccard, linedup, pieces, quality, warc
 from orderlens.session import scratch_path, staged
 
 
@@ -100,12 +100,17 @@ def op9_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.search(graphs, rows.where(F.col("vec_id") % 100 == 0))
 
 
+def op10_shingle_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece_n_best": op1_sentencepiece_n_best,
     "op3_quality_compression": op3_quality_compression,
     "op5_warc_transactions": op5_warc_transactions,
     "op6_line_runs": op6_line_runs,
     "op9_hnsw_neighbours": op9_hnsw_neighbours,
+    "op10_shingle_jaccard": op10_shingle_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {
