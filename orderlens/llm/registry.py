@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderlens.llm import hnsw, jaccard, linedup, pieces, quality, warc
+from orderlens.llm import hnsw, jaccard, linedup, pieces, quality, suffixes, warc
 from orderlens.session import scratch_path, staged
 
 
@@ -94,6 +94,10 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op7_suffix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removal_report(table(spark, sf_dir, "documents"))
+
+
 def op9_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hnsw.usable(table(spark, sf_dir, "embeddings"))
     graphs = staged(hnsw.index(rows), "hnsw")
@@ -109,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_compression": op3_quality_compression,
     "op5_warc_transactions": op5_warc_transactions,
     "op6_line_runs": op6_line_runs,
+    "op7_suffix_buckets": op7_suffix_buckets,
     "op9_hnsw_neighbours": op9_hnsw_neighbours,
     "op10_shingle_jaccard": op10_shingle_jaccard,
 }
