@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderlens.llm import hnsw, jaccard, linedup, pieces, quality, suffixes, warc
+from orderlens.llm import hnsw, jaccard, linedup, pieces, pii, quality, suffixes, warc
 from orderlens.session import scratch_path, staged
 
 
@@ -26,6 +26,10 @@ def op1_sentencepiece_n_best(spark: SparkSession, sf_dir: str, model_path: str =
     )
 
 
+def op2_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -110,6 +114,7 @@ def op10_shingle_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece_n_best": op1_sentencepiece_n_best,
+    "op2_pii_crf": op2_pii_crf,
     "op3_quality_compression": op3_quality_compression,
     "op5_warc_transactions": op5_warc_transactions,
     "op6_line_runs": op6_line_runs,
