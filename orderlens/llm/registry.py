@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderlens.llm import hnsw, jaccard, linedup, pieces, pii, quality, suffixes, warc
+from orderlens.llm import hnsw, jaccard, linedup, pieces, pii, pitmanyor, quality, suffixes, warc
 from orderlens.session import scratch_path, staged
 
 
@@ -102,6 +102,10 @@ def op7_suffix_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removal_report(table(spark, sf_dir, "documents"))
 
 
+def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.report(table(spark, sf_dir, "documents"))
+
+
 def op9_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = hnsw.usable(table(spark, sf_dir, "embeddings"))
     graphs = staged(hnsw.index(rows), "hnsw")
@@ -119,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc_transactions": op5_warc_transactions,
     "op6_line_runs": op6_line_runs,
     "op7_suffix_buckets": op7_suffix_buckets,
+    "op8_pitman_yor": op8_pitman_yor,
     "op9_hnsw_neighbours": op9_hnsw_neighbours,
     "op10_shingle_jaccard": op10_shingle_jaccard,
 }
