@@ -91,18 +91,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so that powers have inverses modulo 2^64
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: dict = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
-    if size not in _POWERS:
-        _POWERS.clear()
-        ones = np.ones(size, dtype=np.uint64)
-        up, down = ones.copy(), ones.copy()
-        up[1:], down[1:] = _STEP, _BACK
-        _POWERS[size] = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-    return _POWERS[size]
+    if _POWERS.get("size", 0) < n:
+        size = 1 << max(16, int(n).bit_length())
+        up, down = np.full(size, _STEP), np.full(size, _BACK)
+        up[0] = down[0] = 1
+        _POWERS.update(size=size, powers=(np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)))
+    return _POWERS["powers"]
 
 
 _SPACES = np.zeros(256, dtype=bool)

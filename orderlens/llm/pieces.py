@@ -12,11 +12,12 @@ the best combinations of the n best of its chunks.
 
 from __future__ import annotations
 
+import math
 import re
 from array import array
 from bisect import insort
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,8 @@ SPACE = "▁"
 #: As in SentencePiece: a character without a piece costs this much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 MOST_BEST = 8
-#: Chunks a task keeps; when full it starts anew, which changes nothing but time.
-CACHE_CHUNKS = 400_000
+#: Chunks in either generation of what a task keeps; it changes nothing but time.
+CACHE_CHUNKS = 300_000
 #: Longer chunks are searched each time they occur.
 CACHE_CHARS = 64
 #: Texts go through the encoder so many characters at a time (a longer text alone).
@@ -60,8 +61,6 @@ class Vocabulary:
         }
         self.match.update((piece, (i, self.scores[i])) for piece, i in self.ids.items())
         self.pairs = {piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1)}
-        # Whether a space may follow another character inside a piece: then words do not part.
-        self.words_part = not any(pair[1] == SPACE and pair[0] != SPACE for pair in self.pairs)
         self.raw = [piece.replace(SPACE, " ").encode("utf-8") for piece in self.pieces]
         for value, i in self.bytes.items():
             self.raw[i] = bytes((value,))
@@ -134,130 +133,101 @@ def _literal(character: str) -> str:
 
 
 class Encoder:
-    """Segments batches of texts; keeps the words and chunks it has searched, up to a bound."""
+    """Segments texts; keeps the best segmentation of the chunks it met, up to a bound."""
 
     def __init__(self, vocabulary: Vocabulary, n: int):
         if not 1 <= n <= MOST_BEST:
             raise ValueError(f"between 1 and {MOST_BEST} segmentations")
         self.vocabulary, self.n = vocabulary, n
-        self.cut = re.compile(f"{SPACE}+[^{SPACE}]*|^[^{SPACE}]+")
-        self.chunks: dict[str, list] = {}
-        self._clear()
-
-    def _clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.pool, self.begin, self.size = array("i"), array("q"), array("i")
-        self.score = array("d")
-        # Per word and further segmentation: how much worse, or infinity where there is none.
-        self.worse = array("d")
-        self.others: list = []
-
-    def _chunk(self, chunk: str) -> list:
-        found = self.chunks.get(chunk)
+        self.cut = _chunk_pattern(vocabulary)
+        # Two generations: what is not met again while the younger one fills up is forgotten.
+        self.young: dict[str, tuple[bytes, float, float]] = {}
+        self.old: dict[str, tuple[bytes, float, float]] = {}
+
+    def _entry(self, chunk: str) -> tuple[bytes, float, float]:
+        """Ids of the best segmentation, its score, and how much worse the next is (infinity: there is none)."""
+        found = self.young.get(chunk) or self.old.get(chunk)
         if found is None:
-            found = n_best(self.vocabulary, chunk, self.n)
-            if len(chunk) <= CACHE_CHARS:
-                if len(self.chunks) >= CACHE_CHUNKS:
-                    self.chunks.clear()
-                self.chunks[chunk] = found
+            ranked = n_best(self.vocabulary, chunk, min(2, self.n))
+            score, ids = ranked[0]
+            worse = score - ranked[1][0] if len(ranked) > 1 else np.inf
+            found = (array("i", ids).tobytes(), score, worse)
+        if len(chunk) <= CACHE_CHARS:
+            if len(self.young) >= CACHE_CHUNKS:
+                self.old, self.young = self.young, {}
+            self.young[chunk] = found
         return found
 
-    def _add(self, word: str) -> int:
-        """Search a word, a space in front of it; its chunks are put together to one entry."""
-        text = SPACE + word
-        pairs = self.vocabulary.pairs
-        cuts = [0, *(i for i in range(1, len(text)) if text[i - 1 : i + 1] not in pairs), len(text)]
-        chunks = [self._chunk(text[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
-        ranked = chunks[0] if len(chunks) == 1 else _combined(chunks, self.n)
-        top, ids = ranked[0]
-        number = len(self.size)
-        self.begin.append(len(self.pool))
-        self.pool.extend(ids)
-        self.size.append(len(ids))
-        self.score.append(top)
-        self.worse.extend([top - score for score, _ in ranked[1:]] + [np.inf] * (self.n - len(ranked)))
-        self.others.append(tuple([ids for _, ids in ranked[1:]]))
-        self.number[word] = number
-        return number
-
-    def words(self, text: str) -> list[str]:
-        """What stands behind each space, that in front of the text included."""
+    def chunks(self, text: str) -> list[str]:
         if not text:
             return []
         if SPACE in text or _HIDDEN in text:
             if _HIDDEN in text:
                 raise ValueError("U+FDD0, a code point without a character, cannot be segmented")
             text = text.replace(SPACE, _HIDDEN)
-        if self.vocabulary.words_part:
-            words = text.split(" ")
-            if "" not in words:
-                return words
-            # A run of spaces stays together with the word behind it.
-            return [word[1:] for word in self.cut.findall(SPACE + text.replace(" ", SPACE))]
-        return [text.replace(" ", SPACE)]
-
-    def encode(self, texts: list[str]):
-        """Ids of the best segmentations of all texts, their offsets, and for every text its n best.
-
-        Each of these is a score and edits ``(at, dropped, ids)`` against the best ids of the text.
-        Order: higher score, then fewer changed words, then earlier changes.
+        return self.cut.findall(SPACE + text.replace(" ", SPACE))
+
+    def encode(self, text: str) -> tuple[bytes, list[tuple[float, list[tuple[int, int, tuple[int, ...]]]]]]:
+        """Ids of the best segmentation (32 bits each), and all ``n``: score, and edits ``(at, dropped, ids)`` of the best.
+
+        Order: higher score, then fewer changed chunks, then earlier changes.
         """
-        if len(self.size) > CACHE_CHUNKS:
-            self._clear()
-        split = [self.words(text) for text in texts]
-        known = self.number
-        get = known.get
-        numbers: list[int] = []
-        for words in split:
-            own = list(map(get, words))
-            if None in own:
-                for at, number in enumerate(own):
-                    if number is None:
-                        number = get(words[at])  # an earlier word of the text may have added it
-                        own[at] = self._add(words[at]) if number is None else number
-            numbers += own
-        if not numbers:
-            return np.zeros(0, dtype=np.int32), np.zeros(len(texts) + 1, dtype=np.int64), [[(0.0, [])] for _ in texts]
-        counts = np.array([len(words) for words in split], dtype=np.int64)
-        chosen = np.array(numbers, dtype=np.int64)
-        size = np.frombuffer(self.size, dtype=np.int32)[chosen].astype(np.int64)
-        begin = np.frombuffer(self.begin, dtype=np.int64)[chosen]
-        offsets = np.cumsum(size) - size
-        where = np.arange(int(size.sum())) + np.repeat(begin - offsets, size)
-        ids = np.frombuffer(self.pool, dtype=np.int32)[where]
-        edges = np.concatenate([[0], np.cumsum(counts)])
-        word_ends = np.concatenate([[0], np.cumsum(size)])
-        ends = word_ends[edges]
-        totals = np.zeros(len(texts))
-        own_score = np.frombuffer(self.score, dtype=np.float64)[chosen]
-        for i in range(len(texts)):
-            totals[i] = own_score[edges[i] : edges[i + 1]].sum()
-        ranked = [[(float(total), [])] for total in totals]
+        chunks = self.chunks(text)
+        if not chunks:
+            return b"", [(0.0, [])]
+        entries = list(map(self.young.get, chunks))
+        if None in entries:
+            entries = [self._entry(chunk) if entry is None else entry for chunk, entry in zip(chunks, entries, strict=True)]
+        ids = [entry[0] for entry in entries]
+        total = math.fsum([entry[1] for entry in entries])
+        ranked: list = [(total, [])]
         if self.n > 1:
-            worse = np.frombuffer(self.worse, dtype=np.float64).reshape(-1, self.n - 1)[chosen]
-            for i, best in enumerate(ranked):
-                first, last = edges[i], edges[i + 1]
-                costs = worse[first:last].ravel()
-                few = min(self.n - 1, len(costs))
-                if not few:
-                    continue
-                bound = np.partition(costs, few - 1)[few - 1]
-                near = np.flatnonzero(costs <= bound)
-                near = near[np.argsort(costs[near], kind="stable")[:few]].tolist()
-                singles = [
-                    (float(costs[j]), first + j // (self.n - 1), j % (self.n - 1)) for j in near if costs[j] < np.inf
+            worse = np.array([entry[2] for entry in entries])
+            few = min(self.n - 1, len(worse))
+            # The n - 1 best single changes are in chunks whose first change is at most this bad.
+            bound = np.partition(worse, few - 1)[few - 1]
+            singles = []
+            near: dict[str, list] = {}
+            order = np.flatnonzero(worse <= bound)
+            order = order[np.argsort(worse[order], kind="stable")][: few if np.isfinite(bound) else None]
+            for place in order[np.isfinite(worse[order])].tolist():
+                chunk = chunks[place]
+                if chunk not in near:
+                    near[chunk] = n_best(self.vocabulary, chunk, self.n)
+                top = near[chunk][0][0]
+                singles += [(top - score, place, other) for other, (score, _) in enumerate(near[chunk][1:], 1)]
+            singles = sorted(singles)[: self.n - 1]
+            offsets = list(accumulate(map(len, ids), initial=0))
+            for cost, changes in _changes(singles, self.n)[1:]:
+                edits = [
+                    (offsets[place] // 4, len(ids[place]) // 4, near[chunks[place]][other][1]) for place, other in changes
                 ]
-                for cost, changes in _changes(singles, self.n)[1:]:
-                    edits = [
-                        (int(offsets[word] - ends[i]), int(size[word]), self.others[chosen[word]][other])
-                        for word, other in changes
-                    ]
-                    best.append((float(totals[i]) - cost, edits))
-        for words in split:
-            for word in words:
-                if len(word) > CACHE_CHARS:
-                    known.pop(word, None)
-        return ids, ends, ranked
+                ranked.append((total - cost, edits))
+        return b"".join(ids), ranked
+
+
+def _chunk_pattern(vocabulary: Vocabulary) -> re.Pattern:
+    """Cuts a text, spaces as SPACE, into chunks that no piece reaches across.
+
+    Letters are one class of characters, with all that pieces hold next to a member of it; the others
+    are the second class. Spaces stay with what follows. If pieces hold a space behind another
+    character, or the classes can't be parted, a chunk is more than it needs to be, never less.
+    """
+    neighbours = [pair for pair in vocabulary.pairs if SPACE not in pair]
+    if any(pair[1] == SPACE and pair[0] != SPACE for pair in vocabulary.pairs):
+        return re.compile("(?s).+")
+    sticky = {c for pair in neighbours for c in pair if c.isalpha()}
+    grown = True
+    while grown:
+        more = {c for pair in neighbours if (pair[0] in sticky) != (pair[1] in sticky) for c in pair} - sticky
+        sticky |= more
+        grown = bool(more)
+    extra = "".join(re.escape(c) for c in sorted(c for c in sticky if not c.isalpha()))
+    # A letter without neighbours may stand with the others: no piece minds.
+    member, other = "[^\\W\\d_]+", f"[^\\w{SPACE}]+|[\\d_]+"
+    if extra:
+        member, other = f"(?:{member}|[{extra}]+)+", f"(?![{extra}])(?:[^\\w{SPACE}]|[\\d_])"
+    return re.compile(f"{SPACE}*{member}|{SPACE}*(?:{other})+|{SPACE}+")
 
 
 def _changes(singles: list[tuple[float, int, int]], n: int) -> list[tuple[float, tuple]]:
@@ -271,20 +241,6 @@ def _changes(singles: list[tuple[float, int, int]], n: int) -> list[tuple[float,
     return [(cost, places) for cost, _, places in sorted(sets)[:n]]
 
 
-def _combined(chunks: list, n: int) -> list[tuple[float, tuple[int, ...]]]:
-    singles = sorted(
-        (ranked[0][0] - score, place, other)
-        for place, ranked in enumerate(chunks)
-        for other, (score, _) in enumerate(ranked[1:], 1)
-    )[: n - 1]
-    out = []
-    for _, changes in _changes(singles, n):
-        pick = dict(changes)
-        parts = [ranked[pick.get(place, 0)] for place, ranked in enumerate(chunks)]
-        out.append((sum(score for score, _ in parts), tuple(i for _, ids in parts for i in ids)))
-    return out
-
-
 def decode(vocabulary: Vocabulary, ids) -> str:
     """The text of a sequence of ids, byte pieces joined to characters, without the space put in front."""
     raw = vocabulary.raw
@@ -332,22 +288,23 @@ def segment(docs: DataFrame, model: bytes, n: int = 4, id_col: str = "doc_id", t
                     values.append(texts[taken].as_py())
                     chars += len(values[-1])
                     taken += 1
-                ids, ends, best = encoder.encode(values)
-                flat = ids.tolist()
-                same = [
-                    decode(encoder.vocabulary, flat[ends[i] : ends[i + 1]]) == value for i, value in enumerate(values)
-                ]
-                ranked = [
-                    [
-                        {"score": s, "edits": [{"at": a, "dropped": d, "ids": e} for a, d, e in edits]}
-                        for s, edits in one
-                    ]
-                    for one in best
-                ]
+                ids, ranked, same = [], [], []
+                for value in values:
+                    raw, best = encoder.encode(value)
+                    ids.append(raw)
+                    same.append(decode(encoder.vocabulary, array("i", raw)) == value)
+                    ranked.append(
+                        [
+                            {"score": s, "edits": [{"at": a, "dropped": d, "ids": e} for a, d, e in edits]}
+                            for s, edits in best
+                        ]
+                    )
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32) // 4
+                flat = np.frombuffer(b"".join(ids), dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, taken - start),
-                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                         pa.array(ranked, _RANKED),
                         pa.array(same, pa.bool_()),
                     ],

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderlens.llm import hnsw, jaccard, linedup, pieces, pii, pitmanyor, quality, suffixes, warc
+from orderlens.llm import contamination, hnsw, jaccard, linedup, pieces, pii, pitmanyor, quality, suffixes, warc
 from orderlens.session import scratch_path, staged
 
 
@@ -34,6 +34,11 @@ def op3_quality_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, a row for each pair."""
+    return contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
@@ -120,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece_n_best": op1_sentencepiece_n_best,
     "op2_pii_crf": op2_pii_crf,
     "op3_quality_compression": op3_quality_compression,
+    "op4_latent_leaks": op4_latent_leaks,
     "op5_warc_transactions": op5_warc_transactions,
     "op6_line_runs": op6_line_runs,
     "op7_suffix_buckets": op7_suffix_buckets,
