@@ -13,7 +13,7 @@ counted by its shared list entries, dropped if even the most it could share is t
 compared whole.
 
 Lists longer than ``long_list``, as a large group of near copies makes them, are not paired off: each
-member is first compared with one of the list, twice, and connected sets become one component; then
+member is first compared with a few others, in rounds, and connected sets become one component; then
 only pairs of different components are left, of which every one is looked at.
 """
 
@@ -26,7 +26,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from orderlens.llm.common import SMALL_ROWS, components, mix64, text_parts, whole, words_of
 from orderlens.session import staged
@@ -387,22 +387,42 @@ def _with_roots(rows: DataFrame, links: DataFrame) -> DataFrame:
     return rows.join(roots, "signature", "left").withColumn("root", F.coalesce("root", "signature"))
 
 
+#: Members of a long list that every other one is compared with, round by round.
+PROBES = (1, 8, 32, 128)
+
+
 def _long_list_links(rows: DataFrame, docs: DataFrame, light: DataFrame, links: DataFrame, params: JoinParams) -> DataFrame:
-    """Links of sets that share a long list: found by two rounds of comparisons with one member of the list,
-    then by those of all pairs whose sets are not connected yet."""
+    """Links of sets that share a long list: found by comparisons with a few members of the list, then by
+    those of all pairs whose sets are not connected yet.
+
+    The first members are those with most places on long lists, which are nearest to what the list has in
+    common; the later ones are drawn by a hash. Sets already in one component are not compared again.
+    """
     rows = staged(rows.distinct(), "long-lists")
+    if not rows.limit(1).count():
+        return links
+    central = rows.groupBy("signature").agg(F.count("*").alias("lists"))
+    rows = staged(rows.join(central, "signature"), "long-lists")
     tried = None
-    for turn in range(2):
-        rooted = _with_roots(rows, links)
-        pick = F.min(F.struct(F.xxhash64(F.lit(turn), "signature").alias("h"), "signature", "n", "root"))
-        centre = rooted.groupBy("token").agg(pick.alias("c"))
+    for turn, probes in enumerate(PROBES):
+        rooted = staged(_with_roots(rows, links), "rooted")
+        nearest = [F.col("lists").desc()] if turn < 2 else []
+        order = W.partitionBy("token").orderBy(*nearest, F.xxhash64(F.lit(turn), "signature"), "signature")
+        # The limit works in each task before the shuffle: a list of any length sends a few rows.
+        centres = (
+            rooted.withColumn("turn", F.row_number().over(order))
+            .where(F.col("turn") <= probes)
+            .select("token", F.struct("signature", "n", "root").alias("c"))
+        )
         pairs = (
-            rooted.join(centre, "token")
+            rooted.join(centres, "token")
             .where((F.col("c.root") != F.col("root")) & _sizes_fit(F.col("n"), F.col("c.n"), params))
             .select(F.least("signature", "c.signature").alias("a"), F.greatest("signature", "c.signature").alias("b"))
             .distinct()
         )
-        pairs = staged(pairs, "star-pairs")
+        pairs = staged(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "star-pairs")
+        if not pairs.limit(1).count():
+            break
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = staged(links.unionByName(_linked(pairs, docs, light, params)).distinct(), "links")
     rooted = staged(_with_roots(rows, links), "rooted")
@@ -428,7 +448,7 @@ def _long_list_links(rows: DataFrame, docs: DataFrame, light: DataFrame, links:
         )
     )
     pairs = met.select(F.least("signature", "x").alias("a"), F.greatest("signature", "x").alias("b")).distinct()
-    pairs = staged(pairs.join(tried, ["a", "b"], "left_anti"), "open-pairs")
+    pairs = staged(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "open-pairs")
     return links.unionByName(_linked(pairs, docs, light, params)).distinct()
 
 

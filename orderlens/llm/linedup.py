@@ -118,7 +118,7 @@ def repeated_windows(lines: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     # A window has min_chars lines at most, every line counting for one character or more.
     most = windows.agg(F.max("size")).first()[0] or 1
     ranks = suffix_ranks(lines, most)
-    heights = [int(name[5:]) for name in ranks.columns if name.startswith("rank_")]
+    heights = sorted(int(name[5:]) for name in ranks.columns if name.startswith("rank_"))
 
     def rank(of: str = "") -> Column:
         found = F.lit(None).cast("long")

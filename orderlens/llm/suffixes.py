@@ -30,13 +30,14 @@ from orderlens.session import staged
 class SuffixParams:
     """``length``: bytes of a repeated string. The others change cost, not results: ``lead`` bytes of a leading
     token, ``sample_rows`` to choose splitters from, ``broadcast_tokens`` sent to all tasks at most (8 bytes
-    each; more are joined), ``hot_token`` rows of one token from which its windows are compared by a shuffle."""
+    each; more are joined), ``hot_token``: rows of one token that a task compares at most, in some 200 MB; the
+    windows of a token with more are compared by a shuffle."""
 
     length: int = 50
     lead: int = 20
     sample_rows: int = 100_000
     broadcast_tokens: int = 4_000_000
-    hot_token: int = 4096
+    hot_token: int = 1 << 16
 
 
 _STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
