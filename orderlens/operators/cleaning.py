@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from orderlens.config import DEFAULTS, Settings
 from orderlens.functions import calendar
 from orderlens.functions.measures import cents, money
+from orderlens.operators.joins import left_by_key
 
 # Columns a row must have to be used.
 REQUIRED = {
@@ -113,14 +114,15 @@ def dedup_reviews(reviews: DataFrame, settings: Settings = DEFAULTS) -> DataFram
     return valid.groupBy("order_id").agg(last.getField("review_score").alias("review_score"))
 
 
-def items_with_weight(items: DataFrame, products: DataFrame) -> DataFrame:
+def items_with_weight(items: DataFrame, products: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Items with their product's weight; an unknown product leaves it null."""
-    return items.join(products.select("product_id", "product_weight_g"), "product_id", "left")
+    columns = {c: c for c in ("product_id", "product_weight_g")}
+    return left_by_key(items, products, "product_id", columns, settings.join_salts)
 
 
-def items_weight_by_order(items: DataFrame, products: DataFrame) -> DataFrame:
+def items_weight_by_order(items: DataFrame, products: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Per order over all items, unfiltered: counts, sums, and the weight of every item."""
-    per_order = items_with_weight(items, products).groupBy("order_id").agg(
+    per_order = items_with_weight(items, products, settings).groupBy("order_id").agg(
         F.count("order_item_id").alias("nb_items"),
         F.countDistinct("seller_id").alias("nb_sellers"),
         money(F.sum(cents("price"))).alias("total_price"),

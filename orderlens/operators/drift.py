@@ -1,8 +1,8 @@
 """Drift of feature distributions between two periods.
 
 All watched columns go through one aggregation: rows become (column, value) pairs counted
-per period before the shuffle, values being whole hundredths. Every distance is then exact
-and works on distinct values, whatever the number of rows.
+per period before the shuffle. Every distance then works on distinct values as they are,
+whatever the number of rows.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from orderlens.functions.measures import count_of, half_up
 from orderlens.operators import evaluation
 from orderlens.session import staged
 
-# Hundredths per block of the value axis: running counts restart at each block.
-BLOCK = 10_000
+# Length of a block of the value axis: running counts restart at each block.
+BLOCK = 100.0
 WIDE = "decimal(38,0)"
 PSI_BANDS = 10
 PSI_FLOOR = 0.0001  # Fixed value: share given to an empty band.
@@ -40,11 +40,11 @@ def with_period(silver: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 def value_counts(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """(column_name, value, n_ref, n_cur): how often each value occurs per period. Nulls are left out."""
 
-    def hundredths(name: str) -> Column:
+    def number(name: str) -> Column:
         numeric = F.col(name).cast("int") if dict(rows.dtypes)[name] == "boolean" else F.col(name)
-        return F.floor(numeric.cast("double") * 100 + 0.5).alias(name)
+        return numeric.cast("double").alias(name)
 
-    wide = rows.select("period", *[hundredths(c) for c in columns])
+    wide = rows.select("period", *[number(c) for c in columns])
     long = wide.unpivot("period", list(columns), "column_name", "value").where("value IS NOT NULL")
     return long.groupBy("column_name", "value").agg(
         count_of(F.col("period") == "reference").alias("n_ref"),
@@ -103,12 +103,14 @@ def distances(counts: DataFrame) -> DataFrame:
         upto_ref.cast("decimal(19,0)") * F.col("total_cur").cast("decimal(19,0)")
         - upto_cur.cast("decimal(19,0)") * F.col("total_ref").cast("decimal(19,0)")
     ).cast(WIDE)
-    width = F.coalesce(following - F.col("value"), F.lit(0))
+    width = F.coalesce(following - F.col("value"), F.lit(0.0))
+    pairs_of_rows = F.col("total_ref").cast("double") * F.col("total_cur").cast("double")
     p = F.try_divide(F.col("n_ref").cast("double"), F.col("total_ref").cast("double"))
     q = F.try_divide(F.col("n_cur").cast("double"), F.col("total_cur").cast("double"))
     mixed = (p + q) / 2
-    span = F.col("highest") - F.col("lowest") + 1
-    band = F.floor((F.col("value") - F.col("lowest")) * PSI_BANDS / span).cast("int")
+    span = F.col("highest") - F.col("lowest")
+    tenth = F.floor((F.col("value") - F.col("lowest")) * PSI_BANDS / span)
+    band = F.when(span > 0, F.least(tenth, F.lit(PSI_BANDS - 1))).otherwise(0).cast("int")
     points = positioned.select(
         "column_name",
         "n_values",
@@ -118,7 +120,7 @@ def distances(counts: DataFrame) -> DataFrame:
         "n_cur",
         "value",
         gap.alias("gap"),
-        (gap * width.cast("decimal(19,0)")).cast(WIDE).alias("area"),
+        (F.try_divide(gap.cast("double"), pairs_of_rows) * width).alias("area"),
         (_entropy_term(p, mixed) + _entropy_term(q, mixed)).alias("divergence"),
         band.alias("band"),
     )
@@ -128,9 +130,9 @@ def distances(counts: DataFrame) -> DataFrame:
         F.sum("n_ref").cast("double").alias("ref"),
         F.sum("n_cur").cast("double").alias("cur"),
         F.max("gap").alias("gap"),
-        F.sum("area").cast(WIDE).alias("area"),
+        F.sum("area").alias("area"),
         F.sum("divergence").alias("divergence"),
-        F.sum((F.col("value") * F.col("n_ref")).cast("decimal(38,0)")).cast(WIDE).alias("first_moment"),
+        F.sum(value * n).alias("first_moment"),
         F.sum(value * value * n).alias("second_moment"),
     )
     share_ref = F.try_divide(F.col("ref"), F.col("total_ref").cast("double"))
@@ -139,9 +141,9 @@ def distances(counts: DataFrame) -> DataFrame:
     floored_cur = F.when(share_cur > 0, share_cur).otherwise(PSI_FLOOR)
     per_column = banded.groupBy("column_name", "n_values", "total_ref", "total_cur").agg(
         F.max("gap").cast("double").alias("gap"),
-        F.sum("area").cast("double").alias("area"),
+        F.sum("area").alias("area"),
         F.sum("divergence").alias("divergence"),
-        F.sum("first_moment").cast("double").alias("first_moment"),
+        F.sum("first_moment").alias("first_moment"),
         F.sum("second_moment").alias("second_moment"),
         F.sum((floored_cur - floored_ref) * F.log(floored_cur / floored_ref)).alias("psi"),
     )
@@ -149,14 +151,14 @@ def distances(counts: DataFrame) -> DataFrame:
     pairs = total_ref * F.col("total_cur").cast("double")
     average = F.try_divide("first_moment", total_ref)
     variance = F.greatest(F.try_divide("second_moment", total_ref) - average * average, F.lit(0.0))
-    norm = F.greatest(F.sqrt(variance) / 100, F.lit(MIN_NORM))
+    norm = F.greatest(F.sqrt(variance), F.lit(MIN_NORM))
     known = F.col("total_ref") * F.col("total_cur") > 0
     return per_column.select(
         "column_name",
         "n_values",
         "total_ref",
         "total_cur",
-        F.when(known, half_up(F.try_divide("area", pairs) / 100 / norm, 6)).alias("wasserstein"),
+        F.when(known, half_up(F.col("area") / norm, 6)).alias("wasserstein"),
         F.when(known, half_up(F.try_divide("gap", pairs), 6)).alias("ks"),
         F.when(known, half_up(F.sqrt(F.greatest(F.col("divergence") / 2, F.lit(0.0))), 6)).alias("jensen_shannon"),
         F.when(known, half_up(F.greatest(F.col("psi"), F.lit(0.0)), 6)).alias("psi"),
@@ -238,7 +240,7 @@ def drift_tests(dataset: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 def outcome_metrics(counts: DataFrame) -> DataFrame:
     """Precision and recall per period from the value counts of ``outcome`` (2 x label + prediction)."""
-    code = F.floor(F.col("value") / 100)
+    code = F.col("value").cast("int")
     per_period = counts.unpivot(["value"], ["n_ref", "n_cur"], "side", "n").select(
         F.when(F.col("side") == "n_ref", "reference").otherwise("current").alias("period"),
         F.floor(code / 2).cast("int").alias("label"),

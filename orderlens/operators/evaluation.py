@@ -63,21 +63,30 @@ def confusion_matrix(rows: DataFrame, threshold: float = 0.5, probability: str =
     return rows.groupBy(LABEL, prediction).agg(F.count("*").alias("n_rows"))
 
 
-def roc_auc(rows: DataFrame, probability: str = "probability", digits: int = 4) -> DataFrame:
+# Running counts restart at each of so many parts of the score range.
+BLOCKS = 1 << 16
+
+
+def roc_auc(rows: DataFrame, probability: str = "probability") -> DataFrame:
     """Area under the ROC curve as the share of (late, punctual) pairs ranked rightly, ties half.
 
-    Rows are first counted per score rounded to ``digits``, so the running count goes over
-    at most 10**digits + 1 rows. Null with a single class.
+    Rows are first counted per score; running counts are added block by block of the score range, so
+    no task sees all scores. Scores are compared as they are. Null with a single class.
     """
-    scale = 10**digits
-    counts = rows.groupBy(F.floor(F.col(probability) * scale + 0.5).alias("score")).agg(
+    counts = rows.groupBy(F.col(probability).alias("score")).agg(
         count_of(F.col(LABEL) == 1).alias("late"), count_of(F.col(LABEL) == 0).alias("punctual")
     )
-    lower = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("punctual").over(lower), F.lit(0))
+    counts = counts.withColumn("block", F.floor(F.col("score") * BLOCKS))
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.groupBy("block").agg(F.sum("punctual").alias("n")).select(
+        "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    )
+    lower = Window.partitionBy("block").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("before") + F.coalesce(F.sum("punctual").over(lower), F.lit(0))
     # Twice the pairs won, so that ties stay whole numbers.
     wins = F.col("late").cast("decimal(20,0)") * (below * 2 + F.col("punctual")).cast("decimal(20,0)")
-    totals = counts.select("late", "punctual", wins.cast("decimal(38,0)").alias("wins")).agg(
+    placed = counts.join(before, "block")
+    totals = placed.select("late", "punctual", wins.cast("decimal(38,0)").alias("wins")).agg(
         F.coalesce(F.sum("wins"), F.lit(0)).alias("wins"),
         F.coalesce(F.sum("late"), F.lit(0)).alias("n_late"),
         F.coalesce(F.sum("punctual"), F.lit(0)).alias("n_punctual"),
@@ -90,7 +99,8 @@ def calibration_check(rows: DataFrame, probability: str = "probability") -> Data
     """Mean predicted against observed rate, over all rows ('all') and per tenth of the
     probability scale."""
     tenth = F.least(F.floor(F.col(probability) * 10), F.lit(9)).cast("int")
-    exact = F.floor(F.col(probability) * 10000 + 0.5)
+    # Eighteen digits of each probability add up to the same whatever the order of rows.
+    exact = F.col(probability).cast("decimal(20,18)")
     binned = rows.select(tenth.cast("string").alias("band"), exact.alias("p"), F.col(LABEL))
     counts = binned.rollup("band").agg(
         F.count("*").alias("n_rows"), F.sum("p").alias("p"), F.sum(LABEL).cast("bigint").alias("n_late")
@@ -99,7 +109,7 @@ def calibration_check(rows: DataFrame, probability: str = "probability") -> Data
     return counts.select(
         F.coalesce("band", F.lit("all")).alias("band"),
         "n_rows",
-        half_up(F.try_divide(F.col("p").cast("double") / 10000, n), 6).alias("mean_predicted"),
+        half_up(F.try_divide(F.col("p").cast("double"), n), 6).alias("mean_predicted"),
         half_up(F.try_divide(F.col("n_late").cast("double"), n), 6).alias("observed_rate"),
     )
 

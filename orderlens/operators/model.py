@@ -23,17 +23,21 @@ from orderlens.session import shared_folder
 
 @dataclass(frozen=True)
 class TreeParams:
+    """Trees, and the class weight and cut-off that belong to them: weighted trees are cut at one half."""
+
     trees: int = 500
     depth: int = 5
     rate: float = 0.05
     row_share: float = 0.8
     column_share: float = 0.8
     min_leaf: int = 3
+    class_weight: str = "balanced"  # or "none"
+    threshold: float = 0.5
 
 
 # Settings of the monthly, the local and the scheduled training runs.
 MONTHLY = TreeParams()
-LOCAL = TreeParams(trees=300, depth=6, rate=0.1, min_leaf=1)
+LOCAL = TreeParams(trees=300, depth=6, rate=0.1, min_leaf=1, class_weight="none", threshold=0.20)
 SCHEDULED = TreeParams(trees=400, min_leaf=1)
 
 # The tuning grid.
@@ -70,7 +74,7 @@ def train(
     trees = _trees(params, settings.seed)
     if validation:
         trees = trees.setValidationIndicatorCol(validation)
-    return Pipeline(stages=[assembler(), trees]).fit(with_weight(rows, settings))
+    return Pipeline(stages=[assembler(), trees]).fit(with_weight(rows, settings.but(class_weight=params.class_weight)))
 
 
 def tune(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,38 +12,19 @@ from orderlens.functions import calendar
 from orderlens.functions.measures import count_of, half_up
 from orderlens.functions.risk import PRIORITIES, feature_columns, reward, risk_level, risk_to_action
 from orderlens.operators import cleaning, silver
-from orderlens.session import staged
 
-# Candidates looked at per recent order wanted.
-OVERSCAN = 25
+# A short list of orders is broadcast up to this length, and joined beyond it.
+SHORT_LIST = 100_000
 
 
 def having_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     return orders.join(items.select("order_id"), "order_id", "left_semi")
 
 
-def recent_orders(
-    orders: DataFrame,
-    items: DataFrame,
-    settings: Settings = DEFAULTS,
-    stage: Callable[[DataFrame], DataFrame] = staged,
-) -> DataFrame:
-    """The latest orders, of any status, that have items.
-
-    A multiple of the latest orders, bounded by its limit, is looked up in the items by
-    broadcast, which scans one column of the items and shuffles none. Only if too few of
-    them have items is the whole order table joined.
-    """
+def recent_orders(orders: DataFrame, items: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The latest orders, of any status, that have items: a semi-join on the key, then a limit per task."""
     newest = [F.desc_nulls_last(calendar.BOUGHT), F.asc("order_id")]
-    wanted = settings.recent_orders
-    candidates = stage(orders.orderBy(*newest).limit(wanted * OVERSCAN))
-    ids = F.broadcast(candidates.select("order_id"))
-    present = items.join(ids, "order_id", "left_semi").select("order_id").distinct()
-    found = stage(candidates.join(present, "order_id", "left_semi").orderBy(*newest).limit(wanted))
-    # With fewer candidates than asked for, the candidates are all the orders there are.
-    if found.count() == wanted or candidates.count() < wanted * OVERSCAN:
-        return found
-    return having_items(orders, items).orderBy(*newest).limit(wanted)
+    return having_items(orders, items).orderBy(*newest).limit(settings.recent_orders)
 
 
 def payloads(
@@ -58,15 +39,16 @@ def payloads(
 
     Weekday numbering and the cross-state rule are those of Silver; items are counted and
     weighed unfiltered. ``dataset.training_set_of_orders`` trains on the same columns.
-    ``chosen`` says the orders are a short list (a limit has bounded them): only their
-    items and payments are then aggregated, found by a broadcast semi-join.
+    ``chosen`` says the orders are ``recent_orders`` ones: only their items and payments are then
+    aggregated, found by a semi-join, which broadcasts the list if the setting keeps it short.
     """
     items, payments = tables["order_items"], tables["payments"]
     if chosen:
-        ids = F.broadcast(orders.select("order_id"))
+        ids = orders.select("order_id")
+        ids = F.broadcast(ids) if settings.recent_orders <= SHORT_LIST else ids
         items, payments = (t.join(ids, "order_id", "left_semi") for t in (items, payments))
     joined = (
-        orders.join(cleaning.items_weight_by_order(items, tables["products"]), "order_id")
+        orders.join(cleaning.items_weight_by_order(items, tables["products"], settings), "order_id")
         .join(cleaning.max_installments_by_order(payments), "order_id", "left")
         .transform(silver.with_customers, tables["customers"], settings)
         .transform(silver.with_sellers, tables["sellers"], settings)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,13 +22,19 @@ def land(spark: SparkSession, raw: str, lakehouse: str, files: Mapping[str, str]
     return lake.write_bronze(landing.ingest_all(spark, raw, files), f"{lakehouse}/bronze")
 
 
-def sync(spark: SparkSession, raw: str, lakehouse: str, files: Mapping[str, str] | None = None) -> None:
-    """The periodic intake into an existing Bronze: new orders are appended, their items,
-    payments and reviews replaced."""
+def sync(
+    spark: SparkSession,
+    raw: str,
+    lakehouse: str,
+    files: Mapping[str, str] | None = None,
+    replaced: Iterable[str] = REPLACED,
+) -> None:
+    """The periodic intake into an existing Bronze: new orders are appended, the ``replaced`` tables
+    taken in whole. Add customers, sellers and products to them where new orders may bring new ones."""
     size_shuffles(spark, raw)
-    tables = landing.ingest_all(spark, raw, files, only=("orders", *REPLACED))
+    tables = landing.ingest_all(spark, raw, files, only=("orders", *replaced))
     incremental.append_new(spark, tables["orders"], f"{lakehouse}/bronze/orders")
-    for name in REPLACED:
+    for name in replaced:
         lake.full_refresh(tables[name], f"{lakehouse}/bronze/{name}")
 
 
@@ -50,9 +56,15 @@ def publish(spark: SparkSession, lakehouse: str, settings: Settings = DEFAULTS)
     return {name: lake.read_gold(spark, f"{lakehouse}/gold", name) for name in CONTRACTS}
 
 
-def export(spark: SparkSession, lakehouse: str, database: str = "analytics", path: str | None = None) -> None:
+def export(
+    spark: SparkSession,
+    lakehouse: str,
+    database: str = "analytics",
+    path: str | None = None,
+    widths: Mapping[str, int] | None = None,
+) -> None:
     gold = {name: lake.read_gold(spark, f"{lakehouse}/gold", name) for name in CONTRACTS}
-    warehouse.export_warehouse(gold, database, path)
+    warehouse.export_warehouse(gold, database, path, widths)
 
 
 def preview(df: DataFrame, rows: int = 5) -> None:

@@ -12,6 +12,7 @@ from orderlens.config import DEFAULTS, Settings
 from orderlens.functions.risk import feature_columns
 from orderlens.operators import dataset, model
 from orderlens.plans import medallion, monitoring
+from orderlens.schemas import SOURCES
 from orderlens.session import staged
 from orderlens.sources import lake
 
@@ -28,6 +29,7 @@ class MonthlyRun:
     quality: DataFrame
     gold: dict[str, DataFrame]
     training: Training
+    queue: Training
     monitoring: dict[str, DataFrame]
 
 
@@ -36,7 +38,13 @@ def train_and_evaluate(
 ) -> Training:
     """Fit on the training share of Silver, judge on the rest. The rows are staged: the split
     and every tree read them again."""
-    rows = staged(dataset.with_split(staged(dataset.training_set(silver)), settings))
+    return fit_and_judge(dataset.training_set(silver), params, settings)
+
+
+def fit_and_judge(labelled: DataFrame, params: model.TreeParams, settings: Settings) -> Training:
+    """The same for any labelled rows, cut off where the preset says."""
+    settings = settings.but(decision_threshold=params.threshold)
+    rows = staged(dataset.with_split(labelled, settings))
     train = rows.where("is_train")
     fitted = model.train(train, params, settings)
     predicted = staged(model.predict(fitted, rows.where("NOT is_train")))
@@ -49,7 +57,9 @@ def monthly_job(
     params: model.TreeParams = model.MONTHLY,
     settings: Settings = DEFAULTS,
 ) -> MonthlyRun:
-    """From stored Bronze on. The model is saved if it passes the gate; monitoring runs either way."""
+    """From stored Bronze on. Two models are trained: one on Silver rows, and that of the order queue and
+    the stream, on orders as these send them. Each is saved if it passes the gate. Monitoring runs either
+    way, on the Silver rows the model was not fitted to."""
     quality = medallion.refine(spark, lakehouse, settings)
     gold = medallion.publish(spark, lakehouse, settings)
     silver = lake.read_silver(spark, f"{lakehouse}/silver/orders_consolidated")
@@ -60,10 +70,18 @@ def monthly_job(
     lake.write_json(model.feature_importance(training.model, spark), f"{lakehouse}/reports/feature_importance")
     if report.where("decision = 'deploy_model'").take(1):
         model.save(training.model, f"{lakehouse}/models/late_delivery")
-    watched = monitoring.run_monitoring(_scored(silver, training.model), settings)
+    bronze = {name: lake.read_bronze(spark, f"{lakehouse}/bronze", name) for name in SOURCES}
+    waiting = fit_and_judge(dataset.training_set_of_orders(bronze, settings), params, settings)
+    waiting.report = staged(waiting.report)
+    lake.write_json(waiting.report, f"{lakehouse}/reports/queue_training")
+    if waiting.report.where("decision = 'deploy_model'").take(1):
+        model.save(waiting.model, f"{lakehouse}/models/order_queue")
+    fresh = silver.join(training.predicted_test.select("order_id"), "order_id", "left_semi")
+    judged = settings.but(decision_threshold=params.threshold)
+    watched = monitoring.run_monitoring(_scored(fresh, training.model), judged)
     record = watched["summary"].withColumn("generated_at", F.current_timestamp())
     lake.write_json(record, f"{lakehouse}/reports/monitoring")
-    return MonthlyRun(quality, gold, training, watched)
+    return MonthlyRun(quality, gold, training, waiting, watched)
 
 
 def _scored(silver: DataFrame, fitted: PipelineModel) -> DataFrame:

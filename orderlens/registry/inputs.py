@@ -20,7 +20,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = tune(spark)
         self.folder = folder
-        size_shuffles(spark, folder)
+        size_shuffles(spark, *(f"{folder}/{table}.parquet" for table in retail.RAW))
 
     @cached_property
     def tables(self) -> retail.RetailTables:

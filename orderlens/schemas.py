@@ -121,66 +121,67 @@ SILVER = (
     "product_photos_qty",
 )
 
-# Warehouse column types; "!" marks a column that may not be null.
+# Names, order, text widths and scales of the warehouse columns; "!" marks a column
+# that may not be null. Counts and amounts are as wide as the target data needs.
 # ``inserted_at`` is added to each table on export.
 CONTRACTS: dict[str, dict[str, str]] = {
     "late_rate_by_state": {
         "customer_state": "varchar(2)!",
-        "total_orders": "int!",
-        "late_orders": "int!",
-        "avg_delivery_days": "decimal(6,2)",
-        "avg_review_score": "decimal(3,2)",
-        "late_rate_pct": "decimal(5,2)",
+        "total_orders": "bigint!",
+        "late_orders": "bigint!",
+        "avg_delivery_days": "decimal(18,2)",
+        "avg_review_score": "decimal(18,2)",
+        "late_rate_pct": "decimal(18,2)",
     },
     "late_rate_by_category": {
         "product_category_name_english": "varchar(50)!",
-        "total_orders": "int!",
-        "late_orders": "int!",
-        "avg_price": "decimal(8,2)",
-        "avg_review_score": "decimal(3,2)",
-        "late_rate_pct": "decimal(5,2)",
+        "total_orders": "bigint!",
+        "late_orders": "bigint!",
+        "avg_price": "decimal(18,2)",
+        "avg_review_score": "decimal(18,2)",
+        "late_rate_pct": "decimal(18,2)",
     },
     "seller_performance": {
         "main_seller_id": "varchar(64)!",
         "seller_state": "varchar(2)",
-        "total_orders": "int!",
-        "late_orders": "int!",
-        "avg_delivery_days": "decimal(6,2)",
-        "avg_review_score": "decimal(3,2)",
-        "avg_order_value": "decimal(8,2)",
-        "late_rate_pct": "decimal(5,2)",
-        "seller_rank": "smallint!",
+        "total_orders": "bigint!",
+        "late_orders": "bigint!",
+        "avg_delivery_days": "decimal(18,2)",
+        "avg_review_score": "decimal(18,2)",
+        "avg_order_value": "decimal(18,2)",
+        "late_rate_pct": "decimal(18,2)",
+        "seller_rank": "int!",
     },
     "cross_state_impact": {
         "cross_state_delivery": "boolean!",
-        "total_orders": "int!",
-        "late_orders": "int!",
-        "avg_delivery_days": "decimal(6,2)",
-        "avg_review_score": "decimal(3,2)",
-        "late_rate_pct": "decimal(5,2)",
+        "total_orders": "bigint!",
+        "late_orders": "bigint!",
+        "avg_delivery_days": "decimal(18,2)",
+        "avg_review_score": "decimal(18,2)",
+        "late_rate_pct": "decimal(18,2)",
     },
     "delay_review_impact": {
         "is_late": "boolean!",
-        "total_orders": "int!",
-        "avg_review_score": "decimal(3,2)",
-        "bad_reviews": "int",
-        "bad_review_rate_pct": "decimal(5,2)",
+        "total_orders": "bigint!",
+        "avg_review_score": "decimal(18,2)",
+        "bad_reviews": "bigint",
+        "bad_review_rate_pct": "decimal(18,2)",
     },
     "monthly_trend": {
         "purchase_year": "smallint!",
         "purchase_month": "smallint!",
-        "total_orders": "int!",
-        "late_orders": "int!",
-        "avg_order_value": "decimal(8,2)",
-        "avg_review_score": "decimal(3,2)",
-        "late_rate_pct": "decimal(5,2)",
+        "total_orders": "bigint!",
+        "late_orders": "bigint!",
+        "avg_order_value": "decimal(18,2)",
+        "avg_review_score": "decimal(18,2)",
+        "late_rate_pct": "decimal(18,2)",
     },
     "weekday_pattern": {
         "purchase_weekday": "smallint!",
-        "total_orders": "int!",
-        "late_orders": "int!",
-        "avg_delivery_days": "decimal(6,2)",
-        "late_rate_pct": "decimal(5,2)",
+        "total_orders": "bigint!",
+        "late_orders": "bigint!",
+        "avg_delivery_days": "decimal(18,2)",
+        "late_rate_pct": "decimal(18,2)",
     },
 }
 

@@ -47,22 +47,27 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(
-    spark: SparkSession, folder: str, bytes_each: int = 256 * 1024 * 1024, most: int = 40_000
-) -> None:
-    """Start shuffles with enough partitions for the input under ``folder``.
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffles(spark: SparkSession, *folders: str, bytes_each: int = 256 * 1024 * 1024) -> None:
+    """Start shuffles with enough partitions for the input under ``folders``.
 
     AQE merges partitions that turn out small but never adds any, so the starting number has
-    to fit the data. Small inputs leave the session as it is.
+    to fit the data. An input that needs no more than the session's own number gets that: what
+    a larger input before it asked for does not stay.
     """
-    target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    size = target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
-    wanted = min(most, size // bytes_each)
+    size = 0
+    for folder in folders:
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        if system.exists(target):
+            size += system.getContentSummary(target).getLength()
+    wanted = size // bytes_each
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-    if size > 1 << 40:
-        # Terabytes of input: fewer and longer scan tasks, the columns read being few.
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(512 * 1024 * 1024))
+        spark.conf.set(INITIAL, str(wanted))
+    else:
+        spark.conf.unset(INITIAL)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -1,4 +1,4 @@
-"""Cursor-based append: only orders not yet in the target."""
+"""Appending orders to Bronze: by cursor, or every order not stored yet. One way of writing for both."""
 
 from __future__ import annotations
 
@@ -8,32 +8,59 @@ from pyspark.sql import functions as F
 from orderlens.functions import calendar
 from orderlens.functions.calendar import BOUGHT
 from orderlens.session import path_exists
+from orderlens.sources.lake import by_partition
+
+MONTH = "purchase_ym"
+# Storage months are spelt yyyy-mm and sort between these; rows without a date are stored under null.
+FIRST_MONTH, LAST_MONTH = "0000-00", "9999-99"
 
 
 def new_rows(
     source: DataFrame, target: DataFrame, cursor: str = BOUGHT, key: str = "order_id", month: str | None = None
 ) -> DataFrame:
-    """Rows at or past the target's last cursor value whose key the target lacks.
+    """Rows at or past the target's last cursor value, and rows without one, whose key the target lacks.
 
     ``>=`` together with the anti-join keeps late rows that share the last cursor value
-    and makes a repeated run add nothing. Only target rows at the cursor value can clash,
-    so the anti-join sees that slice alone, not the whole target. ``month`` names the
-    target's storage partition by month of the cursor: only the last one is then read.
+    and makes a repeated run add nothing. Only target rows at the cursor value, or without
+    any, can clash, so the anti-join sees these slices alone. ``month`` names the target's
+    storage partition by month of the cursor: the last one, and that of rows without a date,
+    are then read. The mark comes from dated rows only.
     """
+    dated, undated = target, target.where(F.col(cursor).isNull())
     if month:
-        target = target.where(F.col(month) == target.agg(F.max(month)).scalar())
+        named = target.where(F.col(month).between(FIRST_MONTH, LAST_MONTH))
+        dated = target.where(F.col(month) == named.agg(F.max(month)).scalar())
+        undated = undated.where(F.col(month).isNull() | ~F.col(month).between(FIRST_MONTH, LAST_MONTH))
     first = F.lit("0001-01-01").cast(target.schema[cursor].dataType)
-    mark = target.agg(F.coalesce(F.max(cursor), first)).scalar()
+    mark = dated.agg(F.coalesce(F.max(cursor), first)).scalar()
     # Plain comparisons with the mark, so both scans can skip older row groups.
-    fresh = source.where(F.col(cursor) >= mark)
-    at_mark = target.where(F.col(cursor) == mark).select(key)
-    return fresh.join(at_mark, key, "left_anti")
+    fresh = source.where((F.col(cursor) >= mark) | F.col(cursor).isNull())
+    known = dated.where(F.col(cursor) == mark).select(key).unionByName(undated.select(key))
+    return fresh.join(known, key, "left_anti")
 
 
-def append_new(spark: SparkSession, orders: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append new orders to Bronze, stored by purchase month, creating it on the first run."""
-    orders = orders.withColumn("purchase_ym", calendar.year_month())
+def missing_rows(source: DataFrame, target: DataFrame, key: str = "order_id", month: str = MONTH) -> DataFrame:
+    """Rows whose key the target lacks in the same storage month, wherever the cursor stands."""
+    stored = target.select(F.col(key).alias("_key"), F.col(month).alias("_month")).distinct()
+    same = (source[key] == F.col("_key")) & source[month].eqNullSafe(F.col("_month"))
+    return source.join(stored, same, "left_anti")
+
+
+def _append(spark: SparkSession, orders: DataFrame, path: str, fmt: str, cursor: bool) -> None:
+    orders = orders.withColumn(MONTH, calendar.year_month())
+    if path_exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} is the folder of a file stream, which hides what others write there")
     if path_exists(spark, path):
         target = spark.read.schema(orders.schema).format(fmt).load(path)
-        orders = new_rows(orders, target, month="purchase_ym")
-    orders.write.format(fmt).mode("append").partitionBy("purchase_ym").save(path)
+        orders = new_rows(orders, target, month=MONTH) if cursor else missing_rows(orders, target)
+    by_partition(orders, MONTH).write.format(fmt).mode("append").partitionBy(MONTH).save(path)
+
+
+def append_new(spark: SparkSession, orders: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Append orders from the last cursor value on to Bronze, stored by purchase month, creating it on the first run."""
+    _append(spark, orders, path, fmt, cursor=True)
+
+
+def append_missing(spark: SparkSession, orders: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Append the orders that Bronze does not hold yet, older ones too; a second run adds nothing."""
+    _append(spark, orders, path, fmt, cursor=False)

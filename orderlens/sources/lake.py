@@ -14,7 +14,7 @@ from orderlens.schemas import SILVER
 FORMAT = "parquet"
 
 
-def _by_partition(df: DataFrame, *columns: str) -> DataFrame:
+def by_partition(df: DataFrame, *columns: str) -> DataFrame:
     """Rows gathered by storage partition. Rebalancing lets AQE split a partition that
     outgrows the advisory size (a month may hold a third of all orders) and merge small ones."""
     return df.hint("rebalance", *[F.col(c) for c in columns])
@@ -27,7 +27,7 @@ def write_bronze(tables: Mapping[str, DataFrame], folder: str, fmt: str = FORMAT
     for table, df in tables.items():
         months = ("purchase_ym",) if table == "orders" else ()
         if months:
-            df = _by_partition(df.withColumn("purchase_ym", calendar.year_month()), *months)
+            df = by_partition(df.withColumn("purchase_ym", calendar.year_month()), *months)
         # Observed in the writing stage, behind any shuffle: a stage run again after a lost
         # executor is not counted twice.
         seen = Observation(table)
@@ -48,7 +48,7 @@ def read_bronze(spark: SparkSession, folder: str, table: str, fmt: str = FORMAT)
 def write_silver(df: DataFrame, path: str, fmt: str = FORMAT) -> None:
     """Replace Silver, stored by year and month."""
     months = ("purchase_year", "purchase_month")
-    _by_partition(df, *months).write.format(fmt).mode("overwrite").partitionBy(*months).save(path)
+    by_partition(df, *months).write.format(fmt).mode("overwrite").partitionBy(*months).save(path)
 
 
 def read_silver(spark: SparkSession, path: str, keep: bool = False, fmt: str = FORMAT) -> DataFrame:

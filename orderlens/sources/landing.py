@@ -96,7 +96,10 @@ def _order_bodies(raw: DataFrame, body: str) -> DataFrame:
 
 
 def _readable() -> Column:
-    return F.col("text").isNotNull() & F.col(f"body.{CORRUPT}").isNull() & ~F.col("text").rlike(r"^\s*(\{\s*\})?\s*$")
+    blank = F.col("text").rlike(r"^\s*(\{\s*\})?\s*$")
+    # A list without an order in it, empty or of nulls only, is no better than an empty body.
+    nothing = F.coalesce(F.forall("body.orders", lambda o: o.isNull()), F.lit(False))
+    return F.col("text").isNotNull() & F.col(f"body.{CORRUPT}").isNull() & ~blank & ~nothing
 
 
 def parse_order_json(raw: DataFrame, body: str = "value") -> DataFrame:
@@ -107,11 +110,12 @@ def parse_order_json(raw: DataFrame, body: str = "value") -> DataFrame:
     """
     names = schemas.PAYLOAD.fieldNames()
     one = F.struct(*[F.col(f"body.{n}").alias(n) for n in names])
-    listed = F.coalesce("body.orders", F.array(one))
+    # A null in a list is no order.
+    listed = F.coalesce(F.filter("body.orders", lambda o: o.isNotNull()), F.array(one))
     rows = _order_bodies(raw, body).where(_readable()).select(F.explode(listed).alias("o"))
     return rows.select("o.*").withColumn("order_id", F.coalesce("order_id", F.lit("unknown")))
 
 
 def rejected_order_json(raw: DataFrame, body: str = "value") -> DataFrame:
-    """Bodies that hold no order: null, blank, empty object, not JSON, or of a wrong type."""
+    """Bodies that hold no order: null, blank, empty object or list, not JSON, or of a wrong type."""
     return _order_bodies(raw, body).where(~_readable()).select(F.col("text").alias(body))

@@ -7,58 +7,92 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.functions.measures import half_up
 from orderlens.schemas import CONTRACTS
 
 UNKNOWN = "unknown"
+STAMP = "inserted_at"
 
 
-def _conform(name: str, kind: str) -> Column:
+def contract_types(table: str, widths: Mapping[str, int] | None = None) -> dict[str, str]:
+    """Declared types of a table. ``widths`` replaces the width of text columns."""
+    types = dict(CONTRACTS[table])
+    for name, width in (widths or {}).items():
+        if name in types:
+            types[name] = f"varchar({width})" + "!" * types[name].endswith("!")
+    return types
+
+
+def _conform(table: str, name: str, kind: str) -> Column:
     kind, required = kind.rstrip("!"), kind.endswith("!")
+    given = F.col(name)
     if kind.startswith("varchar"):
-        width = int(kind[len("varchar(") : -1])
-        value = F.substring(F.col(name).cast("string"), 1, width)
+        value = given.cast("string")
+        fits = F.length(value) <= int(kind[len("varchar(") : -1])
         if required:
-            value = F.coalesce(value, F.lit(UNKNOWN[:width]))
-        return value
-    if kind.startswith("decimal"):
-        digits = int(kind.split(",")[1][:-1])
-        return half_up(F.col(name).cast("double"), digits).try_cast(kind)
-    return F.col(name).try_cast(kind)
-
-
-def apply_contract(df: DataFrame, table: str, stamp: bool = True) -> DataFrame:
-    """Project to the declared types: text cut to width, numbers that do not fit null,
-    ``inserted_at`` added. A null in a required non-text column fails the job; a null
+            value = F.coalesce(value, F.lit(UNKNOWN))
+    else:
+        value = given
+        if kind.startswith("decimal"):
+            value = F.round(given.cast("decimal(38,10)"), int(kind.split(",")[1][:-1]))
+        value = value.try_cast(kind)
+        fits = value.isNotNull()
+    said = F.lit(f"{table}.{name} does not fit {kind}: ")
+    wrong = given.isNotNull() & ~fits
+    refused = F.raise_error(F.concat(said, given.cast("string")))
+    if required and not kind.startswith("varchar"):
+        wrong = given.isNull() | wrong
+        refused = F.raise_error(F.concat(said, F.coalesce(given.cast("string"), F.lit("null"))))
+    return F.when(wrong, refused.cast(value_type(kind))).otherwise(value)
+
+
+def value_type(kind: str) -> str:
+    return "string" if kind.startswith("varchar") else kind
+
+
+def apply_contract(
+    df: DataFrame, table: str, stamp: bool = True, widths: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Project to the declared types; ``inserted_at`` is added. Nothing is cut or lost: text wider than
+    its column and numbers that do not fit fail the job, as does a null in a required number. A null
     text key (an unmatched category) becomes 'unknown'."""
-    columns = []
-    for name, kind in CONTRACTS[table].items():
-        value = _conform(name, kind)
-        if kind.endswith("!") and not kind.startswith("varchar"):
-            message = F.lit(f"{table}.{name} is null or does not fit {kind[:-1]}")
-            value = F.when(value.isNull(), F.raise_error(message).cast(kind[:-1])).otherwise(value)
-        columns.append(value.alias(name))
+    types = contract_types(table, widths)
+    columns = [_conform(table, name, kind).alias(name) for name, kind in types.items()]
     if stamp:
-        columns.append(F.current_timestamp().alias("inserted_at"))
+        columns.append(F.current_timestamp().alias(STAMP))
     return df.select(*columns)
 
 
-def export_table(df: DataFrame, table: str, database: str, path: str | None = None) -> None:
-    """Replace one warehouse table and refresh its statistics."""
+def table_ddl(table: str, widths: Mapping[str, int] | None = None) -> str:
+    columns = [
+        f"{name} {kind.rstrip('!')}" + " NOT NULL" * kind.endswith("!")
+        for name, kind in contract_types(table, widths).items()
+    ]
+    return ", ".join([*columns, f"{STAMP} timestamp"])
+
+
+def export_table(
+    df: DataFrame, table: str, database: str, path: str | None = None, widths: Mapping[str, int] | None = None
+) -> None:
+    """Replace the rows of one warehouse table and refresh its statistics.
+
+    The table is created from its contract once; later exports overwrite its rows and leave the
+    definition in place, so readers never find it gone."""
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    writer = apply_contract(df, table).write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", f"{path}/{table}")
-    writer.saveAsTable(f"{database}.{table}")
+    place = f" LOCATION '{path}/{table}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({table_ddl(table, widths)}) USING parquet{place}")
+    apply_contract(df, table, widths=widths).write.insertInto(f"{database}.{table}", overwrite=True)
     spark.sql(f"ANALYZE TABLE {database}.{table} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
 def export_warehouse(
-    gold: Mapping[str, DataFrame], database: str = "analytics", path: str | None = None
+    gold: Mapping[str, DataFrame],
+    database: str = "analytics",
+    path: str | None = None,
+    widths: Mapping[str, int] | None = None,
 ) -> None:
     for table in CONTRACTS:
-        export_table(gold[table], table, database, path)
+        export_table(gold[table], table, database, path, widths)
 
 
 def export_jdbc(gold: Mapping[str, DataFrame], url: str, schema: str, properties: dict[str, str]) -> None:

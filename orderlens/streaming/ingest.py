@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from orderlens.functions import calendar
 from orderlens.schemas import MULTILINE, SOURCES
+from orderlens.session import path_exists
+from orderlens.sources import incremental
 from orderlens.sources.landing import add_lineage
 
 
@@ -21,15 +21,24 @@ def stream_ingest(
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Take in every file not yet seen, then stop. The checkpoint remembers the files, so a
-    second run without new files adds nothing."""
+    second run without new files adds nothing.
+
+    Orders go into Bronze by the same append as the periodic intake, so both may write there in
+    any order; a batch run again adds nothing, its orders being stored. Other tables need a folder
+    of their own: one that holds files of another writer is refused, since the stream would hide them.
+    """
     reader = spark.readStream.schema(SOURCES[table]).format(fmt).option("maxFilesPerTrigger", files_per_batch)
     if fmt == "csv":
         reader = reader.option("header", True).option("escape", '"').option("multiLine", table in MULTILINE)
     rows = add_lineage(reader.load(folder), table)
-    writer = rows
-    if table == "orders":
-        writer = rows.withColumn("purchase_ym", F.coalesce(calendar.year_month(), F.lit("unknown")))
-    sink = writer.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint)
     if table == "orders":
-        sink = sink.partitionBy("purchase_ym")
-    return sink.outputMode("append").trigger(availableNow=True).start()
+
+        def put(batch: DataFrame, _: int) -> None:
+            incremental.append_missing(batch.sparkSession, batch, target)
+
+        sink = rows.writeStream.foreachBatch(put)
+    else:
+        if path_exists(spark, target) and not path_exists(spark, f"{target}/_spark_metadata"):
+            raise ValueError(f"{target} holds files of another writer")
+        sink = rows.writeStream.format("parquet").option("path", target).outputMode("append")
+    return sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from orderlens.config import DEFAULTS, Settings
 from orderlens.operators.model import score_batch
-from orderlens.sources.landing import parse_order_json
+from orderlens.sources.landing import parse_order_json, rejected_order_json
 
 
 def stream_score(
@@ -19,14 +19,18 @@ def stream_score(
     model: PipelineModel,
     settings: Settings = DEFAULTS,
     files_per_batch: int = 1000,
+    rejected: str | None = None,
 ) -> StreamingQuery:
+    """Scored orders under ``target``, bodies that hold no order under ``rejected`` (beside it by default).
+
+    Each batch replaces its own partition ``batch`` of both, so a batch run again leaves nothing twice.
+    """
     raw = spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch).load(folder)
-    scored = score_batch(model, parse_order_json(raw), settings)
-    return (
-        scored.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    refused = rejected or f"{target.rstrip('/')}-rejected"
+
+    def put(bodies: DataFrame, number: int) -> None:
+        outputs = ((score_batch(model, parse_order_json(bodies), settings), target), (rejected_order_json(bodies), refused))
+        for rows, path in outputs:
+            rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return raw.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

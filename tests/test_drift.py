@@ -23,7 +23,7 @@ def measured(spark, reference, current):
 
 def by_hand(reference, current):
     """From the published definitions, on raw values."""
-    ref, cur = np.sort(np.round(reference, 2)), np.sort(np.round(current, 2))
+    ref, cur = np.sort(reference), np.sort(current)
     points = np.unique(np.concatenate([ref, cur]))
     f = np.searchsorted(ref, points, "right") / len(ref)
     g = np.searchsorted(cur, points, "right") / len(cur)
@@ -78,7 +78,7 @@ def test_one_empty_period_is_unknown_not_drifted(spark):
 def test_nulls_are_left_out(spark):
     rows = spark.createDataFrame([("reference", 1.0), ("reference", None), ("current", 1.0)], "period string, x double")
     got = drift.value_counts(rows, ("x",)).collect()
-    assert [(r.value, r.n_ref, r.n_cur) for r in got] == [(100, 1, 1)]
+    assert [(r.value, r.n_ref, r.n_cur) for r in got] == [(1.0, 1, 1)]
 
 
 def test_few_values_are_compared_as_categories(spark):

@@ -151,6 +151,12 @@ def test_auc_against_all_pairs(table):
     assert evaluation.roc_auc(table(SCORES, (1, 0.5))).first().roc_auc is None
 
 
+def test_roc_auc_ranks_scores_as_they_are(spark):
+    """Forty scores within 4e-5, the late ones above the others."""
+    rows = spark.range(40).selectExpr("CAST(id >= 20 AS int) AS label", "0.3 + id * 1e-6 AS probability")
+    assert evaluation.roc_auc(rows.withColumn("probability", rows.probability.cast("double"))).first().roc_auc == 1.0
+
+
 def test_calibration_bands(table):
     got = {r.band: (r.n_rows, r.mean_predicted, r.observed_rate)
            for r in evaluation.calibration_check(table(SCORES, (1, 0.05), (0, 0.09), (1, 1.0))).collect()}

@@ -101,13 +101,13 @@ def test_medallion_from_csv_to_warehouse(spark, inputs, silver, raw, tmp_path):
         assert sorted(map(repr, df.collect())) == sorted(map(repr, direct[name].collect())), name
 
     for _run in range(2):
-        medallion.export(spark, home, "analytics", f"{home}/warehouse")
+        medallion.export(spark, home, "analytics", f"{home}/warehouse", {"customer_state": 25, "seller_state": 25})
     for name, columns in schemas.CONTRACTS.items():
         exported = warehouse.read_warehouse(spark, name)
         assert exported.columns == [*columns, "inserted_at"]
         assert exported.count() == gold[name].count()
     described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED analytics.monthly_trend").collect()}
-    assert described["late_rate_pct"] == "decimal(5,2)" and described["purchase_year"] == "smallint"
+    assert described["late_rate_pct"] == "decimal(18,2)" and described["purchase_year"] == "smallint"
     assert "rows" in described["Statistics"]
     medallion.preview(gold["weekday_pattern"], 3)
 
@@ -128,33 +128,53 @@ def test_sync_appends_orders_and_replaces_their_details(spark, inputs, raw, tmp_
     assert medallion.refine(spark, home, SETTINGS).first().total_orders == 262
 
 
-def test_contract_types_truncation_and_overflow(table):
-    rows = table(
-        "customer_state string, total_orders bigint, late_orders bigint, avg_delivery_days double, "
-        "avg_review_score double, late_rate_pct double",
-        ("SPX", 3, 1, 12.345, 12.5, 33.33),
-        (None, 1, 0, None, 4.0, 0.0),
-    )
-    fitted = warehouse.apply_contract(rows, "late_rate_by_state")
+BY_STATE = (
+    "customer_state string, total_orders bigint, late_orders bigint, avg_delivery_days double, "
+    "avg_review_score double, late_rate_pct double"
+)
+
+
+def test_contract_types_and_wide_numbers(table):
+    rows = table(BY_STATE, ("SP", 3_000_000_000, 1, -12.345, 2_000_000.0, 33.33), (None, 1, 0, None, 4.0, 0.0))
+    fitted = warehouse.apply_contract(rows, "late_rate_by_state", widths={"customer_state": 10})
     got = {r.customer_state: r for r in fitted.collect()}
-    assert got["SP"].avg_delivery_days == Decimal("12.35")
-    assert got["SP"].avg_review_score is None  # does not fit DECIMAL(3,2)
-    assert got["un"].avg_delivery_days is None
-    assert got["SP"].inserted_at is not None
+    assert got["SP"].total_orders == 3_000_000_000
+    assert got["SP"].avg_delivery_days == Decimal("-12.35")  # halves away from zero
+    assert got["SP"].avg_review_score == Decimal("2000000.00")
+    assert got["unknown"].avg_delivery_days is None and got["SP"].inserted_at is not None
     assert [f.dataType.simpleString() for f in fitted.schema] == [
-        "string", "int", "int", "decimal(6,2)", "decimal(3,2)", "decimal(5,2)", "timestamp",
+        "string", "bigint", "bigint", "decimal(18,2)", "decimal(18,2)", "decimal(18,2)", "timestamp",
     ]
 
 
+def test_contract_refuses_what_does_not_fit(table):
+    wide = table(BY_STATE, ("ARGENTINA", 1, 0, 1.0, 1.0, 1.0))
+    with pytest.raises(PySparkException, match="customer_state does not fit"):
+        warehouse.apply_contract(wide, "late_rate_by_state").collect()
+    huge = table(BY_STATE, ("SP", 1, 0, 1e17, 1.0, 1.0))
+    with pytest.raises(PySparkException, match="avg_delivery_days does not fit"):
+        warehouse.apply_contract(huge, "late_rate_by_state").collect()
+
+
 def test_contract_refuses_missing_required_numbers(table):
     rows = table(
         "purchase_weekday int, total_orders bigint, late_orders bigint, avg_delivery_days double, late_rate_pct double",
         (1, None, 0, 1.0, 0.0),
     )
-    with pytest.raises(PySparkException, match="total_orders is null"):
+    with pytest.raises(PySparkException, match="total_orders does not fit bigint: null"):
         warehouse.apply_contract(rows, "weekday_pattern").collect()
 
 
+def test_export_keeps_the_definition(spark, table, tmp_path):
+    for n in (1, 2):
+        rows = table(BY_STATE, *[(f"S{i}", i + 1, 0, 1.0, 1.0, 1.0) for i in range(n)])
+        warehouse.export_table(rows, "late_rate_by_state", "kept", str(tmp_path))
+        assert spark.table("kept.late_rate_by_state").count() == n
+    ddl = spark.sql("SHOW CREATE TABLE kept.late_rate_by_state").first()[0]
+    assert "VARCHAR(2)" in ddl and "BIGINT" in ddl
+    spark.sql("DROP DATABASE kept CASCADE")
+
+
 ORDERS = "order_id string, order_purchase_timestamp timestamp"
 
 
@@ -168,6 +188,37 @@ def test_incremental_append_is_idempotent_and_keeps_late_ties(spark, table, tmp_
     assert sorted(r.order_id for r in spark.read.parquet(path).collect()) == ["a", "b", "c", "d"]
 
 
+def ids(spark, path):
+    return sorted(r.order_id for r in spark.read.parquet(path).select("order_id").collect())
+
+
+def test_orders_without_a_date_are_kept_and_kept_once(spark, table, tmp_path):
+    path = f"{tmp_path}/orders"
+    first = [("a", "2018-01-01 00:00:00"), ("x", None)]
+    incremental.append_new(spark, table(ORDERS, *first), path)
+    later = [*first, ("y", None), ("b", "2018-01-05 00:00:00")]
+    for _run in range(3):
+        incremental.append_new(spark, table(ORDERS, *later), path)
+    assert ids(spark, path) == ["a", "b", "x", "y"]
+
+
+def test_a_month_spelt_in_words_does_not_move_the_mark(spark, table, tmp_path):
+    path = f"{tmp_path}/orders"
+    table(f"{ORDERS}, purchase_ym string", ("a", "2018-01-01 00:00:00", "2018-01"), ("x", None, "unknown")).write.partitionBy(
+        "purchase_ym"
+    ).parquet(path)
+    incremental.append_new(spark, table(ORDERS, ("old", "2017-01-01 00:00:00"), ("a", "2018-01-01 00:00:00"), ("x", None)), path)
+    assert ids(spark, path) == ["a", "x"]
+
+
+def test_missing_orders_come_in_whatever_their_date(spark, table, tmp_path):
+    path = f"{tmp_path}/orders"
+    incremental.append_new(spark, table(ORDERS, ("b", "2018-01-02 00:00:00")), path)
+    for _run in range(2):
+        incremental.append_missing(spark, table(ORDERS, ("a", "2017-01-01 00:00:00"), ("b", "2018-01-02 00:00:00"), ("n", None)), path)
+    assert ids(spark, path) == ["a", "b", "n"]
+
+
 def test_incremental_into_an_empty_target(table):
     source = table(ORDERS, ("a", "2018-01-01 00:00:00"))
     assert incremental.new_rows(source, source.limit(0)).count() == 1

@@ -1,9 +1,10 @@
+import pytest
 from pyspark.sql import functions as F
 
 from orderlens.operators import dataset, model, queue
 from orderlens.registry.inputs import SETTINGS
 from orderlens.registry.queries import QUICK
-from orderlens.sources import landing
+from orderlens.sources import incremental, lake, landing
 from orderlens.streaming.ingest import stream_ingest
 from orderlens.streaming.scoring import stream_score
 
@@ -26,6 +27,42 @@ def test_each_file_is_taken_in_once(spark, inputs, tmp_path):
     assert set(stored.columns) == {*inputs["orders"].columns, "ingested_at", "source_table", "source_file", "purchase_ym"}
 
 
+def test_stream_and_intake_share_bronze(spark, inputs, tmp_path):
+    """Batch, stream, batch again: every order is there once, those without a date too."""
+    orders = inputs["orders"].withColumn(
+        "order_purchase_timestamp", F.when(F.expr("order_id % 13 <> 0"), F.col("order_purchase_timestamp"))
+    )
+    n = orders.count()
+    home = str(tmp_path)
+    lake.write_bronze({"orders": landing.add_lineage(orders.where("order_id % 2 = 0"), "orders", "first")}, home)
+    orders.write.option("header", True).csv(f"{home}/in")
+    for _run in range(2):
+        stream_ingest(spark, f"{home}/in", f"{home}/orders", f"{home}/ck").awaitTermination()
+        incremental.append_new(spark, landing.add_lineage(orders, "orders", "again"), f"{home}/orders")
+        stored = lake.read_bronze(spark, home, "orders")
+        assert stored.count() == stored.select("order_id").distinct().count() == n
+    stream_ingest(spark, f"{home}/in", f"{home}/fresh", f"{home}/ck2").awaitTermination()
+    incremental.append_new(spark, landing.add_lineage(orders, "orders", "again"), f"{home}/fresh")
+    assert spark.read.parquet(f"{home}/fresh").count() == n
+
+
+def test_a_stream_refuses_files_of_another_writer(spark, inputs, tmp_path):
+    inputs["sellers"].write.parquet(f"{tmp_path}/in")
+    inputs["sellers"].write.parquet(f"{tmp_path}/out")
+    with pytest.raises(ValueError, match="another writer"):
+        stream_ingest(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/ck", "sellers", "parquet")
+
+
+def test_bodies_without_an_order_are_kept_aside(spark, inputs, silver, tmp_path):
+    fitted = model.train(dataset.training_set(silver), QUICK)
+    bodies = ['{"order_id": "a", "nb_items": 1}', '{"orders": [null, {"order_id": "b"}]}', '{"orders": [null]}', "not json", "{}",
+              '{"order_id": "c", "nb_items": "many"}']
+    spark.createDataFrame([(b,) for b in bodies], "value string").write.text(f"{tmp_path}/in")
+    stream_score(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/ck", fitted).awaitTermination()
+    assert sorted(r.order_id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["a", "b"]
+    assert spark.read.parquet(f"{tmp_path}/out-rejected").count() == 4
+
+
 def test_other_tables_stream_too(spark, inputs, tmp_path):
     inputs["sellers"].write.parquet(f"{tmp_path}/in")
     stream_ingest(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/ck", "sellers", "parquet").awaitTermination()
@@ -37,7 +74,7 @@ def test_stream_scores_like_the_batch(spark, inputs, silver, tmp_path):
     payloads = queue.payloads(inputs["orders"], inputs.tables, SETTINGS)
     payloads.select(F.to_json(F.struct(*payloads.columns)).alias("value")).repartition(3).write.text(f"{tmp_path}/in")
     stream_score(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/ck", fitted, files_per_batch=1).awaitTermination()
-    streamed = spark.read.parquet(f"{tmp_path}/out")
+    streamed = spark.read.parquet(f"{tmp_path}/out").drop("batch")
     batch = model.score_batch(fitted, landing.parse_order_json(spark.read.text(f"{tmp_path}/in")))
     assert streamed.count() == payloads.count()
     assert streamed.exceptAll(batch).count() == 0
