@@ -22,23 +22,31 @@ from orderlens.llm.common import whole
 from orderlens.session import staged
 
 MIN_CHARS = 50
-KEY = ["doc", "hash"]
+# A null id is one of its own, ahead of all others, and equal to itself in joins.
+KEY = ["known", "doc", "hash"]
 
 
 def _position() -> Column:
-    return F.struct("doc", "hash", "line")
+    return F.struct(*KEY, "line")
+
+
+def _key(id_col: str, kind: str, text: Column) -> list[Column]:
+    return [
+        F.col(id_col).isNotNull().alias("known"),
+        F.coalesce(F.col(id_col), F.lit("0").cast(kind)).alias("doc"),
+        F.xxhash64(text).alias("hash"),
+    ]
 
 
 def line_table(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc, hash, line, width, key_a, key_b, before``: every line, and a last row without a key behind the last.
+    """``known, doc, hash, line, width, key_a, key_b, before``: every line, and a last row without a key behind the last.
 
     ``before`` counts the characters ahead of the line. Rows equal in id and text are one document.
     """
-    rows = docs.select(F.col(id_col).alias("doc"), whole(text).alias("text"))
-    lines = rows.select(
-        "doc",
-        F.xxhash64("text").alias("hash"),
-        F.posexplode(F.concat(F.split("text", "\n"), F.array(F.lit(None).cast("string")))).alias("line", "content"),
+    kind = docs.schema[id_col].dataType.simpleString()
+    ended = F.concat(F.split(whole(text), "\n"), F.array(F.lit(None).cast("string")))
+    lines = docs.select(
+        *_key(id_col, kind, whole(text)), F.posexplode(ended).alias("line", "content")
     ).select(
         *KEY,
         "line",
@@ -53,7 +61,7 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 
 
 def _windows(lines: DataFrame, min_chars: int) -> DataFrame:
-    """``kind, doc, hash, line, size``: from each line, and back from each line, the shortest of ``min_chars``."""
+    """``kind, known, doc, hash, line, size``: from each line, and back from each line, the shortest of ``min_chars``."""
     back = W.partitionBy(*KEY).orderBy("before").rangeBetween(W.unboundedPreceding, -min_chars)
     # In falling order the rows ahead are those further on in the text; such a frame only grows.
     on = W.partitionBy(*KEY).orderBy(F.col("before").desc()).rangeBetween(W.unboundedPreceding, -min_chars)
@@ -81,7 +89,7 @@ def _dense_rank(keys: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def suffix_ranks(lines: DataFrame, most_lines: int) -> DataFrame:
-    """``doc, hash, line, rank_1, rank_2, rank_4, ...`` up to ``most_lines``: the suffix array by prefixes.
+    """``known, doc, hash, line, rank_1, rank_2, rank_4, ...`` up to ``most_lines``: the suffix array by prefixes.
 
     ``rank_h`` orders suffixes by their first h lines and is null where those occur once only.
     """
@@ -111,7 +119,7 @@ def suffix_ranks(lines: DataFrame, most_lines: int) -> DataFrame:
 
 
 def repeated_windows(lines: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``kind, doc, hash, line, size, first``: windows that occur again, with their first position."""
+    """``kind, known, doc, hash, line, size, first``: windows that occur again, with their first position."""
     if min_chars < 1:
         raise ValueError("a run needs a character")
     windows = _windows(lines, min_chars)
@@ -149,7 +157,7 @@ def repeated_windows(lines: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc, hash, runs``: the maximal runs of lines to delete, ``array<struct<start, n>>`` in order."""
+    """``known, doc, hash, runs``: the maximal runs of lines to delete, ``array<struct<start, n>>`` in order."""
     lines = staged(line_table(docs, id_col, text), "lines")
     later = repeated_windows(lines, min_chars).where(F.col("first") < _position())
     # Windows back from a line vouch for that line; the others for all they hold.
@@ -177,11 +185,11 @@ def without_runs(
     null ids sort first. Other columns pass through, whatever their names.
     """
     runs = repeated_runs(docs, min_chars, id_col, text).select(
-        F.struct(F.col("doc"), F.col("hash")).alias("__dedup_key"), F.col("runs").alias("__dedup_runs")
+        F.struct(*KEY).alias("__dedup_key"), F.col("runs").alias("__dedup_runs")
     )
-    key = F.struct(F.col(id_col).alias("doc"), F.xxhash64(whole(text)).alias("hash"))
-    keyed = docs.withColumn("__dedup_key_of", key)
-    joined = keyed.join(runs, F.col("__dedup_key_of").eqNullSafe(F.col("__dedup_key")), "left").drop(
+    kind = docs.schema[id_col].dataType.simpleString()
+    keyed = docs.withColumn("__dedup_key_of", F.struct(*_key(id_col, kind, whole(text))))
+    joined = keyed.join(runs, F.col("__dedup_key_of") == F.col("__dedup_key"), "left").drop(
         "__dedup_key", "__dedup_key_of"
     )
     found = F.coalesce(F.col("__dedup_runs"), F.array().cast("array<struct<start:int,n:int>>"))
