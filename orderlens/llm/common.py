@@ -50,6 +50,12 @@ def mix64(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def one_in(rows: int, wanted: int) -> int:
+    """Divisor of a hash that leaves about ``wanted`` of so many rows: a bounded sample that is then put in
+    order gets few rows from each task, however many tasks there are."""
+    return max(1, rows // max(1, wanted))
+
+
 def bounded_rows(df: DataFrame, most: int, what: str) -> list:
     """All rows of a table that has to be small. A larger one is refused, never cut."""
     rows = df.limit(most + 1).collect()

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderlens.llm.common import whole
+from orderlens.llm.common import one_in, whole
 
 #: In this order wherever spans are listed. The label of a word outside is 0, of kind k is k + 1.
 KINDS = ("email", "ip", "card", "phone")
@@ -363,8 +363,15 @@ def fit(docs: DataFrame, params: CrfParams = CrfParams(), id_col: str = "doc_id"
         F.octet_length("text").between(1, params.sample_bytes)
     )
     turn = F.xxhash64("id", "text")
-    telling = rows.where(F.col("text").rlike("[0-9@]")).orderBy(turn).limit(params.sample_documents * 3 // 4)
-    any_rows = rows.orderBy(turn).limit(params.sample_documents // 4)
+    telling, plain = params.sample_documents * 3 // 4, params.sample_documents // 4
+    count = docs.count()
+
+    def about(wanted: int) -> DataFrame:
+        return rows.where(F.pmod(turn, F.lit(one_in(count, wanted))) == 0)
+
+    # Texts with a digit are about one in ten.
+    telling = about(10 * telling).where(F.col("text").rlike("[0-9@]")).orderBy(turn).limit(telling)
+    any_rows = about(2 * plain).orderBy(turn).limit(plain)
     texts = [row["text"] for row in telling.collect()] + [row["text"] for row in any_rows.collect()]
     return train(labelled_table(texts, params), params)
 
