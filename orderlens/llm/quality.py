@@ -15,7 +15,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderlens.llm.common import crc_of, whole
+from orderlens.llm.common import crc_of, one_in, whole
 
 
 @dataclass(frozen=True)
@@ -123,7 +123,9 @@ def labelled_sample(
     shares = {row["mark"]: row["n"] for row in usable.groupBy("mark").agg(F.count("*").alias("n")).collect()}
     chosen = None
     for mark in (0, 1):
-        part = usable.where(F.col("mark") == mark).orderBy("turn", "doc_id").limit(params.rows_per_class)
+        divisor = one_in(shares.get(mark, 0), 3 * params.rows_per_class)
+        some = usable.where((F.col("mark") == mark) & (F.pmod("turn", F.lit(divisor)) == 0))
+        part = some.orderBy("turn", "doc_id").limit(params.rows_per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     ids = {row["doc_id"]: row["mark"] for row in chosen.select("doc_id", "mark").collect()}
     if not ids:
