@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from orderlens.llm.common import SMALL_ROWS, mix64, text_parts, whole
+from orderlens.llm.common import SMALL_ROWS, mix64, one_in, text_parts, whole
 from orderlens.session import staged
 
 
@@ -160,8 +160,9 @@ def _bucket(token: np.ndarray, doc: np.ndarray, splitters: tuple[np.ndarray, np.
 
 
 def _splitters(docs: DataFrame, params: SuffixParams, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Evenly spaced rows of a bounded sample of the suffixes of about one document in 64."""
-    some = docs.where(F.pmod(F.xxhash64("key", "doc"), F.lit(64)) == 0)
+    """Evenly spaced rows of a bounded sample of the suffixes of about a thousand documents."""
+    divisor = one_in(docs.count(), params.sample_rows // 100)
+    some = docs.where(F.pmod(F.xxhash64("key", "doc"), F.lit(divisor)) == 0)
     sample = (
         suffix_rows(some, params)
         .select("token", "doc", F.xxhash64("token", "doc", "place").alias("turn"))
