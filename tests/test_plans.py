@@ -197,3 +197,16 @@ def test_monthly_job_writes_every_layer(spark, inputs, tmp_path):
     assert scoring.order_queue(saved, inputs.tables, SETTINGS).count() == SETTINGS.queue_length
     tested = run.training.predicted_test.count()
     assert 0 < sum(r.n_rows for r in run.monitoring["by_period"].collect()) <= tested
+
+
+def test_jobs_as_commands(spark, inputs, tmp_path, capsys):
+    from orderlens import __main__ as commands
+
+    home = str(tmp_path)
+    lake.write_bronze(inputs.tables, f"{home}/bronze")
+    commands.main(["refine", home])
+    assert "total_orders" in capsys.readouterr().out
+    commands.main(["publish", home])
+    assert "monthly_trend" in capsys.readouterr().out
+    given = commands.parser().parse_args(["export", home, "--width", "customer_state=25"])
+    assert (given.database, given.width) == ("analytics", ["customer_state=25"])
