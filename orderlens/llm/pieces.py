@@ -17,7 +17,7 @@ import re
 from array import array
 from bisect import insort
 from collections.abc import Iterator
-from itertools import accumulate, combinations
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -55,11 +55,13 @@ class Vocabulary:
         if len(self.bytes) < 256:
             raise ValueError("the vocabulary needs byte pieces: without them a text cannot come back")
         self.unknown = min(self.scores[i] for i in ordinary) - UNKNOWN_PENALTY
-        # Every prefix of a piece: (id, score) where it is a piece itself, else False.
-        self.match: dict[str, tuple[int, float] | bool] = {
-            piece[:n]: False for piece in self.ids for n in range(1, len(piece))
-        }
-        self.match.update((piece, (i, self.scores[i])) for piece, i in self.ids.items())
+        # Pieces character by character; a node holds (id, score) under "" where a piece ends.
+        self.tree: dict = {}
+        for piece, i in self.ids.items():
+            node = self.tree
+            for character in piece:
+                node = node.setdefault(character, {})
+            node[""] = (i, self.scores[i])
         self.pairs = {piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1)}
         self.raw = [piece.replace(SPACE, " ").encode("utf-8") for piece in self.pieces]
         for value, i in self.bytes.items():
@@ -71,27 +73,28 @@ def n_best(vocabulary: Vocabulary, chunk: str, n: int) -> list[tuple[float, tupl
 
     Order: higher score, then the smaller ids as read from the end.
     """
-    match = vocabulary.match.get
+    tree = vocabulary.tree
     length = len(chunk)
     nodes = range(length + 1)
     ending: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in nodes]
     best = [0.0] + [-np.inf] * length
     for start in range(length):
         here = best[start]
-        single = False
-        for end in range(start + 1, length + 1):
-            found = match(chunk[start:end])
+        node, end = tree, start
+        for character in chunk[start:]:
+            node = node.get(character)
+            if node is None:
+                break
+            end += 1
+            found = node.get("")
             if found:
                 number, score = found
                 ending[end].append((start, score, (number,)))
                 score += here
                 if score > best[end]:
                     best[end] = score
-                if end == start + 1:
-                    single = True
-            elif found is None:
-                break
-        if not single:
+        node = tree.get(chunk[start])
+        if node is None or "" not in node:
             # Byte pieces, reversed like everything the backward search strings together.
             raw = tuple(vocabulary.bytes[b] for b in reversed(_literal(chunk[start]).encode("utf-8")))
             ending[start + 1].append((start, vocabulary.unknown, raw))
@@ -197,10 +200,9 @@ class Encoder:
                 top = near[chunk][0][0]
                 singles += [(top - score, place, other) for other, (score, _) in enumerate(near[chunk][1:], 1)]
             singles = sorted(singles)[: self.n - 1]
-            offsets = list(accumulate(map(len, ids), initial=0))
             for cost, changes in _changes(singles, self.n)[1:]:
                 edits = [
-                    (offsets[place] // 4, len(ids[place]) // 4, near[chunks[place]][other][1]) for place, other in changes
+                    (len(b"".join(ids[:place])) // 4, len(ids[place]) // 4, near[chunks[place]][other][1]) for place, other in changes
                 ]
                 ranked.append((total - cost, edits))
         return b"".join(ids), ranked
