@@ -68,7 +68,7 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, root``: for each end of an edge ``a, b`` (long) the smallest id it is connected to.
 
     Alternating large-star and small-star contraction: edges and nodes stay distributed, the lineage
-    is cut by a written table after each round, and each round is two combined aggregations and joins.
+    is cut by one written table a round, and each round is two combined aggregations and joins.
     """
 
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -79,7 +79,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = staged(large.where("a <> b").distinct(), "large-star")
+        large = large.where("a <> b").distinct()
         # Small star: smaller neighbours, and the node itself, to the smallest neighbour.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
