@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -328,8 +329,6 @@ def segmentation(ids: list[int], edits: list) -> list[int]:
 
 def decoded(rows: DataFrame, model: bytes, ids: str = "ids", name: str = "text") -> DataFrame:
     """``rows`` with the text of each sequence of ids as ``name``; null ids give null."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def text_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         vocabulary = Vocabulary(model)
