@@ -112,6 +112,19 @@ def _stretches(offsets: np.ndarray, raw: np.ndarray, params: SuffixParams):
     return row[start], start, count, token[start]
 
 
+def _whole_stretches(windows: np.ndarray, start: np.ndarray, count: np.ndarray, length: int) -> np.ndarray:
+    """Hash of all bytes of each stretch: of the windows that stand end to end in it, and of its last."""
+    if not len(start):
+        return np.zeros(0, dtype=np.uint64)
+    parts = 1 + -(-(count - 1) // length)
+    head = np.cumsum(parts) - parts
+    number = np.repeat(np.arange(len(start)), parts)
+    nth = np.arange(len(number)) - head[number]
+    at = start[number] + np.minimum(nth * length, count[number] - 1)
+    mixed = mix64(windows[at] + mix64(nth.astype(np.uint64) + np.uint64(1)))
+    return mix64(np.add.reduceat(mixed, head) + count.astype(np.uint64))
+
+
 def _rows(batches: Iterator[pa.RecordBatch], params: SuffixParams):
     for batch in batches:
         for first, last, offsets, raw in text_parts(batch.column(2), 1 << 20):
@@ -127,11 +140,7 @@ def suffix_rows(docs: DataFrame, params: SuffixParams, splitters: tuple[np.ndarr
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, key, offsets, raw, (row, start, count, token) in _rows(batches, params):
             windows = _grams(raw, params.length, _STEPS[1])
-            stretch = np.zeros(0, dtype=np.uint64)
-            if len(row):
-                first, last = windows[start], windows[start + count - 1]
-                middle = windows[start + count // 2]
-                stretch = mix64(mix64(mix64(first) + last) + mix64(middle) + count.astype(np.uint64))
+            stretch = _whole_stretches(windows, start, count, params.length)
             place = ((start - offsets[row]) << 24) | count
             bucket = _bucket(token, doc[row], cut.value) if cut.value is not None else np.zeros(len(row), dtype=np.int64)
             yield pa.RecordBatch.from_arrays(

@@ -88,3 +88,17 @@ def test_a_very_long_text(spark):
     docs = [(1, long), (2, "x" + long[1000:200_000]), (3, long[299_960:] + "y" * 60)]
     got = {r.doc_id: r for r in suffixes.removal_report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert (got[1].n_removed, got[2].n_removed, got[3].n_removed) == (0, 199_000, 0)
+
+
+def test_near_copies_of_equal_lines(spark):
+    """Equal lines make stretches of many windows; a digit changed anywhere in them keeps the bytes around it."""
+    random.seed(5)
+    docs = []
+    for size in range(22, 32):
+        line = "".join(random.choice("abcdefghij |-") for _ in range(size - 1)) + "\n"
+        text = line * 40
+        docs.append((len(docs), text))
+        for digit in "01234567":
+            at = random.randrange(len(text))
+            docs.append((len(docs), text[:at] + digit + text[at + 1 :]))
+    assert report(spark, docs, SuffixParams()) == brute(docs, 50)
