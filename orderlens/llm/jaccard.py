@@ -372,7 +372,10 @@ def _linked(pairs: DataFrame, docs: DataFrame, light: DataFrame, params: JoinPar
     ids = holders.select("doc_id").distinct()
     if holders.count() <= SMALL_ROWS:
         ids = F.broadcast(ids)  # of checked size; beyond it the texts are joined by a shuffle
-    sets = shingle_sets(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text"), params)
+    texts = docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
+    if holders.where(F.col("doc_id").isNull()).limit(1).count():  # sets that only rows without an id hold
+        texts = texts.unionByName(docs.where(F.col("doc_id").isNull()).select("doc_id", "text"))
+    sets = shingle_sets(texts, params)
     sets = staged(sets.join(wanted, "signature", "left_semi").dropDuplicates(["signature"]), "sets")
     both = (
         pairs.join(sets.select(F.col("signature").alias("a"), F.col("shingles").alias("left")), "a")

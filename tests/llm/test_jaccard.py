@@ -106,6 +106,16 @@ def test_rows_of_any_kind(spark):
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_a_set_without_an_id_links_others(spark):
+    """Only a row without an id holds the set between two documents that are too far from each other."""
+    words = [f"w{i}" for i in range(100)]
+    rows = [(5, " ".join(words[:88])), (None, " ".join(words[6:94])), (3, " ".join(words[12:])), (9, "other words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(shingles(rows[0][1]) & shingles(rows[2][1])) * 100 < 80 * len(shingles(rows[0][1]) | shingles(rows[2][1]))
+    got = sorted(((r.doc_id, r.component_id) for r in jaccard.near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(5, 3), (None, 3), (3, 3), (9, 9)], key=str)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     random.seed(seed)
