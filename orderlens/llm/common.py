@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderlens.session import staged
@@ -95,40 +96,53 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-_STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so that powers have inverses modulo 2^64
-_BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
-_POWERS: dict = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _POWERS.get("size", 0) < n:
-        size = 1 << max(16, int(n).bit_length())
-        up, down = np.full(size, _STEP), np.full(size, _BACK)
-        up[0] = down[0] = 1
-        _POWERS.update(size=size, powers=(np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)))
-    return _POWERS["powers"]
-
-
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
+# A mask for the first so many of eight bytes.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+#: Longer spans are hashed one by one.
+LONG_SPAN = 64
+
+
+def spans_of(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each run of marked bytes of joined texts; a run ends where its text does."""
+    edge = np.zeros(len(inside) + 1, dtype=bool)
+    edge[offsets] = True
+    before = np.zeros(len(inside) + 1, dtype=bool)
+    before[1:] = inside
+    here = np.zeros(len(inside) + 1, dtype=bool)
+    here[:-1] = inside
+    return np.flatnonzero(here & (edge | ~before)), np.flatnonzero(before & (edge | ~here))
+
+
 def word_spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and end of each word of UTF-8 bytes."""
-    inside = np.zeros(len(raw) + 2, dtype=np.int8)
-    inside[1:-1] = ~_SPACES[raw]
-    turns = np.diff(inside)
-    return np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)
+    return spans_of(~_SPACES[raw], np.array([0, len(raw)]))
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each lower-cased (A-Z) word: the same in every process."""
-    up, down = _powers(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=sums[1:])
-    return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hash of each lower-cased (A-Z) word: the same in every process. Eight bytes of all words at a time."""
+    low = np.zeros(len(raw) + 8, dtype=np.uint8)
+    np.take(_LOWER, raw, out=low[: len(raw)])
+    eights = np.ndarray(len(raw) + 1, dtype="<u8", buffer=low.data, strides=(1,))
+    left = ends - starts
+    out = left.astype(np.uint64)
+    long = np.flatnonzero(left > LONG_SPAN)
+    open_, at = np.arange(len(starts)), starts
+    if len(long):
+        open_ = np.flatnonzero(left <= LONG_SPAN)
+        at, left = starts[open_], left[open_]
+        out[long] = [xxhash.xxh64_intdigest(low[starts[i] : ends[i]].tobytes()) for i in long]
+    while len(open_):
+        some = eights[at] & _FIRST[np.minimum(left, 8)]
+        out[open_] = mix64((out[open_] + some) * np.uint64(0x9E3779B97F4A7C15))
+        more = left > 8
+        open_, at, left = open_[more], at[more] + 8, left[more] - 8
+    return out
 
 
 def text_parts(column: pa.Array, most: int = 1 << 22):
@@ -151,14 +165,6 @@ def text_parts(column: pa.Array, most: int = 1 << 22):
 
 def words_of(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, hash and position among the bytes of each word of joined texts; words never cross texts."""
-    if len(offsets) > 2:
-        # A separator between texts: words end where a text does.
-        lengths = np.diff(offsets)
-        shifted = offsets[:-1] + np.arange(len(lengths))
-        spread = np.full(len(raw) + len(lengths), 0x20, dtype=np.uint8)
-        spread[np.arange(len(raw)) + np.repeat(np.arange(len(lengths)), lengths)] = raw
-    else:
-        shifted, spread = offsets[:1], raw
-    starts, ends = word_spans(spread)
-    rows = np.searchsorted(shifted, starts, side="right") - 1
-    return rows, word_hashes(spread, starts, ends), starts
+    starts, ends = spans_of(~_SPACES[raw], offsets)
+    rows = np.searchsorted(offsets, starts, side="right") - 1
+    return rows, word_hashes(raw, starts, ends), starts

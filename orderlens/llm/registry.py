@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderlens.llm import contamination, hnsw, jaccard, linedup, pieces, pii, pitmanyor, quality, suffixes, warc
+from orderlens.llm import (
+    alignment,
+    contamination,
+    hnsw,
+    jaccard,
+    lexical,
+    linedup,
+    pagediff,
+    pieces,
+    pii,
+    pitmanyor,
+    quality,
+    suffixes,
+    warc,
+)
 from orderlens.session import scratch_path, staged
 
 
@@ -16,6 +30,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 #: A SentencePiece model on the machine; any path Spark can read may be given instead.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: A byte-level vocabulary in the format of the tokenizers library.
+BYTE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def op1_sentencepiece_n_best(spark: SparkSession, sf_dir: str, model_path: str = PIECE_MODEL) -> DataFrame:
@@ -121,6 +137,57 @@ def op10_shingle_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_token_spans(
+    spark: SparkSession, sf_dir: str, a_path: str = BYTE_VOCABULARY, b_path: str = PIECE_MODEL
+) -> DataFrame:
+    files = pieces.model_bytes(spark, a_path), pieces.model_bytes(spark, b_path)
+    return alignment.align(table(spark, sf_dir, "documents"), *files, with_groups=False)
+
+
+def op12_page_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagediff.main_text(table(spark, sf_dir, "pages"))
+
+
+def op13_max_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = """
+WITH document AS (
+  SELECT row_number() OVER () AS row_no, doc_id, text FROM documents),
+token AS (
+  SELECT row_no, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM document),
+size AS (SELECT row_no, count(*) AS n FROM token GROUP BY row_no),
+corpus AS (SELECT count(*) AS docs, sum(n) AS terms FROM size),
+wanted AS (
+  SELECT item_id, term, count(*) AS repeats
+  FROM (SELECT item_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM benchmark)
+  GROUP BY item_id, term),
+held AS (
+  SELECT row_no, term, count(*) AS tf FROM token WHERE term IN (SELECT term FROM wanted) GROUP BY row_no, term),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2.0 * docs + 2) / (2.0 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, corpus GROUP BY term, docs),
+impact AS (
+  SELECT row_no, term, w * ((1000000000 * tf) // (1000 * tf + 12 * CAST(75 + (25 * n * docs) // terms AS BIGINT))) AS worth
+  FROM held JOIN weight USING (term) JOIN size USING (row_no), corpus),
+score AS (
+  SELECT item_id, row_no, CAST(sum(repeats * worth) AS BIGINT) AS score
+  FROM wanted JOIN impact USING (term) GROUP BY item_id, row_no),
+ranked AS (
+  SELECT item_id, doc_id, score,
+         CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM score JOIN document USING (row_no) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece_n_best": op1_sentencepiece_n_best,
     "op2_pii_crf": op2_pii_crf,
@@ -132,9 +199,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pitman_yor": op8_pitman_yor,
     "op9_hnsw_neighbours": op9_hnsw_neighbours,
     "op10_shingle_jaccard": op10_shingle_jaccard,
+    "op11_token_spans": op11_token_spans,
+    "op12_page_differences": op12_page_differences,
+    "op13_max_sketches": op13_max_sketches,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_warc_transactions": OP5_SQL,
     "op6_line_runs": OP6_SQL,
+    "op13_max_sketches": OP13_SQL,
 }
