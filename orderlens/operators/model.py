@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.config import DEFAULTS, FEATURES, Settings
 from orderlens.functions.measures import half_up
-from orderlens.operators import evaluation
+from orderlens.operators import evaluation, rounds
 from orderlens.operators.dataset import LABEL, with_weight
 from orderlens.operators.queue import describe_risk, feature_defaults
-from orderlens.session import shared_folder
+from orderlens.session import shared_folder, staged
 
 
 @dataclass(frozen=True)
@@ -33,6 +34,7 @@ class TreeParams:
     min_leaf: int = 3
     class_weight: str = "balanced"  # or "none"
     threshold: float = 0.5
+    bins: int = 32  # candidate thresholds a feature; all of them if it has no more values
 
 
 # Settings of the monthly, the local and the scheduled training runs.
@@ -59,6 +61,7 @@ def _trees(params: TreeParams, seed: int) -> GBTClassifier:
         subsamplingRate=params.row_share,
         featureSubsetStrategy=str(params.column_share),
         minInstancesPerNode=params.min_leaf,
+        maxBins=params.bins,
         checkpointInterval=10,
         seed=seed,
     )
@@ -77,6 +80,12 @@ def train(
     return Pipeline(stages=[assembler(), trees]).fit(with_weight(rows, settings.but(class_weight=params.class_weight)))
 
 
+def losses_by_round(fitted: PipelineModel, rows: DataFrame, by: tuple[str, ...] = ("is_train",)) -> DataFrame:
+    """Log loss and error rate of each side after every round. A model trained with ``validation`` has as many rounds as
+    helped its validation rows, so the last round is where its training stopped."""
+    return rounds.by_round(fitted, rows, by).select(*by, "round", "n_rows", "logloss", "error")
+
+
 def tune(
     rows: DataFrame,
     settings: Settings = DEFAULTS,
@@ -84,32 +93,49 @@ def tune(
     folds: int = 3,
     parallelism: int = 4,
     params: TreeParams = TreeParams(row_share=1.0, column_share=1.0, min_leaf=1),
+    fold: str | None = None,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Cross-validated grid search for recall of late orders: best model, and one row per grid point."""
+    """Cross-validated grid search for recall of late orders: best model, and one row per grid point.
+
+    A boosted ensemble holds those of all smaller numbers of trees as its prefixes. So only the largest ``maxIter`` is
+    trained for each fold and each choice of the other parameters, and its rounds are judged in one pass over
+    the rows held out. ``fold`` names a column with the number of each row's fold; by default rows are
+    dealt by a hash of their contents. Equal recalls go to the first point of the grid.
+    """
     spark = rows.sparkSession
     shared_folder(spark)
+    grid = dict(grid or GRID)
+    others = [name for name in grid if name != "maxIter"]
+    sizes = sorted(set(grid.get("maxIter", (params.trees,))))
+    number = F.col(fold) if fold else F.pmod(F.xxhash64(*rows.columns, F.lit(settings.seed)), F.lit(folds))
+    dealt = staged(with_weight(rows, settings).withColumn("_fold", number.cast("int")), "folds")
     trees = _trees(params, settings.seed)
-    builder = ParamGridBuilder()
-    for name, values in (grid or GRID).items():
-        builder = builder.addGrid(trees.getParam(name), list(values))
-    points = builder.build()
-    recall = MulticlassClassificationEvaluator(labelCol=LABEL, metricName="recallByLabel", metricLabel=1.0)
-    search = CrossValidator(
-        estimator=Pipeline(stages=[assembler(), trees]),
-        estimatorParamMaps=points,
-        evaluator=recall,
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=settings.seed,
-    )
-    fitted = search.fit(with_weight(rows, settings))
-    # One entry per grid point: bounded by the grid, not by the data.
-    results = [
-        (*[float(point[trees.getParam(n)]) for n in (grid or GRID)], float(score))
-        for point, score in zip(points, fitted.avgMetrics)
-    ]
-    columns = ", ".join(f"{n} double" for n in (grid or GRID))
-    return fitted.bestModel, spark.createDataFrame(results, f"{columns}, avg_recall double")
+
+    def pipeline(point: dict) -> Pipeline:
+        return Pipeline(stages=[assembler(), trees.copy({trees.getParam(n): v for n, v in point.items()})])
+
+    def judge(cell: dict, held: int) -> dict[int, float]:
+        fitted = pipeline({**cell, "maxIter": sizes[-1]}).fit(dealt.where(F.col("_fold") != held))
+        found = rounds.by_round(fitted, dealt.where(F.col("_fold") == held), by=(), at=sizes).collect()
+        # A row a number of trees. A fold without late orders has no recall to speak of: zero.
+        return {r["round"]: r.tp / (r.tp + r.fn) if r.tp + r.fn else 0.0 for r in found}
+
+    cells = [dict(zip(others, values)) for values in product(*(grid[n] for n in others))]
+    tasks = [(cell, held) for cell in cells for held in range(folds)]
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        judged = pool.map(inheritable_thread_target(spark)(lambda task: judge(*task)), tasks)
+    scores = {}
+    for (cell, _), found in zip(tasks, judged):
+        for size in sizes:
+            point = (*cell.values(), size)
+            scores[point] = scores.get(point, 0.0) + found.get(size, 0.0) / folds
+    points = [dict(zip(grid, values)) for values in product(*grid.values())]
+    results = [(p, scores[(*(p[n] for n in others), p.get("maxIter", sizes[-1]))]) for p in points]
+    best = max(results, key=lambda r: r[1])[0]
+    columns = ", ".join(f"{n} double" for n in grid)
+    # One row per grid point: bounded by the grid, not by the data.
+    table = spark.createDataFrame([(*map(float, p.values()), s) for p, s in results], f"{columns}, avg_recall double")
+    return pipeline(best).fit(dealt), table
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from orderlens.config import FEATURES as FEATURE_NAMES
+from orderlens.registry import boosting
+
+
 def _cents(expression: str) -> str:
     return f"CAST(floor(({expression}) * 100 + 0.5) AS BIGINT)"
 
@@ -344,6 +348,57 @@ def _sizes(tables: dict[str, str]) -> str:
 
 
 # Queries over the tables above.
+VECTORS = f"""
+        SELECT order_id, CAST(nb_items AS DOUBLE) AS f0, CAST(nb_sellers AS DOUBLE) AS f1, total_price AS f2,
+               total_freight AS f3, CAST(cross_state_delivery AS DOUBLE) AS f4, CAST(purchase_weekday AS DOUBLE) AS f5,
+               CAST(purchase_hour AS DOUBLE) AS f6, estimated_weight_kg AS f7, CAST(max_installments AS DOUBLE) AS f8
+        FROM ({FEATURES} FROM silver)"""
+# Models of three trees with one split each: trained on the training side, on everything, and on each pair of folds.
+EXAMPLES = f"""
+, examples AS (SELECT v.*, s.label, s.is_train FROM ({VECTORS}) v JOIN ({SPLIT}) s USING (order_id))
+"""
+
+
+def _weight(rows: str) -> str:
+    """Late orders weigh as much as the punctual ones of ``rows``."""
+    return f"CASE WHEN label = 1 THEN (SELECT CAST(count(*) FILTER (WHERE label = 0) AS DOUBLE) / count(*) FILTER (WHERE label = 1) FROM {rows}) ELSE 1.0::DOUBLE END AS weight"
+
+
+ROUNDS = 3
+RATE = "0.5::DOUBLE AS rate"
+LEARNERS = "(SELECT * FROM examples WHERE is_train)"
+JUDGED_MODEL = EXAMPLES + ", " + boosting.boosted(
+    f"SELECT 0 AS cell, {RATE}, *, is_train AS fit, {_weight(LEARNERS)} FROM examples", ROUNDS
+) + ", unseen AS (SELECT * FROM state_3 WHERE NOT is_train)\n"
+# With validation rows the class weight is that of all rows.
+ONE_MODEL = EXAMPLES + ", " + boosting.boosted(
+    f"SELECT 0 AS cell, {RATE}, *, is_train AS fit, {_weight('examples')} FROM examples", ROUNDS
+) + "\n"
+WHOLE_MODEL = EXAMPLES + ", " + boosting.boosted(
+    f"SELECT 0 AS cell, {RATE}, *, true AS fit, {_weight('examples')} FROM examples", ROUNDS
+) + ", won AS (" + " UNION ALL ".join(f"SELECT feature, gained FROM split_{n + 1}" for n in range(ROUNDS)) + ")\n"
+FOLD_MODELS = EXAMPLES + ", " + boosting.boosted(
+    f"""SELECT fold * 10 + step AS cell, rates[step] AS rate, *, CAST(order_id AS BIGINT) % 3 <> fold AS fit, {_weight(LEARNERS)}
+    FROM {LEARNERS}, (SELECT unnest([0, 1, 2]) AS fold), (SELECT unnest([1, 2, 3]) AS step, [0.03, 0.05, 0.5]::DOUBLE[] AS rates)""",
+    ROUNDS,
+) + "\n"
+
+
+def _losses(state: str) -> str:
+    return f"""count(*) AS n_rows, {_round(f"avg({boosting.LOSS})", 6)} AS logloss,
+        {_round("CAST(count(*) FILTER (WHERE (margin >= 0) <> (label = 1)) AS DOUBLE) / count(*)", 6)} AS error
+        FROM {state} GROUP BY is_train"""
+
+
+# Training stops at the first round that takes less than a hundredth off the loss of the validation rows.
+KEPT = ", ".join(
+    ["validation AS (SELECT " + ", ".join(
+        f"(SELECT sum(weight * 2.0 * ln(1.0 + exp(-2.0 * y * margin))) / sum(weight) FROM state_{n} WHERE NOT is_train) AS e{n}"
+        for n in range(1, ROUNDS + 1)
+    ) + ")",
+    "kept AS (SELECT CASE WHEN e1 - e2 < 0.01 * greatest(e2, 0.01) THEN 1 WHEN e2 - e3 < 0.01 * greatest(e3, 0.01) THEN 2 ELSE 3 END AS rounds FROM validation)"]
+)
+
 _WITH_PRELUDE: dict[str, str] = {
     "s01_s14_csv_round_trip": "SELECT * FROM m_payments",
     "s04_ingest_all": _sizes(
@@ -520,11 +575,7 @@ _WITH_PRELUDE: dict[str, str] = {
     "q4_cross_vs_same_state": f"""SELECT CASE WHEN cross_state_delivery THEN 'Inter-etats' ELSE 'Meme etat' END AS type_livraison,
         total_orders, late_rate_pct, avg_delivery_days FROM ({BY_CROSSING})""",
     "q5_reliable_sellers": _reliable(TOP_SELLERS),
-    "m01_feature_vector": f"""
-        SELECT order_id, CAST(nb_items AS DOUBLE) AS f0, CAST(nb_sellers AS DOUBLE) AS f1, total_price AS f2,
-               total_freight AS f3, CAST(cross_state_delivery AS DOUBLE) AS f4, CAST(purchase_weekday AS DOUBLE) AS f5,
-               CAST(purchase_hour AS DOUBLE) AS f6, estimated_weight_kg AS f7, CAST(max_installments AS DOUBLE) AS f8
-        FROM ({FEATURES} FROM silver)""",
+    "m01_feature_vector": VECTORS,
     "m02_training_set": f"{FEATURES}, CAST(is_late AS INTEGER) AS label FROM silver",
     "m02_training_set_of_orders": WEIGHED + f"""
         SELECT p.order_id, nb_items, nb_sellers, total_price, total_freight,
@@ -587,18 +638,45 @@ _WITH_PRELUDE: dict[str, str] = {
     "d06_monthly_job": PERIODS + f"""
         SELECT period, count(*) AS n_rows, CAST(sum(p.label) AS BIGINT) AS n_late, 7 AS gold_tables
         FROM periods p JOIN ({SPLIT}) s ON s.order_id = p.order_id WHERE NOT is_train AND period IS NOT NULL GROUP BY period""",
-    "m05_train_boosted_trees": f"""SELECT count(*) AS n_rows, {_count("label = 1")} AS n_late, {_count("label = 0")} AS n_punctual
-        FROM ({SPLIT}) WHERE NOT is_train""",
-    "m06_train_with_validation": f'SELECT is_train, count(*) AS n_rows, true AS learnt, true AS "right" FROM ({SPLIT}) GROUP BY is_train',
-    "m07_grid_search_cv": """SELECT CAST(t AS DOUBLE) AS "maxIter", CAST(d AS DOUBLE) AS "maxDepth", 0.1::DOUBLE AS "stepSize",
-        true AS measured FROM (VALUES (2), (4)) trees(t), (VALUES (2), (3)) depths(d)""",
-    "m08_score_batch": "SELECT order_id, true AS is_probability, true AS level_fits, true AS percent_fits FROM silver",
+    "m05_train_boosted_trees": JUDGED_MODEL + _metrics("unseen", f"margin >= 0"),
+    "m06_train_with_validation": ONE_MODEL + ", " + KEPT + " UNION ALL ".join(
+        f" SELECT is_train, {n} AS rounds, {_losses(f'(SELECT s.* FROM state_{n} s, kept WHERE rounds = {n})')}"
+        for n in range(1, ROUNDS + 1)
+    ),
+    "m06_losses_by_round": JUDGED_MODEL + " UNION ALL ".join(
+        f" SELECT is_train, {n} AS round, {_losses(f'state_{n}')}" for n in range(1, ROUNDS + 1)
+    ),
+    "m07_grid_search_cv": FOLD_MODELS + f"""
+        SELECT trees AS "maxIter", 1.0::DOUBLE AS "maxDepth", rate AS "stepSize", {_round("avg(recall)", 6)} AS avg_recall
+        FROM (""" + " UNION ALL ".join(f"""
+            SELECT {n}::DOUBLE AS trees, rate, cell,
+                   coalesce(CAST(count(*) FILTER (WHERE margin >= 0 AND label = 1) AS DOUBLE)
+                       / nullif(count(*) FILTER (WHERE label = 1), 0), 0) AS recall
+            FROM state_{n} WHERE NOT fit GROUP BY rate, cell""" for n in (1, 2, 3)) + """)
+        GROUP BY trees, rate""",
+    "m08_score_batch": WHOLE_MODEL + f"""
+        SELECT order_id, {_round(boosting.PROBABILITY, 4)} AS risk_proba, {_round(f"{boosting.PROBABILITY} * 100", 1)} AS risk_pct,
+               {_level(boosting.PROBABILITY)["level"]} AS level FROM state_3""",
     "m08_order_queue": """SELECT least(count(*), 15) AS n_rows, least(count(*), 15) AS n_orders, least(count(*), 15) AS n_recent
         FROM (SELECT order_id FROM m_orders WHERE order_id IN (SELECT order_id FROM m_items) LIMIT 40)""",
-    "m13_feature_importance": "SELECT CAST(9 AS BIGINT) AS n_features, 1.0::DOUBLE AS total, true AS none_negative FROM silver LIMIT 1",
-    "m15_training_report": f"""SELECT {_count("is_train")} AS n_train, {_count("NOT is_train")} AS n_test,
-        {_round("avg(label) FILTER (WHERE is_train)", 4)} AS base_rate, true AS gate_fits FROM ({SPLIT})""",
-    "s18_save_load_model": "SELECT order_id, true AS same FROM silver",
+    "m13_feature_importance": WHOLE_MODEL + f"""
+        SELECT name AS feature, {_round("coalesce(sum(gained), 0) / (SELECT sum(gained) FROM won)", 6)} AS importance
+        FROM (SELECT unnest({list(FEATURE_NAMES)}) AS name, unnest(range({len(FEATURE_NAMES)})) AS feature)
+        LEFT JOIN won USING (feature) GROUP BY name""",
+    "m15_training_report": JUDGED_MODEL + f"""
+        , judged_once AS ({_metrics("unseen", f"margin >= 0")}),
+        ranks AS (SELECT label, rank() OVER (ORDER BY margin) + (count(*) OVER (PARTITION BY margin) - 1) / 2.0 AS place FROM unseen),
+        area AS (
+            SELECT (sum(place) FILTER (WHERE label = 1) - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2.0)
+                / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label = 0)) AS auc FROM ranks)
+        SELECT {_count("is_train")} AS n_train, {_count("NOT is_train")} AS n_test,
+               {_round("avg(label) FILTER (WHERE is_train)", 4)} AS base_rate,
+               {_round("any_value(j.precision)", 4)} AS precision, {_round("any_value(j.recall)", 4)} AS recall,
+               {_round("any_value(j.f1_score)", 4)} AS f1_score, {_round("any_value(auc)", 4)} AS roc_auc,
+               CASE WHEN any_value(j.precision) >= 0.6 AND any_value(j.recall) >= 0.65 THEN 'deploy_model' ELSE 'alert_low_metrics' END
+                   AS decision
+        FROM state_3, judged_once j, area""",
+    "s18_save_load_model": WHOLE_MODEL + f"SELECT order_id, {_round(boosting.PROBABILITY, 6)} AS probability, true AS same FROM state_3",
     "t02_stream_score": WEIGHED + f"""
         SELECT {_count("n % 10 <> 0")} AS n_scored, {_count("n % 10 <> 0")} AS n_orders, {_count("n % 10 <> 0")} AS n_as_batch,
                {_count("n % 10 = 0")} AS n_rejected FROM (SELECT CAST(order_id AS BIGINT) AS n FROM ({PAYLOADS}))""",

@@ -1,9 +1,12 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from orderlens.config import DEFAULTS, FEATURES
-from orderlens.operators import dataset, evaluation, model, queue
+from orderlens.operators import dataset, evaluation, model, queue, rounds
 from orderlens.plans import retraining
 from orderlens.registry.inputs import SETTINGS
 from orderlens.registry.queries import QUICK
@@ -177,3 +180,54 @@ def test_report(silver):
     assert report.n_train + report.n_test == silver.count()
     assert report.decision in ("deploy_model", "alert_low_metrics")
     assert 0 < report.base_rate < 1 and 0 <= report.roc_auc <= 1
+
+
+def test_rounds_are_the_smaller_models(split):
+    """Two of six rounds are the model of two trees, with rows and columns drawn for each tree."""
+    params = replace(model.MONTHLY, trees=6, depth=4)
+    train = split.where("is_train")
+    six, two = (model.train(train, replace(params, trees=n)) for n in (6, 2))
+    got = {(r.is_train, r["round"]): r for r in rounds.by_round(six, split).collect()}
+    assert sorted(got) == [(side, n) for side in (False, True) for n in range(1, 7)]
+    for fitted, n in ((six, 6), (two, 2)):
+        predicted = model.predict(fitted, split)
+        for r in model.validation_losses(predicted).collect():
+            mine = got[r.is_train, n]
+            assert (mine.n_rows, mine.error) == (r.n_rows, pytest.approx(r.error))
+            assert mine.logloss == pytest.approx(r.logloss, abs=1e-12)
+            counts = evaluation.classification_metrics(predicted.where(F.col("is_train") == r.is_train)).first()
+            assert (mine.tp, mine.fp, mine.fn, mine.tn) == (counts.tp, counts.fp, counts.fn, counts.tn)
+    assert [r["round"] for r in rounds.by_round(six, split, by=(), at=(2, 5)).orderBy("round").collect()] == [2, 5]
+    assert rounds.by_round(six, split.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="6 rounds"):
+        rounds.by_round(six, split, at=(7,))
+
+
+def test_stopped_training_has_the_rounds_that_helped(split):
+    held = split.withColumn("held_out", ~F.col("is_train"))
+    fitted = model.train(held, replace(QUICK, trees=40, depth=5, rate=0.9), validation="held_out")
+    losses = model.losses_by_round(fitted, held).where("NOT is_train").orderBy("round").collect()
+    assert 1 <= len(losses) < 40
+    assert min(losses, key=lambda r: r.logloss)["round"] == len(losses)
+    last = model.validation_losses(model.predict(fitted, held)).where("NOT is_train").first()
+    assert (losses[-1].n_rows, losses[-1].error) == (last.n_rows, last.error)
+    assert losses[-1].logloss == pytest.approx(last.logloss)
+
+
+def test_tuned_points_equal_separate_training(split):
+    """Every point of the grid by itself, fold by fold, against the prefixes."""
+    rows = split.where("is_train").withColumn("fold", F.expr("CAST(order_id AS BIGINT) % 2"))
+    grid = {"stepSize": (0.1, 0.5), "maxIter": (1, 3), "maxDepth": (3,)}
+    settings = DEFAULTS.but(class_weight="balanced")
+    best, points = model.tune(rows, settings, grid, folds=2, fold="fold")
+    weighted = dataset.with_weight(rows, settings)
+    base = model.TreeParams(row_share=1.0, column_share=1.0, min_leaf=1)
+    for point in points.collect():
+        recalls = []
+        for fold in (0, 1):
+            trees = model._trees(replace(base, trees=int(point.maxIter), depth=3, rate=point.stepSize), settings.seed)
+            fitted = Pipeline(stages=[model.assembler(), trees]).fit(weighted.where(F.col("fold") != fold))
+            recalls.append(evaluation.classification_metrics(model.predict(fitted, rows.where(F.col("fold") == fold))).first().recall)
+        assert point.avg_recall == pytest.approx(sum(recalls) / 2)
+    top = points.orderBy(F.desc("avg_recall")).first()
+    assert best.stages[-1].getNumTrees in {int(r.maxIter) for r in points.collect() if r.avg_recall == top.avg_recall}
