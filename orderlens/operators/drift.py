@@ -3,12 +3,14 @@
 All watched columns go through one aggregation: rows become (column, value) pairs counted
 per period before the shuffle. Every distance then works on distinct values as they are,
 whatever the number of rows.
+
+Where columns have about as many values as rows, ``sketched_drift`` needs no shuffle of values: quantile
+sketches of bounded size, a pair for each column, are merged instead. Sketches can be kept, by month for
+instance, and merged later.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,10 +18,13 @@ from orderlens.config import DEFAULTS, Settings
 from orderlens.functions import calendar
 from orderlens.functions.measures import count_of, half_up
 from orderlens.operators import evaluation
+from orderlens.operators.blocks import in_blocks
 from orderlens.session import staged
 
-# Length of a block of the value axis: running counts restart at each block.
-BLOCK = 100.0
+#: Size of a quantile sketch: its ranks are within 0.08 % of the exact ones, in all but one case in a hundred.
+SKETCH_K = 4096
+#: So many evenly spaced quantiles stand for the rows of a period.
+SKETCH_POINTS = 4096
 WIDE = "decimal(38,0)"
 PSI_BANDS = 10
 PSI_FLOOR = 0.0001  # Fixed value: share given to an empty band.
@@ -37,16 +42,19 @@ def with_period(silver: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     )
 
 
-def value_counts(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """(column_name, value, n_ref, n_cur): how often each value occurs per period. Nulls are left out."""
+def _number(rows: DataFrame, name: str) -> str:
+    """A type between a column's own and a double."""
+    own = dict(rows.dtypes)[name]
+    return "int" if own == "boolean" else own
+
 
-    def number(name: str) -> Column:
-        numeric = F.col(name).cast("int") if dict(rows.dtypes)[name] == "boolean" else F.col(name)
-        return numeric.cast("double").alias(name)
+def value_counts(rows: DataFrame, columns: tuple[str, ...], names: tuple[str, ...] = ()) -> DataFrame:
+    """(column_name, value, n_ref, n_cur): how often each value occurs per period. Nulls are left out.
 
-    wide = rows.select("period", *[number(c) for c in columns])
-    long = wide.unpivot("period", list(columns), "column_name", "value").where("value IS NOT NULL")
-    return long.groupBy("column_name", "value").agg(
+    ``names`` is given where the one column holds values of several, whose name stands beside them."""
+    wide = rows.select("period", *names, *[F.col(c).cast(_number(rows, c)).cast("double").alias(c) for c in columns])
+    long = wide if names else wide.unpivot("period", list(columns), "column_name", "value")
+    return long.where("value IS NOT NULL").groupBy("column_name", "value").agg(
         count_of(F.col("period") == "reference").alias("n_ref"),
         count_of(F.col("period") == "current").alias("n_cur"),
     )
@@ -54,8 +62,7 @@ def value_counts(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 
 def _blocks(counts: DataFrame) -> DataFrame:
     """Per column and block of values: counts before it, the column's totals, the next block's first value."""
-    block = F.floor(F.col("value") / BLOCK).alias("block")
-    sums = counts.groupBy("column_name", block).agg(
+    sums = counts.groupBy("column_name", "block").agg(
         F.sum("n_ref").alias("ref"), F.sum("n_cur").alias("cur"), F.min("value").alias("first"),
         F.max("value").alias("last"), F.count("*").alias("values"),
     )
@@ -88,13 +95,11 @@ def distances(counts: DataFrame) -> DataFrame:
     * ``jensen_shannon``: square root of the divergence (natural logarithm) of the value shares
     * ``psi``: stability index over ten bands of equal width
 
-    Cumulative counts are added block by block in parallel: block totals (bounded by the range
-    of values) give each block its start, so no column is sorted as a whole. Reads ``counts``
-    twice.
+    Cumulative counts are added block by block in parallel: blocks hold about as many values each, and
+    their totals give each its start, so no column is sorted as a whole.
     """
-    positioned = counts.withColumn("block", F.floor(F.col("value") / BLOCK)).join(
-        _blocks(counts), ["column_name", "block"]
-    )
+    counts = in_blocks(counts, "column_name", "value")
+    positioned = counts.join(_blocks(counts), ["column_name", "block"])
     inside = Window.partitionBy("column_name", "block").orderBy("value")
     upto_ref = F.col("ref_before") + F.sum("n_ref").over(inside)
     upto_cur = F.col("cur_before") + F.sum("n_cur").over(inside)
@@ -165,18 +170,61 @@ def distances(counts: DataFrame) -> DataFrame:
     )
 
 
-def column_drift(
-    rows: DataFrame,
-    settings: Settings = DEFAULTS,
-    columns: tuple[str, ...] | None = None,
-    stage: Callable[[DataFrame], DataFrame] = staged,
-) -> DataFrame:
+def column_drift(rows: DataFrame, settings: Settings = DEFAULTS, columns: tuple[str, ...] | None = None) -> DataFrame:
     """Every distance per column, the one that decides, and whether the column drifted.
 
-    Few distinct values: Jensen-Shannon, otherwise Wasserstein. The value counts are staged
-    because two steps read them.
+    Few distinct values: Jensen-Shannon, otherwise Wasserstein.
     """
-    return judge(distances(stage(value_counts(rows, columns or settings.watched))), settings)
+    return judge(distances(value_counts(rows, columns or settings.watched)), settings)
+
+
+def sketches(rows: DataFrame, columns: tuple[str, ...], k: int = SKETCH_K, by: tuple[str, ...] = ()) -> DataFrame:
+    """What ``sketched_distances`` needs to know of each column and period (and of each ``by``, a month for instance): a quantile
+    sketch, a sketch of the distinct values and the count. Nulls are left out."""
+    wide = rows.select("period", *by, *[F.col(c).cast(_number(rows, c)).cast("double").alias(c) for c in columns])
+    long = wide.unpivot(["period", *by], list(columns), "column_name", "value").where("value IS NOT NULL AND period IS NOT NULL")
+    return long.groupBy("column_name", "period", *by).agg(
+        F.kll_sketch_agg_double("value", F.lit(k)).alias("quantiles"),
+        F.hll_sketch_agg(F.col("value").cast("string")).alias("distinct"),
+        F.count("*").alias("n"),
+    )
+
+
+def merged_sketches(states: DataFrame) -> DataFrame:
+    """Stored sketches of a column and period as one."""
+    return states.groupBy("column_name", "period").agg(
+        F.kll_merge_agg_double("quantiles").alias("quantiles"),
+        F.hll_union_agg("distinct").alias("distinct"),
+        F.sum("n").alias("n"),
+    )
+
+
+def sketched_distances(states: DataFrame, points: int = SKETCH_POINTS) -> DataFrame:
+    """The columns of ``distances`` from a row for each column and period, taken over evenly spaced quantiles.
+
+    Cumulative shares, and so ``ks``, are within the sketches' rank errors plus one in ``points`` of the exact ones.
+    ``n_values`` is an estimate, exact when small.
+    """
+    ranks = F.from_json(F.lit(str([(i + 0.5) / points for i in range(points)])), "array<double>")
+    drawn = states.select("column_name", "period", F.explode(F.kll_sketch_get_quantile_double("quantiles", ranks)).alias("value"))
+    counts = value_counts(drawn.select("period", "column_name", "value"), ("value",), ("column_name",))
+    measured = distances(counts).drop("n_values", "total_ref", "total_cur")
+    sizes = states.groupBy("column_name").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("distinct")).alias("n_values"),
+        *[
+            F.coalesce(F.sum(F.when(F.col("period") == name, F.col("n"))), F.lit(0)).alias(total)
+            for name, total in (("reference", "total_ref"), ("current", "total_cur"))
+        ],
+    )
+    # A row a column on either side.
+    return sizes.join(measured, "column_name", "left")
+
+
+def sketched_drift(
+    rows: DataFrame, settings: Settings = DEFAULTS, columns: tuple[str, ...] | None = None, k: int = SKETCH_K
+) -> DataFrame:
+    """``column_drift`` by sketches: one aggregation whose state is bounded, whatever the number of rows or values."""
+    return judge(sketched_distances(staged(sketches(rows, columns or settings.watched, k), "sketches")), settings)
 
 
 def judge(measured: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens.config import DEFAULTS, Settings
 from orderlens.functions.measures import count_of, half_up
+from orderlens.operators.blocks import in_blocks
 
 LABEL = "label"
 
@@ -63,20 +64,17 @@ def confusion_matrix(rows: DataFrame, threshold: float = 0.5, probability: str =
     return rows.groupBy(LABEL, prediction).agg(F.count("*").alias("n_rows"))
 
 
-# Running counts restart at each of so many parts of the score range.
-BLOCKS = 1 << 16
-
-
 def roc_auc(rows: DataFrame, probability: str = "probability") -> DataFrame:
     """Area under the ROC curve as the share of (late, punctual) pairs ranked rightly, ties half.
 
-    Rows are first counted per score; running counts are added block by block of the score range, so
-    no task sees all scores. Scores are compared as they are. Null with a single class.
+    Rows are first counted per score; running counts are added block by block, blocks holding about as many
+    scores each however close these lie, so no task sees all scores. Scores are compared as they are.
+    Null with a single class.
     """
     counts = rows.groupBy(F.col(probability).alias("score")).agg(
         count_of(F.col(LABEL) == 1).alias("late"), count_of(F.col(LABEL) == 0).alias("punctual")
     )
-    counts = counts.withColumn("block", F.floor(F.col("score") * BLOCKS))
+    counts = in_blocks(counts, "score")
     earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.groupBy("block").agg(F.sum("punctual").alias("n")).select(
         "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")

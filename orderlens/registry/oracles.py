@@ -614,6 +614,7 @@ _WITH_PRELUDE: dict[str, str] = {
     "d01_value_counts": PERIODS + "SELECT column_name, value, n_ref, n_cur FROM counted",
     "d01_column_drift": PERIODS + """SELECT column_name, n_values, total_ref, total_cur, wasserstein, ks, jensen_shannon,
         psi, method, score, drifted FROM judged""",
+    "d01_sketched_drift": PERIODS + "SELECT column_name, total_ref, total_cur, true AS ks_near, method, drifted FROM judged",
     "d02_dataset_drift": PERIODS + "SELECT * FROM dataset",
     "d03_classification_by_period": PERIODS + BY_PERIOD,
     "d04_drift_tests": PERIODS + """

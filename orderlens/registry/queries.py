@@ -781,6 +781,17 @@ def _(x: Inputs) -> DataFrame:
     return _judged(x)
 
 
+@query("d01_sketched_drift")
+def _(x: Inputs) -> DataFrame:
+    # Sketches by month, stored, then merged, as a monthly job would keep them; and how far they are from the exact curves.
+    periods = staged(_periods(x))
+    months = staged(drift.sketches(periods, SETTINGS.watched, by=("purchase_year", "purchase_month")))
+    found = drift.judge(drift.sketched_distances(drift.merged_sketches(months)), SETTINGS)
+    exact = drift.column_drift(periods, SETTINGS).select("column_name", F.col("ks").alias("exact_ks"))
+    near = F.abs(F.col("ks") - F.col("exact_ks")) < 0.0025
+    return found.join(exact, "column_name").select("column_name", "total_ref", "total_cur", near.alias("ks_near"), "method", "drifted")
+
+
 @query("d02_dataset_drift")
 def _(x: Inputs) -> DataFrame:
     return drift.dataset_drift(_judged(x), SETTINGS)

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from orderlens.config import DEFAULTS
-from orderlens.operators import drift, evaluation
+from orderlens.operators import blocks, drift, evaluation
 from orderlens.plans import monitoring
 from orderlens.registry.inputs import SETTINGS
 
@@ -59,6 +59,66 @@ def test_values_across_block_edges(spark):
     assert got.ks == pytest.approx(want["ks"], abs=1e-6)
 
 
+def test_many_blocks_wherever_the_values_lie(spark):
+    """Blocks hold about as many values each, also where nearly all values lie close together."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rng = np.random.default_rng(4)
+    reference, current = rng.random(3000) * 1e-5, np.append(rng.random(2990) * 1.1e-5, rng.random(10) * 1e6)
+    got, want = measured(spark, reference, current), by_hand(reference, current)
+    for name, value in want.items():
+        assert got[name] == pytest.approx(value, rel=1e-5, abs=2e-6), name
+    counts = drift.value_counts(frame(spark, reference, current), ("x",))
+    sizes = [r["count"] for r in blocks.in_blocks(counts, "column_name", "value").groupBy("block").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 6000 / 8
+
+
+def sketched(spark, reference, current, **more):
+    states = drift.sketches(frame(spark, reference, current), ("x",), **more)
+    return drift.sketched_distances(states).first()
+
+
+def test_sketched_distances_are_near_the_exact_ones(spark):
+    rng = np.random.default_rng(6)
+    reference, current = rng.normal(50, 10, 60_000), np.append(rng.normal(52, 11, 59_000), rng.random(1000) * 1000)
+    got, want = sketched(spark, reference, current, k=2000), by_hand(reference, current)
+    assert (got.total_ref, got.total_cur) == (60_000, 60_000)
+    assert got.n_values == pytest.approx(120_000, rel=0.05)
+    assert got.ks == pytest.approx(want["ks"], abs=0.004)
+    assert got.wasserstein == pytest.approx(want["wasserstein"], abs=0.15 * want["wasserstein"])
+    few = sketched(spark, [1, 2, 2, 3] * 500, [1, 2, 3, 3] * 500)
+    assert few.n_values == 3
+    assert few.jensen_shannon == pytest.approx(by_hand([1, 2, 2, 3], [1, 2, 3, 3])["jensen_shannon"], abs=1e-3)
+
+
+def test_sketches_shuffle_a_bounded_state(spark):
+    """A row a task for each column and period leaves the first stage, and no values."""
+    rows = spark.range(0, 200_000, 1, 4).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'reference' WHEN id % 3 = 1 THEN 'current' END AS period", "rand(7) AS x", "CAST(id % 5 AS int) AS y"
+    )
+    states = drift.sketches(rows, ("x", "y"), k=200)
+    plan = states._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_kll_sketch_agg_double" in plan
+    assert {(r.column_name, r.period, r.n) for r in states.collect()} == {
+        (c, p, 66_667) for c in ("x", "y") for p in ("reference", "current")
+    }
+
+
+def test_merged_months_are_the_whole(spark):
+    rows = spark.range(3000).selectExpr("IF(id % 2 = 0, 'reference', 'current') AS period", "id % 12 AS month", "CAST(id * id % 1009 AS double) AS x")
+    months = drift.sketches(rows, ("x",), by=("month",))
+    assert months.count() == 12  # a month of this table has one period
+    one = drift.sketched_distances(drift.merged_sketches(months)).first()
+    whole = drift.distances(drift.value_counts(rows, ("x",))).first()
+    assert (one.total_ref, one.total_cur) == (whole.total_ref, whole.total_cur)
+    assert one.n_values == pytest.approx(whole.n_values, rel=0.05)
+    assert one.ks == pytest.approx(whole.ks, abs=1e-3) and one.wasserstein == pytest.approx(whole.wasserstein, abs=1e-3)
+
+
+def test_sketched_drift_of_one_period(spark):
+    got = drift.sketched_drift(frame(spark, [1, 2, 3], []), SETTINGS_1).first()
+    assert (got.total_ref, got.total_cur, got.ks, got.drifted) == (3, 0, None, False)
+
+
 def test_same_distribution_is_no_drift(spark):
     got = measured(spark, [1, 2, 2, 3], [1, 2, 2, 3] * 5)
     assert (got.wasserstein, got.ks, got.jensen_shannon, got.psi) == (0.0, 0.0, 0.0, 0.0)

@@ -1,4 +1,5 @@
 from dataclasses import replace
+from itertools import groupby
 
 import numpy as np
 import pytest
@@ -6,7 +7,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from orderlens.config import DEFAULTS, FEATURES
-from orderlens.operators import dataset, evaluation, model, queue, rounds
+from orderlens.operators import blocks, dataset, evaluation, model, queue, rounds
 from orderlens.plans import retraining
 from orderlens.registry.inputs import SETTINGS
 from orderlens.registry.queries import QUICK
@@ -160,6 +161,23 @@ def test_roc_auc_ranks_scores_as_they_are(spark):
     assert evaluation.roc_auc(rows.withColumn("probability", rows.probability.cast("double"))).first().roc_auc == 1.0
 
 
+def test_close_scores_are_spread_over_all_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = spark.range(40_000).selectExpr("CAST(id * 7919 % 11 = 0 AS int) AS label", "0.25D + (id * 7907 % 30011) * 3e-10D AS probability")
+    sizes = [r["count"] for r in blocks.in_blocks(rows.select("probability").distinct(), "probability").groupBy("block").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
+    data = [(r.label, r.probability) for r in rows.collect()]
+    order = sorted(data, key=lambda x: x[1])
+    wins = below = 0.0
+    for _, tied in groupby(order, key=lambda x: x[1]):
+        tied = list(tied)
+        punctual = sum(1 - y for y, _ in tied)
+        wins += (len(tied) - punctual) * (below + punctual / 2)
+        below += punctual
+    got = evaluation.roc_auc(rows).first()
+    assert got.roc_auc == pytest.approx(wins / (got.n_late * got.n_punctual))
+
+
 def test_calibration_bands(table):
     got = {r.band: (r.n_rows, r.mean_predicted, r.observed_rate)
            for r in evaluation.calibration_check(table(SCORES, (1, 0.05), (0, 0.09), (1, 1.0))).collect()}
