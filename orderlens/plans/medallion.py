@@ -16,10 +16,17 @@ from orderlens.sources import incremental, lake, landing, warehouse
 REPLACED = ("order_items", "payments", "reviews")
 
 
-def land(spark: SparkSession, raw: str, lakehouse: str, files: Mapping[str, str] | None = None) -> dict[str, int]:
-    """Raw CSV to Bronze; rows per table."""
+def land(
+    spark: SparkSession,
+    raw: str,
+    lakehouse: str,
+    files: Mapping[str, str] | None = None,
+    refused: dict[str, int] | None = None,
+) -> dict[str, int]:
+    """Raw CSV to Bronze; good rows per table. Rows that do not parse are kept aside (``lake.read_refused``), their
+    numbers go into ``refused``."""
     size_shuffles(spark, raw)
-    return lake.write_bronze(landing.ingest_all(spark, raw, files), f"{lakehouse}/bronze")
+    return lake.write_bronze(landing.ingest_all(spark, raw, files, keep_bad=True), f"{lakehouse}/bronze", refused=refused)
 
 
 def sync(
@@ -32,10 +39,9 @@ def sync(
     """The periodic intake into an existing Bronze: new orders are appended, the ``replaced`` tables
     taken in whole. Add customers, sellers and products to them where new orders may bring new ones."""
     size_shuffles(spark, raw)
-    tables = landing.ingest_all(spark, raw, files, only=("orders", *replaced))
-    incremental.append_new(spark, tables["orders"], f"{lakehouse}/bronze/orders")
-    for name in replaced:
-        lake.full_refresh(tables[name], f"{lakehouse}/bronze/{name}")
+    tables = landing.ingest_all(spark, raw, files, only=("orders", *replaced), keep_bad=True)
+    incremental.append_new(spark, tables.pop("orders"), f"{lakehouse}/bronze/orders")
+    lake.write_bronze(tables, f"{lakehouse}/bronze")
 
 
 def refine(spark: SparkSession, lakehouse: str, settings: Settings = DEFAULTS) -> DataFrame:
@@ -68,4 +74,10 @@ def export(
 
 
 def preview(df: DataFrame, rows: int = 5) -> None:
-    df.show(rows, truncate=False)
+    sample(df, rows).show(truncate=False)
+
+
+def sample(df: DataFrame, rows: int = 5) -> DataFrame:
+    """The first rows in the order of all columns: the same ones whatever the partitions. Each task keeps
+    only as many."""
+    return df.orderBy(*df.columns).limit(rows)

@@ -439,8 +439,22 @@ _WITH_PRELUDE: dict[str, str] = {
         BY_WEEKDAY, purchase_weekday="int", **_COUNTS, avg_delivery_days="dec6_2", late_rate_pct="dec5_2"
     ),
     "s12_ingest_incremental": """
-        SELECT order_id, CASE WHEN n % 13 <> 0 THEN strftime(bought, '%Y-%m') END AS purchase_ym,
-               CAST(1 AS BIGINT) AS n_rows FROM m_orders""",
+        SELECT order_id, strftime(day, '%Y-%m') AS purchase_ym, count(*) AS n_rows
+        FROM (SELECT DISTINCT CASE WHEN n % 97 <> 0 THEN order_id END AS order_id, order_status,
+                     CASE WHEN n % 13 <> 0 THEN bought END AS day FROM m_orders)
+        GROUP BY 1, 2""",
+    "s04_quarantine": f"""
+        SELECT payment_type, CAST(order_id AS BIGINT) % 50 <> 0 AS good, count(*) AS n_rows,
+               (SELECT {_count("CAST(order_id AS BIGINT) % 50 <> 0")} FROM m_payments) AS all_good,
+               (SELECT {_count("CAST(order_id AS BIGINT) % 50 = 0")} FROM m_payments) AS all_refused
+        FROM m_payments GROUP BY 1, 2""",
+    "s11_contract_refused": f"""
+        SELECT customer_state, CASE WHEN length(customer_state) > 8
+            THEN 'late_rate_by_state.customer_state does not fit varchar(8): ' || customer_state END AS reason
+        FROM ({BY_STATE})""",
+    "l07_preview": """
+        SELECT purchase_year, purchase_month, count(*) AS total_orders FROM silver
+        GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 5""",
     "s13_full_refresh": "SELECT payment_type, count(*) AS n_rows FROM m_payments GROUP BY payment_type",
     "s16_parse_order_json": WEIGHED + PAYLOADS,
     "p01_filter_delivered": "SELECT order_id, order_status FROM m_orders WHERE order_status = 'delivered'",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import calendar, risk
 from orderlens.functions.measures import half_up
 from orderlens.operators import cleaning, dataset, drift, evaluation, kpis, model, queue, reporting, silver
-from orderlens.plans import monitoring, retraining, scoring
+from orderlens.plans import medallion, monitoring, retraining, scoring
 from orderlens.registry.inputs import SETTINGS, Inputs, plain
 from orderlens.session import scratch_path, staged
 from orderlens.sources import incremental, lake, landing, warehouse
@@ -128,24 +128,60 @@ _contract("weekday_pattern", lambda x: kpis.weekday_pattern(x.silver))
 @query("s12_ingest_incremental")
 def _(x: Inputs) -> DataFrame:
     # Bronze holds the purchases up to a moment and half of those without a date. The intake of all
-    # orders, run twice, brings the rest: every order is then there once.
+    # orders, some of them doubled, run twice, brings the rest: every order is then there once, and those
+    # without an id once for each different content.
     path = scratch_path(x.spark, "bronze")
     undated = F.when(F.expr("order_id % 13 <> 0"), F.col(calendar.BOUGHT)).alias(calendar.BOUGHT)
-    orders = x["orders"].select("order_id", "order_status", undated)
+    nameless = F.when(F.expr("order_id % 97 <> 0"), F.col("order_id")).alias("order_id")
+    orders = x["orders"].select(F.col("order_id").alias("n"), nameless, "order_status", undated)
     early = F.col(calendar.BOUGHT) <= F.lit("1999-06-01 12:00:00").cast("timestamp")
-    half = F.col(calendar.BOUGHT).isNull() & F.expr("order_id % 26 = 0")
-    for rows in (orders.where(early | half), orders, orders):
-        incremental.append_new(x.spark, rows, path)
-    stored = x.spark.read.schema(f"order_id string, purchase_ym string").parquet(path)
+    half = F.col(calendar.BOUGHT).isNull() & F.expr("n % 26 = 0")
+    doubled = orders.unionByName(orders.where("n % 7 = 0"))
+    for rows in (orders.where(early | half), doubled, doubled):
+        incremental.append_new(x.spark, rows.drop("n"), path)
+    stored = x.spark.read.schema("order_id string, purchase_ym string").parquet(path)
     return stored.groupBy("order_id", "purchase_ym").agg(F.count("*").alias("n_rows"))
 
 
+@query("s04_quarantine")
+def _(x: Inputs) -> DataFrame:
+    # Every fiftieth payment has an amount that is no number: it is kept aside with its line, the others go on.
+    home = scratch_path(x.spark, "quarantine")
+    amount = F.when(F.expr("order_id % 50 = 0"), "12,3x").otherwise(F.col("payment_value").cast("string"))
+    x["payments"].withColumn("payment_value", amount).write.option("header", True).csv(f"{home}/raw/payments")
+    tables = landing.ingest_all(x.spark, f"{home}/raw", {"payments": "payments"}, ("payments",), keep_bad=True)
+    refused: dict[str, int] = {}
+    good = lake.write_bronze(tables, home, refused=refused)
+    kept = lake.read_bronze(x.spark, home, "payments").withColumn("good", F.lit(True))
+    aside = lake.read_refused(x.spark, f"{home}/payments").where(F.col(landing.CORRUPT).contains("12,3x"))
+    both = kept.unionByName(aside.withColumn("good", F.lit(False)), allowMissingColumns=True)
+    return both.groupBy("payment_type", "good").agg(F.count("*").alias("n_rows")).withColumns(
+        {"all_good": F.lit(good["payments"]).cast("bigint"), "all_refused": F.lit(refused["payments"]).cast("bigint")}
+    )
+
+
+@query("s11_contract_refused")
+def _(x: Inputs) -> DataFrame:
+    # States of more than eight letters do not fit: their rows stay out, with the reason.
+    home = scratch_path(x.spark, "refused")
+    rows = kpis.late_rate_by_state(x.silver)
+    warehouse.split_by_contract(rows, "late_rate_by_state", home, {"customer_state": 8})
+    kept = lake.read_table(x.spark, home).select("customer_state", F.lit(None).cast("string").alias("reason"))
+    aside = lake.read_refused(x.spark, home).select("customer_state", F.col(lake.REASON).alias("reason"))
+    return kept.unionByName(aside)
+
+
+@query("l07_preview")
+def _(x: Inputs) -> DataFrame:
+    return medallion.sample(kpis.monthly_trend(x.silver).select("purchase_year", "purchase_month", "total_orders"), 5)
+
+
 @query("s13_full_refresh")
 def _(x: Inputs) -> DataFrame:
     path = scratch_path(x.spark, "refresh")
     for rows in (x["payments"].where("payment_type = 'A'"), x["payments"]):
         lake.full_refresh(rows, path)
-    back = x.spark.read.parquet(path)
+    back = lake.read_table(x.spark, path)
     return back.groupBy("payment_type").agg(F.count("*").alias("n_rows"))
 
 
@@ -853,16 +889,16 @@ def _(x: Inputs) -> DataFrame:
 
 @query("t01_stream_ingest")
 def _(x: Inputs) -> DataFrame:
-    # Bronze already holds the orders of even number, some without a date; the stream brings all of them.
+    # Bronze already holds the orders of even number, some without a date; the stream brings all of them, some of the
+    # odd ones twice, with another purchase date.
     home = scratch_path(x.spark, "stream")
     undated = F.when(F.expr("order_id % 13 <> 0"), F.col(calendar.BOUGHT))
     orders = x["orders"].withColumn(calendar.BOUGHT, undated)
     lake.write_bronze({"orders": landing.add_lineage(orders.where("order_id % 2 = 0"), "orders", "first")}, home)
-    orders.write.option("header", True).csv(f"{home}/in")
+    corrected = orders.where("order_id % 10 = 3").withColumn(calendar.BOUGHT, F.col(calendar.BOUGHT) + F.expr("INTERVAL 40 DAYS"))
+    orders.unionByName(corrected).write.option("header", True).csv(f"{home}/in")
     for _run in range(2):  # the second run finds nothing new
         stream_ingest_job.stream_ingest(x.spark, f"{home}/in", f"{home}/orders", f"{home}/ck").awaitTermination()
-    # And the periodic intake after the stream adds nothing.
-    incremental.append_new(x.spark, landing.add_lineage(orders, "orders", "again"), f"{home}/orders")
     stored = lake.read_bronze(x.spark, home, "orders")
     return stored.groupBy("source_table", "order_status").agg(
         F.count("*").alias("n_orders"), F.count_distinct("order_id").alias("n_ids")

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens import schemas
-
-CORRUPT = "_corrupt_record"
+from orderlens.sources.lake import CORRUPT, place
 
 
 def read_csv_typed(
@@ -54,15 +53,17 @@ def ingest_all(
     folder: str,
     files: Mapping[str, str] | None = None,
     only: Iterable[str] = tuple(schemas.SOURCES),
+    keep_bad: bool = False,
 ) -> dict[str, DataFrame]:
-    """The source tables with lineage. ``files`` maps table names to file names or globs.
+    """The source tables with lineage. ``files`` maps table names to file names or globs. ``keep_bad`` adds the raw
+    text of rows that do not parse, by which writers to Bronze keep them aside.
 
     A missing file raises here, before anything is written.
     """
     tables = {}
     for table in only:
         path = f"{folder.rstrip('/')}/{(files or {}).get(table, table + '.csv')}"
-        rows = read_csv_typed(spark, path, schemas.SOURCES[table], multiline=table in schemas.MULTILINE)
+        rows = read_csv_typed(spark, path, schemas.SOURCES[table], table in schemas.MULTILINE, keep_bad)
         tables[table] = add_lineage(rows, table)
     return tables
 
@@ -80,7 +81,7 @@ def ingest_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def read_pruned(spark: SparkSession, path: str, columns: list[str], fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path).select(*columns)
+    return spark.read.format(fmt).load(place(spark, path)).select(*columns)
 
 
 def _order_bodies(raw: DataFrame, body: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.schemas import CONTRACTS
+from orderlens.sources import lake
 
 UNKNOWN = "unknown"
 STAMP = "inserted_at"
@@ -22,7 +23,8 @@ def contract_types(table: str, widths: Mapping[str, int] | None = None) -> dict[
     return types
 
 
-def _conform(table: str, name: str, kind: str) -> Column:
+def _conform(table: str, name: str, kind: str) -> tuple[Column, Column, Column]:
+    """A column in its declared type; whether it cannot be had; and what to say then."""
     kind, required = kind.rstrip("!"), kind.endswith("!")
     given = F.col(name)
     if kind.startswith("varchar"):
@@ -36,13 +38,11 @@ def _conform(table: str, name: str, kind: str) -> Column:
             value = F.round(given.cast("decimal(38,10)"), int(kind.split(",")[1][:-1]))
         value = value.try_cast(kind)
         fits = value.isNotNull()
-    said = F.lit(f"{table}.{name} does not fit {kind}: ")
+    said = F.concat(F.lit(f"{table}.{name} does not fit {kind}: "), F.coalesce(given.cast("string"), F.lit("null")))
     wrong = given.isNotNull() & ~fits
-    refused = F.raise_error(F.concat(said, given.cast("string")))
     if required and not kind.startswith("varchar"):
         wrong = given.isNull() | wrong
-        refused = F.raise_error(F.concat(said, F.coalesce(given.cast("string"), F.lit("null"))))
-    return F.when(wrong, refused.cast(value_type(kind))).otherwise(value)
+    return value, wrong, said
 
 
 def value_type(kind: str) -> str:
@@ -56,12 +56,30 @@ def apply_contract(
     its column and numbers that do not fit fail the job, as does a null in a required number. A null
     text key (an unmatched category) becomes 'unknown'."""
     types = contract_types(table, widths)
-    columns = [_conform(table, name, kind).alias(name) for name, kind in types.items()]
+    columns = []
+    for name, kind in types.items():
+        value, wrong, said = _conform(table, name, kind)
+        refused = F.raise_error(said).cast(value_type(kind.rstrip("!")))
+        columns.append(F.when(wrong, refused).otherwise(value).alias(name))
     if stamp:
         columns.append(F.current_timestamp().alias(STAMP))
     return df.select(*columns)
 
 
+def refusal(table: str, widths: Mapping[str, int] | None = None) -> Column:
+    """Why a row does not fit the contract: its first column that does not; null if all do."""
+    checks = [_conform(table, name, kind) for name, kind in contract_types(table, widths).items()]
+    return F.coalesce(*[F.when(wrong, said) for _, wrong, said in checks])
+
+
+def split_by_contract(
+    df: DataFrame, table: str, path: str, widths: Mapping[str, int] | None = None
+) -> dict[str, int]:
+    """Write the rows to a checked table at ``path``, as they are: those that fit the contract, and aside those that do not, each
+    with the reason. One job; the numbers read, good and refused."""
+    return lake.write_checked(df, path, refusal(table, widths))
+
+
 def table_ddl(table: str, widths: Mapping[str, int] | None = None) -> str:
     columns = [
         f"{name} {kind.rstrip('!')}" + " NOT NULL" * kind.endswith("!")
@@ -71,13 +89,22 @@ def table_ddl(table: str, widths: Mapping[str, int] | None = None) -> str:
 
 
 def export_table(
-    df: DataFrame, table: str, database: str, path: str | None = None, widths: Mapping[str, int] | None = None
+    df: DataFrame,
+    table: str,
+    database: str,
+    path: str | None = None,
+    widths: Mapping[str, int] | None = None,
+    refused: str | None = None,
 ) -> None:
     """Replace the rows of one warehouse table and refresh its statistics.
 
     The table is created from its contract once; later exports overwrite its rows and leave the
-    definition in place, so readers never find it gone."""
+    definition in place, so readers never find it gone. A row that does not fit fails the export; with ``refused``,
+    a folder, it is kept aside there (``lake.read_refused``) and the others go on."""
     spark = df.sparkSession
+    if refused:
+        split_by_contract(df, table, refused, widths)
+        df = lake.read_table(spark, refused)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     place = f" LOCATION '{path}/{table}'" if path else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} ({table_ddl(table, widths)}) USING parquet{place}")

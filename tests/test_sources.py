@@ -228,7 +228,7 @@ def test_full_refresh_replaces(spark, table, tmp_path):
     path = f"{tmp_path}/t"
     for n in (3, 2):
         lake.full_refresh(table("x int", *[(i,) for i in range(n)]), path)
-    assert spark.read.parquet(path).count() == 2
+    assert lake.read_table(spark, path).count() == 2
 
 
 def test_json_artifact(table, tmp_path):
@@ -249,3 +249,106 @@ def test_shared_folder_is_the_named_one(spark, tmp_path_factory):
     assert session.shared_folder(spark) == named
     assert session.scratch_path(spark, "x").startswith(f"{named}/orderlens/{spark.sparkContext.applicationId}/x-")
     assert not session.path_exists(spark, session.scratch_path(spark, "x"))
+
+
+def test_a_failed_write_leaves_the_old_table(spark, table, tmp_path):
+    """Rows that fail halfway: readers go on seeing the version before, and the next write replaces it."""
+    path = f"{tmp_path}/t"
+    rows = spark.range(0, 1000, 1, 10).selectExpr("id AS x", "2018 AS purchase_year", "int(id % 3) AS purchase_month")
+    failing = rows.withColumn("x", F.expr("IF(x = 990, raise_error('broken'), x)").cast("bigint"))
+    for write in (lake.full_refresh, lake.write_silver):
+        write(rows, path)
+        with pytest.raises(PySparkException):
+            write(failing, path)
+        assert lake.read_table(spark, path).agg(F.sum("x")).first()[0] == 499_500
+        write(rows.where("x < 10"), path)
+        assert lake.read_table(spark, path).count() == 10
+
+
+def test_readers_of_the_version_before_can_finish(spark, table, tmp_path):
+    path = f"{tmp_path}/t"
+    for n in (1, 2):
+        lake.full_refresh(spark.range(n), path)
+    begun = lake.read_table(spark, path)
+    lake.full_refresh(spark.range(3), path)
+    assert (begun.count(), lake.read_table(spark, path).count()) == (2, 3)
+    assert len(list((tmp_path / "t").glob("v*"))) == 2
+
+
+BROKEN = "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01037,a,SP\ns2,01038\ns3,1,b,RJ,extra\ns4,01039,c,SP\n"
+
+
+def test_good_and_refused_add_up_to_what_was_read(spark, tmp_path):
+    (tmp_path / "sellers.csv").write_text(BROKEN)
+    refused = {}
+    tables = landing.ingest_all(spark, str(tmp_path), only=("sellers",), keep_bad=True)
+    good = lake.write_bronze(tables, f"{tmp_path}/lake", refused=refused)
+    assert (good, refused) == ({"sellers": 2}, {"sellers": 2})
+    stored = lake.read_bronze(spark, f"{tmp_path}/lake", "sellers")
+    assert stored.columns == [*schemas.SOURCES["sellers"].names, *schemas.LINEAGE]
+    assert sorted(r.seller_id for r in stored.collect()) == ["s1", "s4"]
+    aside = lake.read_refused(spark, f"{tmp_path}/lake/sellers").collect()
+    assert sorted(r[lake.CORRUPT] for r in aside) == ["s2,01038", "s3,1,b,RJ,extra"]
+    assert {r[lake.REASON] for r in aside} == {lake.UNREADABLE}
+
+
+def test_orders_that_do_not_parse_are_kept_once_by_the_intake(spark, inputs, tmp_path):
+    head = ",".join(schemas.SOURCES["orders"].names)
+    width = len(schemas.SOURCES["orders"].names) - 3
+    line = "{},c,delivered,2018-01-0{} 00:00:00" + "," * (width - 1)
+    home = tmp_path / "lake"
+    for n in (1, 2, 3):
+        (tmp_path / "orders.csv").write_text("\n".join([head, *[line.format(f"o{i}", i) for i in range(1, n + 1)], "broken,line"]) + "\n")
+        rows = landing.ingest_all(spark, str(tmp_path), only=("orders",), keep_bad=True)["orders"]
+        if n == 1:
+            lake.write_bronze({"orders": rows}, str(home))
+        else:
+            for _run in range(2):
+                incremental.append_new(spark, rows, f"{home}/orders")
+    assert sorted(r.order_id for r in lake.read_bronze(spark, str(home), "orders").collect()) == ["o1", "o2", "o3"]
+    assert [r[lake.CORRUPT] for r in lake.read_refused(spark, f"{home}/orders").collect()] == ["broken,line"]
+    plain = f"{tmp_path}/plain"
+    incremental.append_new(spark, rows.drop(lake.CORRUPT), plain)
+    with pytest.raises(ValueError, match="no place"):
+        incremental.append_new(spark, rows, plain)
+    incremental.append_new(spark, rows, f"{tmp_path}/first")
+    assert lake.read_table(spark, f"{tmp_path}/first").count() == 3 and lake.read_refused(spark, f"{tmp_path}/first").count() == 1
+
+
+def test_contract_keeps_aside_what_does_not_fit(spark, table, tmp_path):
+    rows = table(BY_STATE, ("SP", 1, 0, 1.0, 1.0, 1.0), ("ARGENTINA", 1, 0, 1.0, 1.0, 1.0), ("RJ", 1, 0, 1e17, 1.0, 1.0), ("BA", None, 0, 1.0, 1.0, 1.0))
+    counts = warehouse.split_by_contract(rows, "late_rate_by_state", f"{tmp_path}/split")
+    assert counts == {"read": 4, "good": 1, "refused": 3}
+    reasons = {r.customer_state: r[lake.REASON] for r in lake.read_refused(spark, f"{tmp_path}/split").collect()}
+    assert reasons["ARGENTINA"] == "late_rate_by_state.customer_state does not fit varchar(2): ARGENTINA"
+    assert "avg_delivery_days" in reasons["RJ"] and reasons["BA"].endswith("total_orders does not fit bigint: null")
+    warehouse.export_table(rows, "late_rate_by_state", "aside", str(tmp_path), refused=f"{tmp_path}/aside")
+    assert [r.customer_state for r in spark.table("aside.late_rate_by_state").collect()] == ["SP"]
+    spark.sql("DROP DATABASE aside CASCADE")
+
+
+@pytest.mark.parametrize("append", [incremental.append_new, incremental.append_missing])
+def test_doubles_and_rows_without_an_id(spark, table, tmp_path, append):
+    path = f"{tmp_path}/orders"
+    rows = [("a", "2018-01-01 00:00:00"), ("a", "2018-01-01 00:00:00"), (None, None), (None, None), (None, "2018-01-03 00:00:00")]
+    for _run in range(3):
+        append(spark, table(ORDERS, *rows), path)
+    stored = sorted((str(r.order_id), str(r.order_purchase_timestamp)) for r in spark.read.parquet(path).collect())
+    assert stored == [("None", "2018-01-03 00:00:00"), ("None", "None"), ("a", "2018-01-01 00:00:00")]
+
+
+def test_missing_orders_read_only_the_months_they_are_of(spark, table, tmp_path):
+    path = f"{tmp_path}/orders"
+    incremental.append_missing(spark, table(ORDERS, ("a", "2018-01-01 00:00:00"), ("b", "2018-02-01 00:00:00")), path)
+    source = table(f"{ORDERS}, purchase_ym string", ("c", "2018-02-05 00:00:00", "2018-02"))
+    plan = incremental.missing_rows(source, spark.read.parquet(path))._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    assert "PartitionFilters: [purchase_ym" in plan.replace("isnotnull(purchase_ym", "purchase_ym") or "(purchase_ym" in plan
+    assert "2018-02" in plan
+
+
+def test_preview_is_the_same_whatever_the_partitions(spark):
+    rows = spark.range(100).selectExpr("id * 37 % 100 AS x")
+    for n in (1, 7):
+        assert [r.x for r in medallion.sample(rows.repartition(n), 3).collect()] == [0, 1, 2]

@@ -74,7 +74,31 @@ def test_stream_scores_like_the_batch(spark, inputs, silver, tmp_path):
     payloads = queue.payloads(inputs["orders"], inputs.tables, SETTINGS)
     payloads.select(F.to_json(F.struct(*payloads.columns)).alias("value")).repartition(3).write.text(f"{tmp_path}/in")
     stream_score(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/ck", fitted, files_per_batch=1).awaitTermination()
-    streamed = spark.read.parquet(f"{tmp_path}/out").drop("batch")
+    streamed = spark.read.parquet(f"{tmp_path}/out").drop("batch", "run")
     batch = model.score_batch(fitted, landing.parse_order_json(spark.read.text(f"{tmp_path}/in")))
     assert streamed.count() == payloads.count()
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_an_order_that_comes_twice_is_stored_once(spark, inputs, tmp_path):
+    """Doubles in a batch, in later batches, with another purchase month, and rows without an id."""
+    source, target, checkpoint = (f"{tmp_path}/{n}" for n in ("in", "out", "ck"))
+    orders = inputs["orders"].where("order_id % 5 < 4")
+    later = orders.withColumn("order_purchase_timestamp", F.expr("order_purchase_timestamp + INTERVAL 45 DAYS"))
+    nameless = orders.limit(1).withColumn("order_id", F.lit(None).cast("string"))
+    n = orders.count()
+    for rows in (orders.unionByName(orders).unionByName(nameless), later.unionByName(nameless), inputs["orders"]):
+        rows.coalesce(1).write.option("header", True).mode("append").csv(source)
+        stream_ingest(spark, source, target, checkpoint).awaitTermination()
+        stored = spark.read.parquet(target)
+        assert stored.where("order_id IS NULL").count() == 1
+        assert stored.count() - 1 == stored.select("order_id").distinct().where("order_id IS NOT NULL").count() >= n
+    assert stored.count() - 1 == inputs["orders"].count()
+
+
+def test_a_new_checkpoint_replaces_no_scores(spark, silver, tmp_path):
+    fitted = model.train(dataset.training_set(silver), QUICK)
+    for run, name in enumerate(("a", "b")):
+        spark.createDataFrame([(f'{{"order_id": "{name}"}}',)], "value string").write.text(f"{tmp_path}/in{run}")
+        stream_score(spark, f"{tmp_path}/in{run}", f"{tmp_path}/out", f"{tmp_path}/ck{run}", fitted).awaitTermination()
+    assert sorted(r.order_id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["a", "b"]
