@@ -15,9 +15,7 @@ from __future__ import annotations
 import math
 import re
 from array import array
-from bisect import insort
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -31,13 +29,12 @@ from orderlens.llm.common import whole
 SPACE = "▁"
 #: As in SentencePiece: a character without a piece costs this much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
-MOST_BEST = 8
-#: Chunks in either generation of what a task keeps; it changes nothing but time.
-CACHE_CHUNKS = 300_000
+#: Chunks in either generation of what a worker keeps, some 300 bytes each; it changes nothing but time.
+CACHE_CHUNKS = 200_000
 #: Longer chunks are searched each time they occur.
 CACHE_CHARS = 64
 #: Texts go through the encoder so many characters at a time (a longer text alone).
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
 
 
 class Vocabulary:
@@ -69,11 +66,8 @@ class Vocabulary:
             self.raw[i] = bytes((value,))
 
 
-def n_best(vocabulary: Vocabulary, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """The ``n`` best segmentations of a chunk, or all if fewer: score, ids.
-
-    Order: higher score, then the smaller ids as read from the end.
-    """
+def lattice(vocabulary: Vocabulary, chunk: str) -> tuple[list[list[tuple[int, float, tuple[int, ...]]]], list[float]]:
+    """The arcs that end at each node (start, score, ids from the end), and the best score of each node from the start."""
     tree = vocabulary.tree
     length = len(chunk)
     nodes = range(length + 1)
@@ -81,19 +75,18 @@ def n_best(vocabulary: Vocabulary, chunk: str, n: int) -> list[tuple[float, tupl
     best = [0.0] + [-np.inf] * length
     for start in range(length):
         here = best[start]
-        node, end = tree, start
-        for character in chunk[start:]:
-            node = node.get(character)
+        node = tree
+        for end in range(start, length):
+            node = node.get(chunk[end])
             if node is None:
                 break
-            end += 1
             found = node.get("")
             if found:
                 number, score = found
-                ending[end].append((start, score, (number,)))
+                ending[end + 1].append((start, score, (number,)))
                 score += here
-                if score > best[end]:
-                    best[end] = score
+                if score > best[end + 1]:
+                    best[end + 1] = score
         node = tree.get(chunk[start])
         if node is None or "" not in node:
             # Byte pieces, reversed like everything the backward search strings together.
@@ -101,35 +94,69 @@ def n_best(vocabulary: Vocabulary, chunk: str, n: int) -> list[tuple[float, tupl
             ending[start + 1].append((start, vocabulary.unknown, raw))
             if here + vocabulary.unknown > best[start + 1]:
                 best[start + 1] = here + vocabulary.unknown
-    # Agenda entries: minus (score behind + best score before), ids from the end, node, score behind.
-    # Each can be completed at that very score, so more than n - found of them are never needed.
-    agenda: list[tuple[float, tuple[int, ...], int, float]] = [(-best[length], (), length, 0.0)]
+    return ending, best
+
+
+def best_and_gap(vocabulary: Vocabulary, chunk: str) -> tuple[tuple[int, ...], float, float]:
+    """Ids and score of the best segmentation, and how much worse the next one is (infinity: there is none).
+
+    Any other segmentation has an arc that the best one lacks, and the best through an arc is known from the scores
+    before and behind it: one pass back over the arcs, without a search.
+    """
+    ending, best = lattice(vocabulary, chunk)
+    after = [-np.inf] * len(chunk) + [0.0]
+    at, ids, second = len(chunk), [], -np.inf
+    for node in range(len(chunk), 0, -1):
+        behind = after[node]
+        if behind == -np.inf:
+            continue
+        taken = None
+        if node == at:
+            here = best[node]
+            piece, start = min((piece, start) for start, weight, piece in ending[node] if best[start] + weight == here)
+            taken, at = (start, piece), start
+            ids += piece
+        for start, weight, piece in ending[node]:
+            through = weight + behind
+            if through > after[start]:
+                after[start] = through
+            if best[start] + through > second and (start, piece) != taken:
+                second = best[start] + through
+    return tuple(ids[::-1]), best[-1], best[-1] - second
+
+
+def n_best(vocabulary: Vocabulary, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+    """The ``n`` best segmentations of a chunk, or all if fewer: score, ids.
+
+    Order: higher score, then the smaller ids as read from the end.
+    """
+    ending, best = lattice(vocabulary, chunk)
+    # The agenda stands in the order of the ids from the end: minus (score behind + best score before), score behind, node, ids
+    # strung together. None is the beginning of another, so what an entry branches into takes its place, and
+    # ids need not be compared. Each can be completed at its very score: more than are still wanted are not needed.
+    agenda: list[tuple] = [(-best[-1], 0.0, len(chunk), None)]
     done: list[tuple[float, tuple[int, ...]]] = []
-    room = n
-    while agenda:
-        cost, behind, node, score = agenda.pop(0)
+    while agenda and len(done) < n:
+        at = min(range(len(agenda)), key=lambda i: agenda[i][0])
+        cost, score, node, behind = agenda.pop(at)
         if node == 0:
-            done.append((-cost, behind[::-1]))
-            room -= 1
-            if not room:
-                break
+            ids: list[int] = []
+            while behind:
+                behind, piece = behind
+                ids += piece[::-1]
+            done.append((-cost, tuple(ids)))
             continue
-        full = len(agenda) >= room
-        bound = agenda[room - 1][0] if full else 0.0
-        for start, weight, piece in ending[node]:
-            weight += score
-            value = -(weight + best[start])
-            if full and value > bound:
-                continue
-            insort(agenda, (value, behind + piece, start, weight))
-            if len(agenda) >= room:
-                del agenda[room:]
-                full, bound = True, agenda[-1][0]
+        branches = sorted((piece, start, weight + score) for start, weight, piece in ending[node])
+        agenda[at:at] = [(-(weight + best[start]), weight, start, (behind, piece)) for piece, start, weight in branches]
+        if len(agenda) > n - len(done):
+            kept = sorted(range(len(agenda)), key=lambda i: agenda[i][0])[: n - len(done)]
+            agenda = [agenda[i] for i in sorted(kept)]
     return done
 
 
-# A literal SPACE character stands in a chunk as this private one, so that no piece matches it.
-_HIDDEN = "﷐"
+# A literal SPACE character stands in a chunk as this one, so that no piece matches it: half of a surrogate pair, which
+# no text can hold.
+_HIDDEN = "\ud800"
 
 
 def _literal(character: str) -> str:
@@ -140,8 +167,8 @@ class Encoder:
     """Segments texts; keeps the best segmentation of the chunks it met, up to a bound."""
 
     def __init__(self, vocabulary: Vocabulary, n: int):
-        if not 1 <= n <= MOST_BEST:
-            raise ValueError(f"between 1 and {MOST_BEST} segmentations")
+        if n < 1:
+            raise ValueError("at least one segmentation")
         self.vocabulary, self.n = vocabulary, n
         self.cut = _chunk_pattern(vocabulary)
         # Two generations: what is not met again while the younger one fills up is forgotten.
@@ -152,9 +179,7 @@ class Encoder:
         """Ids of the best segmentation, its score, and how much worse the next is (infinity: there is none)."""
         found = self.young.get(chunk) or self.old.get(chunk)
         if found is None:
-            ranked = n_best(self.vocabulary, chunk, min(2, self.n))
-            score, ids = ranked[0]
-            worse = score - ranked[1][0] if len(ranked) > 1 else np.inf
+            ids, score, worse = best_and_gap(self.vocabulary, chunk)
             found = (array("i", ids).tobytes(), score, worse)
         if len(chunk) <= CACHE_CHARS:
             if len(self.young) >= CACHE_CHUNKS:
@@ -165,10 +190,7 @@ class Encoder:
     def chunks(self, text: str) -> list[str]:
         if not text:
             return []
-        if SPACE in text or _HIDDEN in text:
-            if _HIDDEN in text:
-                raise ValueError("U+FDD0, a code point without a character, cannot be segmented")
-            text = text.replace(SPACE, _HIDDEN)
+        text = text.replace(SPACE, _HIDDEN)
         return self.cut.findall(SPACE + text.replace(" ", SPACE))
 
     def encode(self, text: str) -> tuple[bytes, list[tuple[float, list[tuple[int, int, tuple[int, ...]]]]]]:
@@ -235,13 +257,16 @@ def _chunk_pattern(vocabulary: Vocabulary) -> re.Pattern:
 
 def _changes(singles: list[tuple[float, int, int]], n: int) -> list[tuple[float, tuple]]:
     """The ``n`` cheapest sets of changes, of at most one for each chunk, the empty set first."""
-    sets = []
-    for count in range(len(singles) + 1):
-        for some in combinations(singles, count):
-            places = tuple(sorted((place, other) for _, place, other in some))
-            if len({place for place, _ in places}) == count:
-                sets.append((sum(cost for cost, _, _ in some), count, places))
-    return [(cost, places) for cost, _, places in sorted(sets)[:n]]
+    # A set among the n best stays among them without its dearest change: sets grow by one change at a time.
+    ranked: list[tuple[float, int, tuple]] = [(0.0, 0, ())]
+    for cost, place, other in singles:
+        more = [
+            (total + cost, count + 1, tuple(sorted((*places, (place, other)))))
+            for total, count, places in ranked
+            if all(place != taken for taken, _ in places)
+        ]
+        ranked = sorted(ranked + more)[:n]
+    return [(cost, places) for cost, _, places in ranked]
 
 
 def decode(vocabulary: Vocabulary, ids) -> str:
@@ -257,7 +282,16 @@ SEGMENTED = (
 )
 _EDIT = pa.struct([("at", pa.int32()), ("dropped", pa.int32()), ("ids", pa.list_(pa.int32()))])
 _RANKED = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(_EDIT))]))
-_ENCODERS: dict[tuple[int, int], Encoder] = {}
+_KEPT: dict[tuple[int, int], Encoder] = {}
+
+
+def kept_encoder(model: bytes, n: int) -> Encoder:
+    """The encoder of a model, kept by the Python worker from task to task."""
+    key = (hash(model), n)
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = Encoder(Vocabulary(model), n)
+    return _KEPT[key]
 
 
 def model_bytes(spark: SparkSession, path: str) -> bytes:
@@ -277,11 +311,7 @@ def segment(docs: DataFrame, model: bytes, n: int = 4, id_col: str = "doc_id", t
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (hash(model), n)
-        if key not in _ENCODERS:  # kept by the Python worker from task to task
-            _ENCODERS.clear()
-            _ENCODERS[key] = Encoder(Vocabulary(model), n)
-        encoder = _ENCODERS[key]
+        encoder = kept_encoder(model, n)
         for batch in batches:
             start = 0
             texts = batch.column(1)

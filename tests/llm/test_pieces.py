@@ -1,6 +1,7 @@
 """SentencePiece segmentation against all segmentations of short texts."""
 
 import random
+import time
 from array import array
 
 import pytest
@@ -92,8 +93,40 @@ def test_null_ids_decode_to_null(spark, model):
     assert pieces.decoded(rows, model).first().text is None
 
 
-def test_bounds_are_refused(vocabulary):
-    with pytest.raises(ValueError, match="between 1 and 8"):
-        pieces.Encoder(vocabulary, 9)
-    with pytest.raises(ValueError, match="U\\+FDD0"):
-        pieces.Encoder(vocabulary, 1).encode("a" + pieces._HIDDEN)
+def test_no_segmentation_is_refused(vocabulary):
+    with pytest.raises(ValueError, match="at least one"):
+        pieces.Encoder(vocabulary, 0)
+
+
+def test_gap_is_that_of_the_search(vocabulary):
+    random.seed(8)
+    for _ in range(300):
+        chunk = "▁" + "".join(random.choice("theionaé\ud800,中") for _ in range(random.randint(0, 12)))
+        ranked = pieces.n_best(vocabulary, chunk, 2)
+        ids, score, gap = pieces.best_and_gap(vocabulary, chunk)
+        assert (score, ids) == ranked[0]
+        assert gap == (score - ranked[1][0] if len(ranked) > 1 else float("inf"))
+
+
+def test_code_points_without_a_character(vocabulary):
+    for text in ("a\ufdd0b", "▁ \ufdd0 ▁▁", "\uffff \U0010ffff"):
+        ids = list(array("i", pieces.Encoder(vocabulary, 4).encode(text)[0]))
+        assert pieces.decode(vocabulary, ids) == text
+
+
+def test_many_best(vocabulary):
+    truth = every(vocabulary, "theion an")
+    ranked = pieces.Encoder(vocabulary, 30).encode("theion an")[1]
+    assert [score for score, _ in ranked] == sorted(truth.values(), reverse=True)[:30]
+
+
+def test_a_long_word_takes_linear_time(vocabulary):
+    def seconds(n):
+        random.seed(n)
+        text = "".join(random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+        began = time.process_time()
+        ids = array("i", pieces.Encoder(vocabulary, 4).encode(text)[0])
+        assert pieces.decode(vocabulary, ids) == text
+        return time.process_time() - began
+
+    assert seconds(100_000) < 30 * seconds(10_000) + 1
