@@ -30,18 +30,20 @@ from orderlens.session import staged
 class SuffixParams:
     """``length``: bytes of a repeated string. The others change cost, not results: ``lead`` bytes of a leading
     token, ``sample_rows`` to choose splitters from, ``broadcast_tokens`` sent to all tasks at most (8 bytes
-    each; more are joined), ``hot_token``: rows of one token that a task compares at most, in some 200 MB; the
-    windows of a token with more are compared by a shuffle."""
+    each; more are joined), ``hot_token``: windows of one token that a task compares at most, at some 60 bytes each;
+    those of a token with more are compared by a shuffle."""
 
     length: int = 50
     lead: int = 20
     sample_rows: int = 100_000
     broadcast_tokens: int = 4_000_000
-    hot_token: int = 1 << 16
+    hot_token: int = 1 << 20
 
 
 _STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _LONGEST = 8192
+#: Bytes of stretches compared at a time (those of one token together).
+COMPARED = 1 << 20
 
 
 def _grams(raw: np.ndarray, size: int, step: int) -> np.ndarray:
@@ -319,7 +321,7 @@ def _window_repeats(rows: DataFrame, params: SuffixParams) -> DataFrame:
         cut = 0
         while cut < len(order):
             done = sizes[cut - 1] if cut else 0
-            stop = int(np.searchsorted(sizes, done + (1 << 24)))
+            stop = int(np.searchsorted(sizes, done + COMPARED))
             after = heads[np.searchsorted(heads, min(stop, len(order) - 1), side="right") :]
             stop = int(after[0]) if len(after) else len(order)
             some = order[cut:stop]
@@ -371,7 +373,8 @@ def repeated_ranges(docs: DataFrame, params: SuffixParams) -> DataFrame:
     found = staged(_bucket_repeats(rows.repartition("bucket"), params), "bucket-repeats")
     tokens = found.where(F.col("token").isNotNull()).select("token").distinct()
     opened = staged(_open_stretches(docs, params, tokens), "open-stretches")
-    hot = opened.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") > params.hot_token).select("token")
+    windows = F.sum(F.octet_length("content") - (params.length - 1))
+    hot = opened.groupBy("token").agg(windows.alias("n")).where(F.col("n") > params.hot_token).select("token")
     hot = staged(hot, "hot-tokens")
     if hot.count() <= SMALL_ROWS:
         hot = F.broadcast(hot)

@@ -66,7 +66,7 @@ def test_the_other_ways_give_the_same(spark):
 def test_one_passage_in_every_document(spark):
     passage = "this very passage stands in each of the many documents of the table, word by word"
     docs = [(i, f"{i} starts differently {passage} and {i * 7919} ends so") for i in range(400)]
-    got = report(spark, docs, SuffixParams(hot_token=20))
+    got = report(spark, docs, SuffixParams(hot_token=200))
     assert got == brute(docs, 50)
     assert all(removed >= len(passage) for _, _, removed, _, _ in got[1:])
 
@@ -102,3 +102,12 @@ def test_near_copies_of_equal_lines(spark):
             at = random.randrange(len(text))
             docs.append((len(docs), text[:at] + digit + text[at + 1 :]))
     assert report(spark, docs, SuffixParams()) == brute(docs, 50)
+
+
+def test_one_letter_in_very_many_windows(spark, monkeypatch):
+    """Lines of one letter, in many documents: more windows than are compared at a time, and more than a task may hold."""
+    docs = [(i, "a" * (2000 + 37 * i) + f" {i} " + "-" * (500 + i)) for i in range(40)]
+    want = brute(docs, 50)
+    monkeypatch.setattr(suffixes, "COMPARED", 1 << 12)
+    assert report(spark, docs, SuffixParams()) == want
+    assert report(spark, docs, SuffixParams(hot_token=5000)) == want
