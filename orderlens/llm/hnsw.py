@@ -226,6 +226,14 @@ def nodes(rows: DataFrame, k: int) -> DataFrame:
 INDEX = "shard long, dim int, ids binary, offsets binary, vectors binary, layers array<binary>, entry long, n long"
 
 
+def scaled(some: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """``some`` in single precision, with the largest component of ``vectors`` as the unit: neither squares of
+    large components overflow nor do those of small ones vanish. What lies far outside is put at the rim."""
+    unit = np.abs(vectors).max()
+    with np.errstate(over="ignore"):
+        return np.clip(some / unit, -1e15, 1e15).astype(np.float32)
+
+
 def index(rows: DataFrame, params: GraphParams = GraphParams(), k: int = 10) -> DataFrame:
     """``INDEX``: a row per shard, the graph in flat arrays. ``rows`` as ``usable`` gives them."""
     distinct = nodes(rows, k).withColumn("dim", F.size("vec"))
@@ -246,7 +254,7 @@ def index(rows: DataFrame, params: GraphParams = GraphParams(), k: int = 10) ->
         order = np.argsort(flat[offsets[:-1]], kind="stable")
         groups = [flat[offsets[i] : offsets[i + 1]] for i in order]
         vectors = vectors[order]
-        graph = build(vectors.astype(np.float32), params)
+        graph = build(scaled(vectors, vectors), params)
         return pa.table(
             {
                 "shard": pa.array([key[0].as_py()], pa.int64()),
@@ -323,8 +331,8 @@ def _answer(one: dict, k: int, params: GraphParams) -> pa.RecordBatch | None:
     vectors = np.frombuffer(one["vectors"].as_py(), dtype=np.float64).reshape(n, dim)
     layers = [np.frombuffer(layer.as_py(), dtype=np.int32).reshape(n, -1) for layer in one["layers"]]
     asked = np.asarray(one["asked"].values).reshape(-1, dim)
-    graph = Graph(vectors.astype(np.float32), layers, one["entry"].as_py())
-    reached, _ = graph.nearest(asked.astype(np.float32), k + 1, params.search_beam)
+    graph = Graph(scaled(vectors, vectors), layers, one["entry"].as_py())
+    reached, _ = graph.nearest(scaled(asked, vectors), k + 1, params.search_beam)
     query_ids = np.asarray(one["query_ids"].values)
     # Only the nodes found count, but in double precision, with all their ids.
     out_q, out_v, out_s = [], [], []

@@ -73,3 +73,19 @@ def test_rows_of_any_kind(spark):
     }
     assert search(spark, rows[:1]) == {}
     assert search(spark, []) == {}
+
+
+@pytest.mark.parametrize("scale", [1e20, 1e-25, 1e150])
+def test_any_magnitude(spark, scale):
+    """Vectors in double precision whose squares leave the range of single precision."""
+    random = np.random.default_rng(3)
+    rows = [(i, (random.normal(size=6) * scale).tolist()) for i in range(60)]
+    table = hnsw.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = hnsw.search(staged(hnsw.index(table)), table.where("vec_id % 10 = 0")).collect()
+    vectors = np.array([v for _, v in rows])
+    for query in range(0, 60, 10):
+        apart = np.sqrt((((vectors - vectors[query]) / scale) ** 2).sum(axis=1))
+        want = [i for i in np.argsort(apart, kind="stable") if i != query][:10]
+        got = sorted((r for r in found if r.query_id == query), key=lambda r: r["rank"])
+        assert [r.vec_id for r in got] == want
+        assert [r.score for r in got] == pytest.approx((apart[want] * scale).tolist(), rel=1e-9)
