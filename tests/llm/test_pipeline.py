@@ -20,7 +20,7 @@ def test_stages_in_order():
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES)
-    assert numbers == list(range(1, 11)) and set(registry.ORACLE_SQL) <= set(registry.QUERIES)
+    assert numbers == list(range(1, 14)) and set(registry.ORACLE_SQL) <= set(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -58,7 +58,29 @@ def test_duplicate_stage_leaves_one_of_each_group(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, component_id int")
     out = corpus_pipeline.near_duplicates(spark, docs, SMALL)
     assert out.columns == docs.columns
-    assert sorted((r.doc_id for r in out.collect()), key=str) == [2, 2, 7, 8, 9, None]
+    assert sorted((r.doc_id for r in out.collect()), key=str) == [2, 7, 8, 9, None]
+
+
+def test_duplicate_stage_decides_by_id_and_text(spark):
+    """Texts under one id are documents of their own; a row that stands there twice stays once."""
+    rows = [(1, prose(3)), (7, prose(3)), (7, prose(4)), (1, prose(5)), (1, prose(5)), (3, prose(5)), (1, None), (1, ""), (9, None), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()]
+    assert sorted(out, key=str) == sorted([(1, prose(3)), (7, prose(4)), (1, prose(5)), (1, None), (1, ""), (9, None), (9, None)], key=str)
+
+
+def test_leak_stage_decides_by_the_text(spark, documents):
+    item = registry.table(spark, SMALL, "benchmark").first().text
+    rows = [(5, f"{prose(6)} {item}"), (5, prose(8)), (None, f"{item} {prose(7)}"), (None, prose(9))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = corpus_pipeline.benchmark_decontamination(spark, docs, SMALL)
+    assert sorted(tuple(r) for r in out.fillna(-1).collect()) == sorted([(5, prose(8)), (-1, prose(9))])
+
+
+@pytest.mark.parametrize("number", range(1, 5))
+def test_stages_on_an_empty_table(spark, documents, number):
+    stage = corpus_pipeline.STAGES[number][1]
+    assert stage(spark, documents.limit(0), SMALL).count() == 0
 
 
 def test_leak_stage_drops_holders(spark, documents):
