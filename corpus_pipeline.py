@@ -32,13 +32,25 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest id, once if its row is repeated.
+    """One document of each group of near duplicates: that with the smallest id, a row that stands there twice once.
 
-    Rows without an id have nothing to stand for them in a group, and stay.
+    A document is an id with a text: another text under the same id is judged by itself. Rows without an id
+    have nothing to stand for them in a group, and stay; so do texts without words.
     """
-    groups = jaccard.near_duplicates(docs.where(F.col("doc_id").isNotNull()))
-    away = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__away")).distinct()
-    return docs.join(away, F.col("doc_id") == F.col("__away"), "left_anti").select(docs.columns)
+    key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    named = docs.where(F.col("doc_id").isNotNull()).withColumn("__key", key)
+    groups = jaccard.near_duplicates(named.select(F.col("__key").alias("doc_id"), "text")).where("n_shingles > 0")
+    # A row a document, however often its row is repeated.
+    groups = groups.groupBy(F.col("doc_id").alias("__key"), "component_id").agg(F.count("*").alias("n"))
+    members = staged(groups.join(named.select("__key", "doc_id").distinct(), "__key"), "near-duplicates")
+    first = members.groupBy("component_id").agg(F.min(F.struct("doc_id", "__key")).alias("first"))
+    placed = members.join(first, "component_id").select("__key", "n", (F.col("__key") != F.col("first.__key")).alias("away"))
+    away = placed.where("away").select(F.col("__key").alias("__away"))
+    twice = placed.where("NOT away AND n > 1").select(F.col("__key").alias("__twice"))
+    kept = docs.withColumn("__key", key).join(away, (F.col("__key") == F.col("__away")) & F.col("doc_id").isNotNull(), "left_anti")
+    again = (F.col("__key") == F.col("__twice")) & F.col("doc_id").isNotNull()
+    once = kept.join(twice, again, "left_semi").dropDuplicates(["__key"])
+    return kept.join(twice, again, "left_anti").unionByName(once).select(docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
