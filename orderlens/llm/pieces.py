@@ -30,7 +30,7 @@ SPACE = "▁"
 #: As in SentencePiece: a character without a piece costs this much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 #: Chunks in either generation of what a worker keeps, some 300 bytes each; it changes nothing but time.
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 300_000
 #: Longer chunks are searched each time they occur.
 CACHE_CHARS = 64
 #: Texts go through the encoder so many characters at a time (a longer text alone).
@@ -55,6 +55,7 @@ class Vocabulary:
         self.unknown = min(self.scores[i] for i in ordinary) - UNKNOWN_PENALTY
         # Pieces character by character; a node holds (id, score) under "" where a piece ends.
         self.tree: dict = {}
+        self.longest = max(map(len, self.ids))
         for piece, i in self.ids.items():
             node = self.tree
             for character in piece:
@@ -103,26 +104,48 @@ def best_and_gap(vocabulary: Vocabulary, chunk: str) -> tuple[tuple[int, ...], f
     Any other segmentation has an arc that the best one lacks, and the best through an arc is known from the scores
     before and behind it: one pass back over the arcs, without a search.
     """
-    ending, best = lattice(vocabulary, chunk)
-    after = [-np.inf] * len(chunk) + [0.0]
-    at, ids, second = len(chunk), [], -np.inf
-    for node in range(len(chunk), 0, -1):
-        behind = after[node]
-        if behind == -np.inf:
-            continue
-        taken = None
-        if node == at:
-            here = best[node]
-            piece, start = min((piece, start) for start, weight, piece in ending[node] if best[start] + weight == here)
-            taken, at = (start, piece), start
-            ids += piece
-        for start, weight, piece in ending[node]:
-            through = weight + behind
-            if through > after[start]:
-                after[start] = through
-            if best[start] + through > second and (start, piece) != taken:
-                second = best[start] + through
-    return tuple(ids[::-1]), best[-1], best[-1] - second
+    tree, longest, size = vocabulary.tree, vocabulary.longest, len(chunk)
+    best = [0.0] + [-np.inf] * size
+    came: list[tuple[int, int, tuple[int, ...] | None]] = [(0, 0, None)] * (size + 1)
+    arcs = []
+    for start in range(size):
+        here, node, end, alone = best[start], tree, start, False
+        for character in chunk[start : start + longest]:
+            node = node.get(character)
+            if node is None:
+                break
+            end += 1
+            found = node.get("")
+            if found is not None:
+                alone |= end == start + 1
+                number, score = found
+                arcs.append((start, end, score))
+                score += here
+                # Of equal ways to a node, that by the smallest id: ties go by the ids as read from the end.
+                if score > best[end] or (score == best[end] and number < came[end][1]):
+                    best[end], came[end] = score, (start, number, None)
+        if not alone:
+            raw = tuple(vocabulary.bytes[b] for b in _literal(chunk[start]).encode("utf-8"))
+            arcs.append((start, start + 1, vocabulary.unknown))
+            score = here + vocabulary.unknown
+            if score > best[start + 1] or (score == best[start + 1] and raw[-1] < came[start + 1][1]):
+                best[start + 1], came[start + 1] = score, (start, raw[-1], raw)
+    at, ids, path = size, [], set()
+    while at:
+        start, number, raw = came[at]
+        ids += raw[::-1] if raw else (number,)
+        path.add((start, at))
+        at = start
+    after = [-np.inf] * size + [0.0]
+    second = -np.inf
+    for start, end, score in reversed(arcs):
+        score += after[end]
+        if score > after[start]:
+            after[start] = score
+        score += best[start]
+        if score > second and (start, end) not in path:
+            second = score
+    return tuple(ids[::-1]), best[size], best[size] - second
 
 
 def n_best(vocabulary: Vocabulary, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
