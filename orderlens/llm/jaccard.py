@@ -12,9 +12,13 @@ Equal sets are one set, known by a 64-bit signature (10^8 sets agree by chance w
 counted by its shared list entries, dropped if even the most it could share is too little, and else
 compared whole.
 
-Lists longer than ``long_list``, as a large group of near copies makes them, are not paired off: each
-member is first compared with a few others, in rounds, and connected sets become one component; then
-only pairs of different components are left, of which every one is looked at.
+Lists longer than ``long_list``, as a large group of near copies makes them, and those of common shingles
+are not paired off. Each member is compared with one central set, then with a few drawn ones, and connected
+sets become one component; of the pairs that are left every one is looked at that two bounds allow. Sets
+that meet on the list of a common shingle have all their other shingles listed too, so a pair that shares
+one of those is already known, and any other shares no more than common shingles: those up to the place
+where they meet, and those behind. And what both have at different distances from the central set, by more
+than similar sets can differ, is not similar (the Jaccard distance is a metric).
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from orderlens.llm.common import SMALL_ROWS, components, mix64, text_parts, whole, words_of
 from orderlens.session import staged
@@ -167,10 +171,11 @@ def _common_shingles(light: DataFrame, params: JoinParams) -> tuple[np.ndarray,
 
 
 def entries(docs: DataFrame, params: JoinParams, common: np.ndarray, small: int, on_common: bool) -> DataFrame:
-    """``token, signature, n, place, full``: the list entries of every set, each set once in a task.
+    """``token, signature, n, place, full, early``: the list entries of every set, each set once in a task.
 
-    ``place`` is the shingle's position in the set's order, 0 for a subset of a small set. ``full``: all the
-    set's first shingles are uncommon. Entries under common shingles, or the others, as asked.
+    ``place`` is the shingle's position in the set's order, 0 for a subset of a small set; ``early`` how many
+    uncommon shingles the set has. ``full``: all its first shingles are uncommon. Entries under common
+    shingles, or the others, as asked.
     """
     shared = docs.sparkSession.sparkContext.broadcast(common.tobytes())
     percent = params.percent
@@ -212,11 +217,12 @@ def entries(docs: DataFrame, params: JoinParams, common: np.ndarray, small: int,
                     pa.array(sizes[owner].astype(np.int32)),
                     pa.array(place.astype(np.int32)),
                     pa.array((early >= listed)[owner]),
+                    pa.array(early[owner].astype(np.int32)),
                 ],
-                names=["token", "signature", "n", "place", "full"],
+                names=["token", "signature", "n", "place", "full", "early"],
             )
 
-    return docs.mapInArrow(work, "token long, signature long, n int, place int, full boolean")
+    return docs.mapInArrow(work, "token long, signature long, n int, place int, full boolean, early int")
 
 
 def _subsets(sets: Sets, rows: np.ndarray, small: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -363,9 +369,8 @@ def shingle_sets(docs: DataFrame, params: JoinParams) -> DataFrame:
     return docs.mapInArrow(work, "signature long, shingles array<long>")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, light: DataFrame, params: JoinParams) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets are similar."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("signature")).distinct()
+def _sets_of(wanted: DataFrame, docs: DataFrame, light: DataFrame, params: JoinParams) -> DataFrame:
+    """``signature, shingles`` of the distinct signatures ``wanted``, written once."""
     holders = staged(
         light.join(wanted, "signature", "left_semi").groupBy("signature").agg(F.min("doc_id").alias("doc_id")), "holders"
     )
@@ -375,14 +380,21 @@ def _linked(pairs: DataFrame, docs: DataFrame, light: DataFrame, params: JoinPar
     texts = docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
     if holders.where(F.col("doc_id").isNull()).limit(1).count():  # sets that only rows without an id hold
         texts = texts.unionByName(docs.where(F.col("doc_id").isNull()).select("doc_id", "text"))
-    sets = shingle_sets(texts, params)
-    sets = staged(sets.join(wanted, "signature", "left_semi").dropDuplicates(["signature"]), "sets")
-    both = (
+    sets = shingle_sets(texts, params).join(wanted, "signature", "left_semi")
+    return staged(sets.dropDuplicates(["signature"]), "sets")
+
+
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b, same, all``: what the whole sets of each pair share, and their sizes added."""
+    return (
         pairs.join(sets.select(F.col("signature").alias("a"), F.col("shingles").alias("left")), "a")
         .join(sets.select(F.col("signature").alias("b"), F.col("shingles").alias("right")), "b")
         .select("a", "b", F.size(F.array_intersect("left", "right")).alias("same"), (F.size("left") + F.size("right")).alias("all"))
     )
-    return both.where(100 * F.col("same") >= params.percent * (F.col("all") - F.col("same"))).select("a", "b")
+
+
+def _similar(measured: DataFrame, params: JoinParams) -> DataFrame:
+    return measured.where(100 * F.col("same") >= params.percent * (F.col("all") - F.col("same"))).select("a", "b")
 
 
 def _with_roots(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -390,69 +402,74 @@ def _with_roots(rows: DataFrame, links: DataFrame) -> DataFrame:
     return rows.join(roots, "signature", "left").withColumn("root", F.coalesce("root", "signature"))
 
 
-#: Members of a long list that every other one is compared with, round by round.
-PROBES = (1, 8, 32, 128)
+def _in_order(left: str, right: str) -> list[Column]:
+    return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
+
+
+#: Members of a long list, drawn by hashes, that all others are compared with before the rest is.
+DRAWN = 8
 
 
 def _long_list_links(rows: DataFrame, docs: DataFrame, light: DataFrame, links: DataFrame, params: JoinParams) -> DataFrame:
-    """Links of sets that share a long list: found by comparisons with a few members of the list, then by
-    those of all pairs whose sets are not connected yet.
+    """``links`` and those of sets that share a long list. ``rows``: ``token, signature, n, before, behind``, the
+    places up to this entry and those behind it that can hold shared shingles.
 
-    The first members are those with most places on long lists, which are nearest to what the list has in
-    common; the later ones are drawn by a hash. Sets already in one component are not compared again.
+    The central set of a list is the one on most lists, which is nearest to what they have in common. Sets
+    already in one component are not compared again.
     """
-    rows = staged(rows.distinct(), "long-lists")
+    # What cannot share enough even with the smallest partner is similar to nothing here.
+    some = rows.where(100 * (F.col("before") + F.col("behind")) >= params.percent * F.col("n"))
+    rows = staged(some.distinct(), "long-lists")
     if not rows.limit(1).count():
         return links
-    central = rows.groupBy("signature").agg(F.count("*").alias("lists"))
-    rows = staged(rows.join(central, "signature"), "long-lists")
-    tried = None
-    for turn, probes in enumerate(PROBES):
+    sets = _sets_of(rows.select("signature").distinct(), docs, light, params)
+    lists = rows.groupBy("signature").agg(F.count("*").alias("lists"))
+    central = F.max(F.struct("lists", "signature", "n")).alias("c")  # combined before the shuffle
+    centres = rows.join(lists, "signature").groupBy("token").agg(central).select("token", "c.signature", "c.n")
+    centres = centres.withColumnsRenamed({"signature": "centre", "n": "nc"})
+    rows = staged(rows.join(centres, "token"), "long-lists")
+    near = rows.where((F.col("signature") != F.col("centre")) & _sizes_fit(F.col("n"), F.col("nc"), params))
+    tried = staged(near.select(*_in_order("signature", "centre")).distinct(), "tried")
+    measured = staged(_measured(tried, sets), "measured")
+    links = staged(links.unionByName(_similar(measured, params)).distinct(), "links")
+    distance = (1 - F.col("same") / (F.col("all") - F.col("same"))).alias("distance")
+    both = measured.select(F.col("a").alias("signature"), F.col("b").alias("centre"), distance).unionByName(
+        measured.select(F.col("b").alias("signature"), F.col("a").alias("centre"), distance)
+    )
+    apart = F.when(F.col("signature") == F.col("centre"), 0.0).otherwise(F.col("distance"))
+    rows = staged(rows.join(both, ["signature", "centre"], "left").withColumn("distance", apart), "long-lists")
+
+    for drawn in (DRAWN, None):
         rooted = staged(_with_roots(rows, links), "rooted")
-        nearest = [F.col("lists").desc()] if turn < 2 else []
-        order = W.partitionBy("token").orderBy(*nearest, F.xxhash64(F.lit(turn), "signature"), "signature")
-        # The limit works in each task before the shuffle: a list of any length sends a few rows.
-        centres = (
-            rooted.withColumn("turn", F.row_number().over(order))
-            .where(F.col("turn") <= probes)
-            .select("token", F.struct("signature", "n", "root").alias("c"))
-        )
-        pairs = (
-            rooted.join(centres, "token")
-            .where((F.col("c.root") != F.col("root")) & _sizes_fit(F.col("n"), F.col("c.n"), params))
-            .select(F.least("signature", "c.signature").alias("a"), F.greatest("signature", "c.signature").alias("b"))
-            .distinct()
-        )
-        pairs = staged(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "star-pairs")
+        sizes = rooted.groupBy("token", "root").agg(F.count("*").alias("members"))
+        open_ = sizes.groupBy("token").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("roots"))
+        rooted = rooted.join(open_.where("roots > 1").select("token", "main"), "token")
+        entry = ["signature", "n", "before", "behind", "distance", "root"]
+        if drawn:
+            # Each by an order of its own, so that tasks send one row a list and draw.
+            draws = [F.max(F.struct(F.xxhash64(F.lit(i), "signature"), *entry)) for i in range(drawn)]
+            side = rooted.groupBy("token").agg(F.array_distinct(F.array(*draws)).alias("x"))
+            side = side.select("token", F.explode("x").alias("x"))
+        else:
+            side = rooted.where(F.col("root") != F.col("main")).select("token", F.struct(*entry).alias("x"))
+        met = rooted.join(side, "token").where((F.col("root") != F.col("x.root")) & _may_link(params))
+        pairs = met.select(*_in_order("signature", "x.signature")).distinct()
+        pairs = staged(pairs.join(tried, ["a", "b"], "left_anti"), "open-pairs")
         if not pairs.limit(1).count():
-            break
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = staged(links.unionByName(_linked(pairs, docs, light, params)).distinct(), "links")
-    rooted = staged(_with_roots(rows, links), "rooted")
-    sizes = rooted.groupBy("token", "root").agg(F.count("*").alias("members"))
-    lists = (
-        sizes.groupBy("token")
-        .agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("roots"))
-        .where("roots > 1")
-        .select("token", "main")
-    )
-    open_lists = staged(rooted.join(lists, "token"), "open-lists")
-    side = open_lists.where(F.col("root") != F.col("main")).select(
-        "token", F.col("signature").alias("x"), F.col("n").alias("nx"), F.col("place").alias("px"), F.col("root").alias("rx")
-    )
-    met = open_lists.drop("main").join(side, "token").where(
-        (F.col("root") != F.col("rx"))
-        & _sizes_fit(F.col("n"), F.col("nx"), params)
-        # No more in common than before the shared entry in either set, and behind it.
-        & (
-            (F.least("place", "px") + F.least(F.col("n") - F.col("place"), F.col("nx") - F.col("px")))
-            * (100 + params.percent)
-            >= params.percent * (F.col("n") + F.col("nx"))
-        )
-    )
-    pairs = met.select(F.least("signature", "x").alias("a"), F.greatest("signature", "x").alias("b")).distinct()
-    pairs = staged(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "open-pairs")
-    return links.unionByName(_linked(pairs, docs, light, params)).distinct()
+            continue
+        tried = tried.unionByName(pairs)
+        links = staged(links.unionByName(_similar(_measured(pairs, sets), params)).distinct(), "links")
+    return links
+
+
+def _may_link(params: JoinParams) -> Column:
+    """Whether the bounds let the entry of a list and the entry ``x`` of the same list be similar."""
+    n, m = F.col("n"), F.col("x.n")
+    most = F.least("before", "x.before") + F.least("behind", "x.behind")
+    enough = most * (100 + params.percent) >= params.percent * (n + m)
+    # Distances are quotients of small integers: far more exact than the tolerance.
+    gap = F.abs(F.col("distance") - F.col("x.distance")) <= 1 - params.percent / 100 + 1e-9
+    return _sizes_fit(n, m, params) & enough & F.coalesce(gap, F.lit(True))
 
 
 def _sizes_fit(n, m, params: JoinParams):
@@ -487,14 +504,18 @@ def near_duplicates(
         _list_pairs(entries(docs, params, common, small, on_common=False).repartition("token"), params), "pairs"
     )
     candidates = staged(_could_link(paired.where(F.col("long_token").isNull()), params), "candidates")
-    links = staged(_linked(candidates, docs, light, params), "links")
+    wanted = candidates.select(F.explode(F.array("a", "b")).alias("signature")).distinct()
+    links = staged(_similar(_measured(candidates, _sets_of(wanted, docs, light, params)), params), "links")
+    n, place = F.col("n").cast("long").alias("n"), F.col("place").cast("long")
     rows = paired.where(F.col("long_token").isNotNull()).select(
         F.col("long_token").alias("token"), F.col("a").alias("signature"), F.col("na").alias("n"), F.col("place_a").alias("place")
     )
+    rows = rows.select("token", "signature", n, place.alias("before"), (n - place).alias("behind"))
     if len(common):
-        more = entries(docs, params, common, small, on_common=True).select("token", "signature", "n", "place")
-        rows = rows.unionByName(more)
-    links = staged(_long_list_links(rows, docs, light, links, params), "links")
+        more = entries(docs, params, common, small, on_common=True)
+        before = (place - F.col("early")).alias("before")
+        rows = rows.unionByName(more.select("token", "signature", n, before, (n - place).alias("behind")))
+    links = _long_list_links(rows, docs, light, links, params)
     rooted = _with_roots(light.where("n_shingles > 0"), links)
     # The smallest id of each group; combined before the shuffle, however many copies a group has.
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -74,6 +74,24 @@ def test_common_passages_and_long_lists(spark):
         assert found(spark, docs, params) == brute(docs)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_large_groups_of_near_copies(spark, seed):
+    """Members too far from the central set, two families with one passage, and bridges between members."""
+    random.seed(seed)
+    words = [f"w{i}" for i in range(3000)]
+    passage = random.sample(words, 30)
+    docs = []
+    for base in ([*random.sample(words, 50), *passage], [*passage, *random.sample(words, 40)]):
+        for edits in [0, *[random.randint(1, 4) for _ in range(60)]]:
+            text = list(base)
+            for at in random.sample(range(len(text)), edits):
+                text[at] = random.choice(words) + "x"
+            docs.append((len(docs) + 1, " ".join(text)))
+    docs += [(300 + i, " ".join([*passage, *random.sample(words, i)])) for i in range(0, 12)]
+    for params in (JoinParams(common_from=5), JoinParams(common_from=10**6, long_list=10)):
+        assert found(spark, docs[1:], params) == brute(docs[1:])
+
+
 @pytest.mark.parametrize("largest", [0, 4, 12])
 def test_any_boundary_gives_the_same(spark, monkeypatch, largest):
     docs = documents(11, groups=20, copies=6)
