@@ -31,6 +31,8 @@ SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Chunks in either generation of what a worker keeps, some 300 bytes each; it changes nothing but time.
 CACHE_CHUNKS = 300_000
+#: Chunks whose n best are kept: few are searched, the same ones over and over.
+CACHE_SEARCHED = 20_000
 #: Longer chunks are searched each time they occur.
 CACHE_CHARS = 64
 #: Texts go through the encoder so many characters at a time (a longer text alone).
@@ -53,14 +55,15 @@ class Vocabulary:
         if len(self.bytes) < 256:
             raise ValueError("the vocabulary needs byte pieces: without them a text cannot come back")
         self.unknown = min(self.scores[i] for i in ordinary) - UNKNOWN_PENALTY
-        # Pieces character by character; a node holds (id, score) under "" where a piece ends.
-        self.tree: dict = {}
+        # Pieces character by character: what follows a character, and id and score of the piece that ends there, or None.
+        self.tree: dict[str, list] = {}
         self.longest = max(map(len, self.ids))
         for piece, i in self.ids.items():
             node = self.tree
             for character in piece:
-                node = node.setdefault(character, {})
-            node[""] = (i, self.scores[i])
+                last = node.setdefault(character, [{}, None, 0.0])
+                node = last[0]
+            last[1:] = i, self.scores[i]
         self.pairs = {piece[i : i + 2] for piece in self.ids for i in range(len(piece) - 1)}
         self.raw = [piece.replace(SPACE, " ").encode("utf-8") for piece in self.pieces]
         for value, i in self.bytes.items():
@@ -75,21 +78,18 @@ def lattice(vocabulary: Vocabulary, chunk: str) -> tuple[list[list[tuple[int, fl
     ending: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in nodes]
     best = [0.0] + [-np.inf] * length
     for start in range(length):
-        here = best[start]
-        node = tree
-        for end in range(start, length):
-            node = node.get(chunk[end])
-            if node is None:
+        here, node, end = best[start], tree, start
+        for character in chunk[start : start + vocabulary.longest]:
+            if character not in node:
                 break
-            found = node.get("")
-            if found:
-                number, score = found
-                ending[end + 1].append((start, score, (number,)))
+            node, number, score = node[character]
+            end += 1
+            if number is not None:
+                ending[end].append((start, score, (number,)))
                 score += here
-                if score > best[end + 1]:
-                    best[end + 1] = score
-        node = tree.get(chunk[start])
-        if node is None or "" not in node:
+                if score > best[end]:
+                    best[end] = score
+        if chunk[start] not in vocabulary.ids:
             # Byte pieces, reversed like everything the backward search strings together.
             raw = tuple(vocabulary.bytes[b] for b in reversed(_literal(chunk[start]).encode("utf-8")))
             ending[start + 1].append((start, vocabulary.unknown, raw))
@@ -104,27 +104,24 @@ def best_and_gap(vocabulary: Vocabulary, chunk: str) -> tuple[tuple[int, ...], f
     Any other segmentation has an arc that the best one lacks, and the best through an arc is known from the scores
     before and behind it: one pass back over the arcs, without a search.
     """
-    tree, longest, size = vocabulary.tree, vocabulary.longest, len(chunk)
+    tree, longest, alone, size = vocabulary.tree, vocabulary.longest, vocabulary.ids, len(chunk)
     best = [0.0] + [-np.inf] * size
     came: list[tuple[int, int, tuple[int, ...] | None]] = [(0, 0, None)] * (size + 1)
     arcs = []
     for start in range(size):
-        here, node, end, alone = best[start], tree, start, False
+        here, node, end = best[start], tree, start
         for character in chunk[start : start + longest]:
-            node = node.get(character)
-            if node is None:
+            if character not in node:
                 break
+            node, number, score = node[character]
             end += 1
-            found = node.get("")
-            if found is not None:
-                alone |= end == start + 1
-                number, score = found
+            if number is not None:
                 arcs.append((start, end, score))
                 score += here
                 # Of equal ways to a node, that by the smallest id: ties go by the ids as read from the end.
                 if score > best[end] or (score == best[end] and number < came[end][1]):
                     best[end], came[end] = score, (start, number, None)
-        if not alone:
+        if chunk[start] not in alone:
             raw = tuple(vocabulary.bytes[b] for b in _literal(chunk[start]).encode("utf-8"))
             arcs.append((start, start + 1, vocabulary.unknown))
             score = here + vocabulary.unknown
@@ -197,6 +194,7 @@ class Encoder:
         # Two generations: what is not met again while the younger one fills up is forgotten.
         self.young: dict[str, tuple[bytes, float, float]] = {}
         self.old: dict[str, tuple[bytes, float, float]] = {}
+        self.searched: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
 
     def _entry(self, chunk: str) -> tuple[bytes, float, float]:
         """Ids of the best segmentation, its score, and how much worse the next is (infinity: there is none)."""
@@ -210,6 +208,16 @@ class Encoder:
             self.young[chunk] = found
         return found
 
+    def _near(self, chunk: str) -> list[tuple[float, tuple[int, ...]]]:
+        found = self.searched.get(chunk)
+        if found is None:
+            found = n_best(self.vocabulary, chunk, self.n)
+            if len(chunk) <= CACHE_CHARS:
+                if len(self.searched) >= CACHE_SEARCHED:
+                    self.searched.clear()
+                self.searched[chunk] = found
+        return found
+
     def chunks(self, text: str) -> list[str]:
         if not text:
             return []
@@ -242,7 +250,7 @@ class Encoder:
             for place in order[np.isfinite(worse[order])].tolist():
                 chunk = chunks[place]
                 if chunk not in near:
-                    near[chunk] = n_best(self.vocabulary, chunk, self.n)
+                    near[chunk] = self._near(chunk)
                 top = near[chunk][0][0]
                 singles += [(top - score, place, other) for other, (score, _) in enumerate(near[chunk][1:], 1)]
             singles = sorted(singles)[: self.n - 1]
