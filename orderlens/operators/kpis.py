@@ -6,7 +6,7 @@ unsorted; ``present`` sorts one for reading.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -162,14 +162,7 @@ def gold_in_one_pass(
     total; it has one row per state, category, seller and so on, is staged, and each
     table picks its own rows from it.
     """
-    measured = silver.select(
-        *GROUP_COLUMNS,
-        F.col("is_late").alias("_late"),
-        "delivery_days",
-        "review_score",
-        "total_price",
-        bad_review(settings).alias("_bad"),
-    )
+    measured = _measured(silver, settings)
     sets = [[F.col(c) for c in keys] for keys in GROUPINGS.values()]
     grouped = measured.groupingSets(sets, *[F.col(c) for c in GROUP_COLUMNS]).agg(
         F.grouping_id(*GROUP_COLUMNS).alias("_grouping"),
@@ -181,7 +174,69 @@ def gold_in_one_pass(
         mean("review_score").alias("avg_review_score"),
         mean("total_price").alias("avg_order_value"),
     )
-    totals = stage(grouped)
+    return _gold_of(stage(grouped), settings, stage)
+
+
+def _measured(silver: DataFrame, settings: Settings) -> DataFrame:
+    return silver.select(
+        *GROUP_COLUMNS,
+        F.col("is_late").alias("_late"),
+        "delivery_days",
+        "review_score",
+        "total_price",
+        bad_review(settings).alias("_bad"),
+    )
+
+
+#: Of a state: what is averaged, and the name its average is shown by.
+AVERAGED = {"delivery_days": "avg_delivery_days", "review_score": "avg_review_score", "total_price": "avg_order_value"}
+#: The purchase month that a state belongs to; its rows are stored by it.
+STATE_MONTH = ("state_year", "state_month")
+
+
+def month_states(silver: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Counts and exact sums of every group of the seven tables, by purchase month: what ``gold_of_states`` adds up.
+
+    Has a row for each month and state, category, seller and so on, however many orders these have.
+    """
+    year, month = STATE_MONTH
+    measured = _measured(silver, settings).withColumns({year: F.col("purchase_year"), month: F.col("purchase_month")})
+    columns = (*STATE_MONTH, *GROUP_COLUMNS)
+    sets = [[F.col(c) for c in (*STATE_MONTH, *keys)] for keys in GROUPINGS.values()]
+    return measured.groupingSets(sets, *[F.col(c) for c in columns]).agg(
+        # The months are in all sets: the bits of the other columns are those of ``gold_in_one_pass``.
+        F.grouping_id(*columns).alias("_grouping"),
+        F.count("*").alias("_orders"),
+        count_of(F.col("_late")).alias("late_orders"),
+        F.sum("_bad").alias("bad_reviews"),
+        *[F.sum(c).alias(f"_sum_{c}") for c in AVERAGED],
+        *[F.count(c).alias(f"_n_{c}") for c in AVERAGED],
+    )
+
+
+def in_months(months: Iterable[tuple[int | None, int | None]], year: str, month: str) -> Column:
+    """Whether a row is of one of the months; a month without a date is (None, None). Prunes storage partitions."""
+    inside = F.lit(False)
+    for y, m in months:
+        inside = inside | (F.col(year).eqNullSafe(F.lit(y)) & F.col(month).eqNullSafe(F.lit(m)))
+    return inside
+
+
+def gold_of_states(
+    states: DataFrame, settings: Settings = DEFAULTS, stage: Callable[[DataFrame], DataFrame] = staged
+) -> dict[str, DataFrame]:
+    """The tables of ``gold_in_one_pass`` from the states of all months; no order is read."""
+    added = ["_orders", "late_orders", "bad_reviews", *[f"_{kind}_{c}" for kind in ("sum", "n") for c in AVERAGED]]
+    sums = states.groupBy("_grouping", *GROUP_COLUMNS).agg(*[F.sum(c).alias(c) for c in added])
+    averages = {
+        shown: F.try_divide(F.col(f"_sum_{c}").cast("double"), F.col(f"_n_{c}").cast("double")) for c, shown in AVERAGED.items()
+    }
+    totals = sums.withColumns(averages).withColumn("_reviewed", F.col("_n_review_score"))
+    return _gold_of(stage(totals), settings, stage)
+
+
+def _gold_of(totals: DataFrame, settings: Settings, stage: Callable[[DataFrame], DataFrame]) -> dict[str, DataFrame]:
+    """Each table's own rows of the totals of all groupings."""
 
     def rows(table: str, count: str = "_orders") -> DataFrame:
         # A set bit in the grouping id marks a column that is not grouped by.

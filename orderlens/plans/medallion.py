@@ -14,6 +14,8 @@ from orderlens.sources import incremental, lake, landing, warehouse
 
 # Tables taken in whole by every sync.
 REPLACED = ("order_items", "payments", "reviews")
+# Years and months of Silver's storage.
+SILVER_MONTH = ("purchase_year", "purchase_month")
 
 
 def land(
@@ -44,10 +46,25 @@ def sync(
     lake.write_bronze(tables, f"{lakehouse}/bronze")
 
 
-def refine(spark: SparkSession, lakehouse: str, settings: Settings = DEFAULTS) -> DataFrame:
-    """Bronze to Silver; the quality report of what was written."""
+def arrange(spark: SparkSession, lakehouse: str, buckets: int) -> None:
+    """Bronze items, payments and reviews stored once more by order, for ``refine`` to join without a shuffle of theirs.
+
+    Pays where Silver is built more than once from the same intake. ``buckets``: a bucket should be some 256 MB."""
+    size_shuffles(spark, f"{lakehouse}/bronze")
+    for name in REPLACED:
+        rows = lake.read_bronze(spark, f"{lakehouse}/bronze", name)
+        lake.write_bucketed(rows, f"{lakehouse}/bronze_by_order/{name}", "order_id", buckets)
+
+
+def refine(
+    spark: SparkSession, lakehouse: str, settings: Settings = DEFAULTS, buckets: int | None = None
+) -> DataFrame:
+    """Bronze to Silver; the quality report of what was written. ``buckets``: as given to ``arrange`` after the last intake."""
     size_shuffles(spark, f"{lakehouse}/bronze")
     tables = {name: lake.read_bronze(spark, f"{lakehouse}/bronze", name) for name in SOURCES}
+    if buckets:
+        for name in REPLACED:
+            tables[name] = lake.read_bucketed(spark, f"{lakehouse}/bronze_by_order/{name}", "order_id", buckets)
     path = f"{lakehouse}/silver/orders_consolidated"
     lake.write_silver(silver.build_silver(tables, settings), path)
     # Read back: the report scans two columns instead of repeating or caching the joins.
@@ -62,6 +79,29 @@ def publish(spark: SparkSession, lakehouse: str, settings: Settings = DEFAULTS)
     return {name: lake.read_gold(spark, f"{lakehouse}/gold", name) for name in CONTRACTS}
 
 
+def publish_months(
+    spark: SparkSession,
+    lakehouse: str,
+    months: Iterable[tuple[int | None, int | None]] | None = None,
+    settings: Settings = DEFAULTS,
+) -> dict[str, DataFrame]:
+    """The seven Gold tables from KPI states stored by month. Of Silver only the ``months`` (year, month) that changed are read,
+    without ``months`` all; the other months' states stay. States of other ``settings`` have to be built anew."""
+    path = f"{lakehouse}/states/kpis"
+    rows = lake.read_silver(spark, f"{lakehouse}/silver/orders_consolidated")
+    if months is None:
+        states = kpis.month_states(rows, settings)
+    else:
+        months = list(months)
+        kept = lake.read_table(spark, path).where(~kpis.in_months(months, *kpis.STATE_MONTH))
+        changed = rows.where(kpis.in_months(months, *SILVER_MONTH))
+        states = kpis.month_states(changed, settings).unionByName(kept)
+    lake.full_refresh(states, path)
+    for name, table in kpis.gold_of_states(lake.read_table(spark, path), settings).items():
+        lake.write_gold(table, f"{lakehouse}/gold", name)
+    return {name: lake.read_gold(spark, f"{lakehouse}/gold", name) for name in CONTRACTS}
+
+
 def export(
     spark: SparkSession,
     lakehouse: str,

@@ -399,6 +399,15 @@ KEPT = ", ".join(
     "kept AS (SELECT CASE WHEN e1 - e2 < 0.01 * greatest(e2, 0.01) THEN 1 WHEN e2 - e3 < 0.01 * greatest(e3, 0.01) THEN 2 ELSE 3 END AS rounds FROM validation)"]
 )
 
+BANDS = f"""
+    , placed AS (SELECT probability AS p, label, rank() OVER (ORDER BY probability) - 1 AS below, count(*) OVER () AS total FROM scored),
+    banded AS (
+        SELECT CAST(below * 10 // total AS INTEGER) AS band, count(*) AS n_rows, min(p) AS lowest, max(p) AS highest,
+               {_round("avg(p)", 6)} AS mean_predicted, {_round("avg(label)", 6)} AS observed_rate,
+               {_round("abs(avg(p) - avg(label))", 6)} AS gap
+        FROM placed GROUP BY 1)
+    """
+
 _WITH_PRELUDE: dict[str, str] = {
     "s01_s14_csv_round_trip": "SELECT * FROM m_payments",
     "s04_ingest_all": _sizes(
@@ -619,6 +628,9 @@ _WITH_PRELUDE: dict[str, str] = {
         FROM (SELECT CAST(CAST(least(floor(probability * 10), 9) AS INTEGER) AS VARCHAR) AS band,
                      probability AS p, label FROM scored)
         GROUP BY ROLLUP (band)""",
+    "m12_calibration_bands": BANDS + "SELECT * FROM banded",
+    "m12_expected_calibration_error": BANDS + f"""
+        SELECT {_round("sum(gap * n_rows) / sum(n_rows)", 6)} AS expected_error, max(gap) AS largest_gap FROM banded""",
     "m14_promotion_gate": f"""SELECT precision, recall, CASE WHEN precision >= 0.60 AND recall >= 0.65 THEN 'deploy_model'
         ELSE 'alert_low_metrics' END AS decision FROM ({_metrics("scored", "probability >= 0.2")})""",
     "m16_priority_policy": f"""
@@ -703,6 +715,7 @@ _WITH_PRELUDE["s02_read_csv_inferred"] = """
     FROM m_products p LEFT JOIN m_translation t ON t.product_category_name = p.product_category_name"""
 _WITH_PRELUDE["s10_export_warehouse"] = _WITH_PRELUDE["s11_contract_weekday_pattern"]
 _WITH_PRELUDE["s17_write_json_artifacts"] = _WITH_PRELUDE["a14_quality_report"]
+_WITH_PRELUDE["a06_a12_gold_by_months"] = _WITH_PRELUDE["a06_a12_gold_one_pass"]
 _WITH_PRELUDE["j05_left_sellers_salted"] = _WITH_PRELUDE["j05_left_sellers"]
 
 # Queries over the raw tables.

@@ -535,8 +535,12 @@ def _(x: Inputs) -> DataFrame:
 @query("a06_a12_gold_one_pass")
 def _(x: Inputs) -> DataFrame:
     # All seven tables from one aggregation, in a common shape.
+    return _one_shape(kpis.gold_in_one_pass(x.silver, SETTINGS))
+
+
+def _one_shape(gold: dict[str, DataFrame]) -> DataFrame:
     parts = []
-    for name, table in kpis.gold_in_one_pass(x.silver, SETTINGS).items():
+    for name, table in gold.items():
         keys = [c for c in table.columns if c in kpis.GROUP_COLUMNS]
         group = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("?")) for k in keys])
         rate = [c for c in table.columns if c.endswith("_rate_pct")][0]
@@ -545,6 +549,20 @@ def _(x: Inputs) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query("a06_a12_gold_by_months")
+def _(x: Inputs) -> DataFrame:
+    # Silver before a late correction of its last full year, then the states of its months again.
+    lakehouse, path = scratch_path(x.spark, "by-months"), "silver/orders_consolidated"
+    rows = staged(x.silver)
+    corrected = F.col("purchase_year") == 1997
+    early = rows.withColumn("is_late", F.when(corrected, False).otherwise(F.col("is_late")))
+    lake.write_silver(early, f"{lakehouse}/{path}")
+    medallion.publish_months(x.spark, lakehouse, settings=SETTINGS)
+    lake.write_silver(rows, f"{lakehouse}/{path}")
+    months = [(1997, month) for month in range(1, 13)]
+    return _one_shape(medallion.publish_months(x.spark, lakehouse, months, SETTINGS))
+
+
 # ---- windows, sorts, limits ---------------------------------------------------------
 
 
@@ -751,6 +769,16 @@ def _(x: Inputs) -> DataFrame:
     return evaluation.calibration_check(x.scored)
 
 
+@query("m12_calibration_bands")
+def _(x: Inputs) -> DataFrame:
+    return evaluation.calibration_bands(x.scored)
+
+
+@query("m12_expected_calibration_error")
+def _(x: Inputs) -> DataFrame:
+    return evaluation.expected_calibration_error(evaluation.calibration_bands(x.scored))
+
+
 @query("m13_feature_importance")
 def _(x: Inputs) -> DataFrame:
     weights = model.feature_importance(model.train(_training(x), STUMPS, SETTINGS), x.spark)

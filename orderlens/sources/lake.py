@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -53,12 +54,12 @@ def place(spark: SparkSession, path: str) -> str:
     return f"{path}/{done[-1]}" if done else path
 
 
-def _replace(df: DataFrame, path: str, partition: tuple[str, ...] = (), fmt: str = FORMAT) -> None:
-    """Write a new version, which becomes the current one when its job commits, and drop those behind the last two."""
-    spark = df.sparkSession
+@contextmanager
+def _new_version(spark: SparkSession, path: str) -> Iterator[str]:
+    """The folder of a new version, which becomes the current one when its job commits; those behind the last two go."""
     done, open_ = _versions(spark, path)
     last = max((int(VERSION.fullmatch(n)[1]) for n in (*done, *open_)), default=0)
-    df.write.format(fmt).partitionBy(*partition).save(f"{path}/v{last + 1:08d}-{uuid.uuid4().hex[:8]}")
+    yield f"{path}/v{last + 1:08d}-{uuid.uuid4().hex[:8]}"
     # What did not commit and is older than the current version never will.
     stale = [*done[:-1], *(n for n in open_ if done and n < done[-1])]
     for name in stale:
@@ -66,6 +67,11 @@ def _replace(df: DataFrame, path: str, partition: tuple[str, ...] = (), fmt: str
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _replace(df: DataFrame, path: str, partition: tuple[str, ...] = (), fmt: str = FORMAT) -> None:
+    with _new_version(df.sparkSession, path) as version:
+        df.write.format(fmt).partitionBy(*partition).save(version)
+
+
 def full_refresh(df: DataFrame, path: str, fmt: str = FORMAT) -> None:
     """Replace a table. Its old rows stay readable until the new ones are all written."""
     _replace(df, path, fmt=fmt)
@@ -155,6 +161,33 @@ def read_gold(spark: SparkSession, folder: str, name: str, fmt: str = FORMAT) ->
     return read_table(spark, f"{folder}/{name}", fmt)
 
 
+def _by_key(path: str, buckets: int) -> str:
+    # The number is part of the path: files can't be taken for those of another number.
+    return f"{path}/buckets-{buckets}"
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    """Replace a table stored by the hash of ``key``, a sorted file for each bucket: joins and groups by the key need no shuffle."""
+    name = f"_bucketed_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    with _new_version(df.sparkSession, _by_key(path, buckets)) as version:
+        writer.option("path", version).format("parquet").saveAsTable(name)
+    df.sparkSession.sql(f"DROP TABLE {name}")  # the entry of the catalogue; the files stay
+
+
+def read_bucketed(spark: SparkSession, path: str, key: str, buckets: int) -> DataFrame:
+    """A table of ``write_bucketed`` as it stands, from any session."""
+    version = place(spark, _by_key(path, buckets))
+    name = f"_bucketed_{uuid.uuid5(uuid.NAMESPACE_URL, version).hex}"
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(version).schema.fields)
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{version}'"
+            f" CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS"
+        )
+    return spark.table(name)
+
+
 def write_json(record: DataFrame, path: str) -> None:
     """A report of one row (metadata, summary, feature importances) as JSON lines."""
     record.write.mode("overwrite").json(path)
