@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from orderlens.session import staged
 
@@ -69,7 +69,8 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, root``: for each end of an edge ``a, b`` (long) the smallest id it is connected to.
 
     Alternating large-star and small-star contraction: edges and nodes stay distributed, the lineage
-    is cut by one written table a round, and each round is two combined aggregations and joins.
+    is cut by one written table a round, and each round is two combined aggregations and joins. Whether
+    a round changed anything is told by sums observed while its table is written.
     """
 
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -86,16 +87,32 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
             least.select("a", F.col("m").alias("b"))
         )
-        edges = staged(small.where("a <> b").distinct(), "small-star")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == before:
+        seen = Observation()
+        told = F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")
+        edges = staged(small.where("a <> b").distinct().observe(seen, *told), "small-star")
+        if seen.get == before:
             break
-        before = now
+        before = seen.get
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
 
 
+def joined_components(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """``roots`` (``node, root``, as ``components`` gives them) after further ``edges``. Only components that these
+    tie together are worked on; nodes that ``roots`` lacks stand for themselves."""
+    of_a, of_b = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b"))
+    ends = edges.join(of_a, "a", "left").join(of_b, "b", "left")
+    ends = ends.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")).where("a <> b")
+    between = staged(ends.distinct(), "between")
+    if not between.limit(1).count():
+        return roots
+    moved = components(between)
+    renamed = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+    renamed = renamed.select("node", F.coalesce("to", "root").alias("root"))
+    return staged(renamed.unionByName(moved.join(roots, "node", "left_anti").select("node", "root")), "roots")
+
+
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from orderlens.llm.common import SMALL_ROWS, components, mix64, text_parts, whole, words_of
+from orderlens.llm.common import SMALL_ROWS, components, joined_components, mix64, text_parts, whole, words_of
 from orderlens.session import staged
 
 
@@ -397,9 +397,9 @@ def _similar(measured: DataFrame, params: JoinParams) -> DataFrame:
     return measured.where(100 * F.col("same") >= params.percent * (F.col("all") - F.col("same"))).select("a", "b")
 
 
-def _with_roots(rows: DataFrame, links: DataFrame) -> DataFrame:
-    roots = components(links).withColumnRenamed("node", "signature")
-    return rows.join(roots, "signature", "left").withColumn("root", F.coalesce("root", "signature"))
+def _with_roots(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    named = roots.withColumnRenamed("node", "signature")
+    return rows.join(named, "signature", "left").withColumn("root", F.coalesce("root", "signature"))
 
 
 def _in_order(left: str, right: str) -> list[Column]:
@@ -410,8 +410,8 @@ def _in_order(left: str, right: str) -> list[Column]:
 DRAWN = 8
 
 
-def _long_list_links(rows: DataFrame, docs: DataFrame, light: DataFrame, links: DataFrame, params: JoinParams) -> DataFrame:
-    """``links`` and those of sets that share a long list. ``rows``: ``token, signature, n, before, behind``, the
+def _long_list_roots(rows: DataFrame, docs: DataFrame, light: DataFrame, links: DataFrame, params: JoinParams) -> DataFrame:
+    """``node, root`` of the components by ``links`` and by those of sets that share a long list. ``rows``: ``token, signature, n, before, behind``, the
     places up to this entry and those behind it that can hold shared shingles.
 
     The central set of a list is the one on most lists, which is nearest to what they have in common. Sets
@@ -421,7 +421,7 @@ def _long_list_links(rows: DataFrame, docs: DataFrame, light: DataFrame, links:
     some = rows.where(100 * (F.col("before") + F.col("behind")) >= params.percent * F.col("n"))
     rows = staged(some.distinct(), "long-lists")
     if not rows.limit(1).count():
-        return links
+        return components(links)
     sets = _sets_of(rows.select("signature").distinct(), docs, light, params)
     lists = rows.groupBy("signature").agg(F.count("*").alias("lists"))
     central = F.max(F.struct("lists", "signature", "n")).alias("c")  # combined before the shuffle
@@ -431,7 +431,7 @@ def _long_list_links(rows: DataFrame, docs: DataFrame, light: DataFrame, links:
     near = rows.where((F.col("signature") != F.col("centre")) & _sizes_fit(F.col("n"), F.col("nc"), params))
     tried = staged(near.select(*_in_order("signature", "centre")).distinct(), "tried")
     measured = staged(_measured(tried, sets), "measured")
-    links = staged(links.unionByName(_similar(measured, params)).distinct(), "links")
+    roots = components(links.unionByName(_similar(measured, params)))
     distance = (1 - F.col("same") / (F.col("all") - F.col("same"))).alias("distance")
     both = measured.select(F.col("a").alias("signature"), F.col("b").alias("centre"), distance).unionByName(
         measured.select(F.col("b").alias("signature"), F.col("a").alias("centre"), distance)
@@ -440,7 +440,7 @@ def _long_list_links(rows: DataFrame, docs: DataFrame, light: DataFrame, links:
     rows = staged(rows.join(both, ["signature", "centre"], "left").withColumn("distance", apart), "long-lists")
 
     for drawn in (DRAWN, None):
-        rooted = staged(_with_roots(rows, links), "rooted")
+        rooted = staged(_with_roots(rows, roots), "rooted")
         sizes = rooted.groupBy("token", "root").agg(F.count("*").alias("members"))
         open_ = sizes.groupBy("token").agg(F.max_by("root", F.struct("members", "root")).alias("main"), F.count("*").alias("roots"))
         rooted = rooted.join(open_.where("roots > 1").select("token", "main"), "token")
@@ -458,8 +458,8 @@ def _long_list_links(rows: DataFrame, docs: DataFrame, light: DataFrame, links:
         if not pairs.limit(1).count():
             continue
         tried = tried.unionByName(pairs)
-        links = staged(links.unionByName(_similar(_measured(pairs, sets), params)).distinct(), "links")
-    return links
+        roots = joined_components(roots, _similar(_measured(pairs, sets), params))
+    return roots
 
 
 def _may_link(params: JoinParams) -> Column:
@@ -515,8 +515,8 @@ def near_duplicates(
         more = entries(docs, params, common, small, on_common=True)
         before = (place - F.col("early")).alias("before")
         rows = rows.unionByName(more.select("token", "signature", n, before, (n - place).alias("behind")))
-    links = _long_list_links(rows, docs, light, links, params)
-    rooted = _with_roots(light.where("n_shingles > 0"), links)
+    roots = _long_list_roots(rows, docs, light, links, params)
+    rooted = _with_roots(light.where("n_shingles > 0"), roots)
     # The smallest id of each group; combined before the shuffle, however many copies a group has.
     names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     grouped = rooted.join(names, "root").select("doc_id", "n_shingles", "component_id")

@@ -6,7 +6,7 @@ import re
 import pytest
 
 from orderlens.llm import jaccard
-from orderlens.llm.common import components
+from orderlens.llm.common import components, joined_components
 from orderlens.llm.jaccard import JoinParams
 
 
@@ -152,3 +152,17 @@ def test_components(spark, seed):
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert len(got) == len(want) and {r.node: r.root for r in got} == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_after_more_edges(spark, seed):
+    draw = random.Random(seed)
+    edges = [(draw.randrange(-20, 60), draw.randrange(-20, 60)) for _ in range(30)]
+    more = [(draw.randrange(-20, 80), draw.randrange(-20, 80)) for _ in range(25)]
+    first, second = (spark.createDataFrame(e, "a long, b long") for e in (edges, more))
+    loops = {a for a, b in more if a == b}
+    got = sorted(map(tuple, joined_components(components(first), second).collect()))
+    want = sorted(map(tuple, components(first.unionByName(second)).collect()))
+    assert [r for r in got if r[0] not in loops] == [r for r in want if r[0] not in loops]
+    nothing = spark.createDataFrame([], "a long, b long")
+    assert sorted(joined_components(components(first), nothing).collect()) == sorted(components(first).collect())
