@@ -27,13 +27,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from orderlens.llm.common import SMALL_ROWS, bounded_rows, mix64, one_in, text_parts, whole, words_of
+from orderlens.llm.common import SMALL_ROWS, bounded_rows, mix64, text_parts, whole, words_of
 
 
 @dataclass(frozen=True)
 class LeakParams:
     """``block_words``: half a passage. Words in more than ``stop_items`` items, ``stop_share`` of them and
-    ``stop_share`` of the corpus's blocks (of ``stop_rows`` rows drawn by hash) have no column; items of which less than
+    ``stop_share`` of the corpus's blocks have no column; items of which less than
     ``column_share`` have one are searched with columns for all words. Candidates have ``weight`` of an item's length along it. A document leaks an item if the common subsequence has ``copy_share``
     of its words, or ``paraphrase_share`` and ``answer_share`` of its ``answer_words`` rarest words are around."""
 
@@ -44,7 +44,6 @@ class LeakParams:
     weight: float = 0.3
     stop_share: float = 0.02
     stop_items: int = 3
-    stop_rows: int = 20_000
     column_share: float = 0.35
     copy_share: float = 0.75
     paraphrase_share: float = 0.5
@@ -196,8 +195,7 @@ def common_words(docs: DataFrame, sequences: list[Sequence], params: LeakParams)
                 total[size] += len(part.owner)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["value"])
 
-    some = docs.where(F.pmod(F.xxhash64(*docs.columns), F.lit(one_in(docs.count(), params.stop_rows))) == 0)
-    seen = _total(some.select("text").mapInArrow(count, "value binary"), size + 1)
+    seen = _total(docs.select("text").mapInArrow(count, "value binary"), size + 1)
     return shared[seen[:size] > params.stop_share * seen[size]]
 
 
@@ -253,9 +251,8 @@ def fit(docs: DataFrame, items: Items, params: LeakParams) -> Space:
                 for start in range(0, len(order), 8192):
                     some = order[start : start + 8192]
                     word = part.word[some]
-                    running = np.cumsum(both[part.block[some]], axis=0, dtype=np.float64)
-                    last = np.flatnonzero(np.append(word[1:] != word[:-1], True))
-                    total[word[last]] += np.diff(running[last], axis=0, prepend=0)
+                    fresh = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+                    total[word[fresh]] += np.add.reduceat(both[part.block[some]], fresh, axis=0, dtype=np.float64)
         value = np.concatenate([total.ravel(), seen, [passages_in_all]])
         yield pa.RecordBatch.from_arrays([pa.array([value.tobytes()], pa.binary())], names=["value"])
 

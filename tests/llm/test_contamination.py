@@ -145,3 +145,14 @@ def test_short_items_are_found_word_by_word(spark, planted):
     ]
     assert found(spark, docs, items + short) == {(1, 500), (1, 503), (3, 501), (3, 502)}
     assert found(spark, docs, short) == {(1, 500), (1, 503), (3, 501), (3, 502)}
+
+
+def test_common_words_are_counted_in_all_rows(spark):
+    """A word of most rows is common, also where no row that a hash of it would draw holds it."""
+    ids = spark.range(150_000).withColumnRenamed("id", "doc_id")
+    drawn = "pmod(xxhash64(doc_id, text), 6)"
+    held = ids.selectExpr("doc_id", "'quavenlo' as text").where(f"{drawn} IN (1, 5)")
+    rest = ids.selectExpr("doc_id", "'karetu' as text").where(f"{drawn} = 0")
+    items = contamination.sequences_of([(i, f"quavenlo item{i}") for i in range(8)])
+    shared = contamination.sequences_of([(0, "quavenlo")])[0][1]
+    assert contamination.common_words(held.unionByName(rest), items, LeakParams()).tolist() == shared.tolist()
