@@ -20,10 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from orderlens.llm.common import SMALL_ROWS, mix64, one_in, text_parts, whole
-from orderlens.session import staged
+from orderlens.session import drop, scratch_path, staged
 
 
 @dataclass(frozen=True)
@@ -339,7 +339,7 @@ def _window_repeats(rows: DataFrame, params: SuffixParams) -> DataFrame:
     return rows.mapInArrow(work, FOUND)
 
 
-def _hot_repeats(rows: DataFrame, params: SuffixParams) -> DataFrame:
+def _hot_repeats(rows: DataFrame, params: SuffixParams, home: str) -> DataFrame:
     """The same for tokens with very many rows: windows are combined before they meet, whatever their token."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,31 +359,45 @@ def _hot_repeats(rows: DataFrame, params: SuffixParams) -> DataFrame:
                 names=["first", "second", "doc", "key", "at"],
             )
 
-    windows = staged(rows.mapInArrow(explode, "first long, second long, doc long, key long, at long"), "hot-windows")
+    windows = _written(rows.mapInArrow(explode, "first long, second long, doc long, key long, at long"), f"{home}/windows")
     earliest = windows.groupBy("first", "second").agg(F.min("doc").alias("earliest"), F.max("doc").alias("latest"))
     gone = windows.join(earliest.where("earliest < latest").drop("latest"), ["first", "second"]).where("doc > earliest")
     return gone.select("doc", "key", F.col("at").alias("start"), (F.col("at") + params.length).alias("stop"))
 
 
-def repeated_ranges(docs: DataFrame, params: SuffixParams) -> DataFrame:
-    """``doc, key, start, stop``: byte ranges (they may overlap) that earlier documents hold. ``docs``: doc, key, text."""
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def repeated_ranges(docs: DataFrame, params: SuffixParams, home: str) -> DataFrame:
+    """``doc, key, start, stop``: byte ranges (they may overlap) that earlier documents hold. ``docs``: doc, key, text.
+
+    The result reads what is written under ``home``, which the caller may drop with it."""
     spark = docs.sparkSession
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = suffix_rows(docs, params, _splitters(docs, params, buckets))
-    found = staged(_bucket_repeats(rows.repartition("bucket"), params), "bucket-repeats")
+    found = _written(_bucket_repeats(rows.repartition("bucket"), params), f"{home}/found")
     tokens = found.where(F.col("token").isNotNull()).select("token").distinct()
-    opened = staged(_open_stretches(docs, params, tokens), "open-stretches")
+    opened = _written(_open_stretches(docs, params, tokens), f"{home}/opened")
     windows = F.sum(F.octet_length("content") - (params.length - 1))
     hot = opened.groupBy("token").agg(windows.alias("n")).where(F.col("n") > params.hot_token).select("token")
-    hot = staged(hot, "hot-tokens")
+    hot = _written(hot, f"{home}/hot")
     if hot.count() <= SMALL_ROWS:
         hot = F.broadcast(hot)
     near = _window_repeats(opened.join(hot, "token", "left_anti").repartition("token"), params)
-    far = _hot_repeats(opened.join(hot, "token", "left_semi"), params)
+    far = _hot_repeats(opened.join(hot, "token", "left_semi"), params, home)
     ranges = ["doc", "key", "start", "stop"]
     return found.where(F.col("token").isNull()).select(ranges).unionByName(near.select(ranges)).unionByName(far)
 
 
+def _text_key(plain: DataFrame) -> Column:
+    """What tells the texts of one id apart: their hash, or nothing if no id has several, as every suffix carries it."""
+    key = F.xxhash64("text")
+    several = plain.groupBy("doc").agg(F.min(key).alias("least"), F.max(key).alias("most")).where("least < most")
+    return key if several.take(1) else F.lit(0).cast("long")
+
+
 def without_repeats(
     docs: DataFrame, params: SuffixParams = SuffixParams(), id_col: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -394,17 +408,16 @@ def without_repeats(
     UTF-8, so ``kept`` may cut characters. Further columns of ``docs`` are not looked at.
     """
     least = F.lit(-(1 << 63)).cast("long")
-    plain = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), least).alias("doc"), F.xxhash64(whole(text)).alias("key"), whole(text).alias("text")
-    )
-    ranges = repeated_ranges(plain, params)
+    plain = docs.select(F.coalesce(F.col(id_col).cast("long"), least).alias("doc"), whole(text).alias("text"))
+    plain = plain.select("doc", _text_key(plain).alias("key"), "text")
+    home = scratch_path(docs.sparkSession, "suffixes")
+    ranges = repeated_ranges(plain, params, home)
     by_doc = staged(
         ranges.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "stop")).alias("ranges")), "removed-ranges"
     )
-    # A few ranges to a document. Joined in the executors' memory only if the number of documents allows it.
-    small = by_doc.agg(F.count("*").alias("n"), F.sum(F.size("ranges")).alias("m")).first()
-    side = F.broadcast(by_doc) if small["n"] <= SMALL_ROWS and (small["m"] or 0) <= 20 * SMALL_ROWS else by_doc
-    joined = plain.join(side, ["doc", "key"], "left").select("doc", "text", "ranges")
+    drop(docs.sparkSession, home)
+    # Ranges grow with the documents: joined by a shuffle at every size, so that it costs the same a GB.
+    joined = plain.join(by_doc.hint("merge"), ["doc", "key"], "left").select("doc", "text", "ranges")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))

@@ -7,6 +7,7 @@ import pytest
 
 from orderlens.llm import suffixes
 from orderlens.llm.suffixes import SuffixParams
+from orderlens.session import path_exists
 
 
 def brute(docs, length):
@@ -111,3 +112,17 @@ def test_one_letter_in_very_many_windows(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "COMPARED", 1 << 12)
     assert report(spark, docs, SuffixParams()) == want
     assert report(spark, docs, SuffixParams(hot_token=5000)) == want
+
+
+def test_hashes_of_texts_only_where_an_id_has_several(spark, monkeypatch):
+    """Every suffix carries them through the shuffle; what the steps wrote is gone when the result is there."""
+    seen, homes = [], []
+    key, path = suffixes._text_key, suffixes.scratch_path
+    monkeypatch.setattr(suffixes, "_text_key", lambda plain: seen.append(key(plain)) or seen[-1])
+    monkeypatch.setattr(suffixes, "scratch_path", lambda spark, name: homes.append(path(spark, name)) or homes[-1])
+    for docs in (documents(4), [*documents(4), (100, "b" * 200), (None, "a" * 90)]):
+        rows = spark.createDataFrame(docs, "doc_id long, text string")
+        suffixes.removal_report(rows, SuffixParams()).collect()
+    alone, several = (str(column) for column in seen)
+    assert "xxhash64" not in alone and "xxhash64" in several
+    assert len(homes) == 2 and not any(path_exists(spark, home) for home in homes)
