@@ -101,48 +101,49 @@ def lattice(vocabulary: Vocabulary, chunk: str) -> tuple[list[list[tuple[int, fl
 def best_and_gap(vocabulary: Vocabulary, chunk: str) -> tuple[tuple[int, ...], float, float]:
     """Ids and score of the best segmentation, and how much worse the next one is (infinity: there is none).
 
-    Any other segmentation has an arc that the best one lacks, and the best through an arc is known from the scores
-    before and behind it: one pass back over the arcs, without a search.
+    Every node keeps the scores of its two best ways, which are made of the two best ways to the nodes before: one pass
+    forward, without a search.
     """
     tree, longest, alone, size = vocabulary.tree, vocabulary.longest, vocabulary.ids, len(chunk)
-    best = [0.0] + [-np.inf] * size
-    came: list[tuple[int, int, tuple[int, ...] | None]] = [(0, 0, None)] * (size + 1)
-    arcs = []
+    best, next_best = [0.0] + [-np.inf] * size, [-np.inf] * (size + 1)
+    came, last = [0] * (size + 1), [0] * (size + 1)
     for start in range(size):
-        here, node, end = best[start], tree, start
+        here, below, node, end = best[start], next_best[start], tree, start
         for character in chunk[start : start + longest]:
             if character not in node:
                 break
-            node, number, score = node[character]
+            node, number, weight = node[character]
             end += 1
             if number is not None:
-                arcs.append((start, end, score))
-                score += here
-                # Of equal ways to a node, that by the smallest id: ties go by the ids as read from the end.
-                if score > best[end] or (score == best[end] and number < came[end][1]):
-                    best[end], came[end] = score, (start, number, None)
+                score = here + weight
+                if score > best[end]:
+                    other = below + weight
+                    next_best[end] = best[end] if best[end] > other else other
+                    best[end], came[end], last[end] = score, start, number
+                elif score == best[end]:
+                    next_best[end] = score
+                    # Of equal ways to a node, that by the smallest id: ties go by the ids as read from the end.
+                    if number < last[end]:
+                        came[end], last[end] = start, number
+                elif score > next_best[end]:
+                    next_best[end] = score
         if chunk[start] not in alone:
-            raw = tuple(vocabulary.bytes[b] for b in _literal(chunk[start]).encode("utf-8"))
-            arcs.append((start, start + 1, vocabulary.unknown))
-            score = here + vocabulary.unknown
-            if score > best[start + 1] or (score == best[start + 1] and raw[-1] < came[start + 1][1]):
-                best[start + 1], came[start + 1] = score, (start, raw[-1], raw)
-    at, ids, path = size, [], set()
+            end, score, other = start + 1, here + vocabulary.unknown, below + vocabulary.unknown
+            number = vocabulary.bytes[_literal(chunk[start]).encode("utf-8")[-1]]
+            if score > best[end] or (score == best[end] and number < last[end]):
+                next_best[end] = max(best[end], other)
+                best[end], came[end], last[end] = score, start, number
+            else:
+                next_best[end] = max(next_best[end], score)
+    at, ids = size, []
     while at:
-        start, number, raw = came[at]
-        ids += raw[::-1] if raw else (number,)
-        path.add((start, at))
+        start = came[at]
+        if start == at - 1 and chunk[start] not in alone:
+            ids += [vocabulary.bytes[b] for b in reversed(_literal(chunk[start]).encode("utf-8"))]
+        else:
+            ids.append(last[at])
         at = start
-    after = [-np.inf] * size + [0.0]
-    second = -np.inf
-    for start, end, score in reversed(arcs):
-        score += after[end]
-        if score > after[start]:
-            after[start] = score
-        score += best[start]
-        if score > second and (start, end) not in path:
-            second = score
-    return tuple(ids[::-1]), best[size], best[size] - second
+    return tuple(ids[::-1]), best[size], best[size] - next_best[size]
 
 
 def n_best(vocabulary: Vocabulary, chunk: str, n: int) -> list[tuple[float, tuple[int, ...]]]:

@@ -1,5 +1,6 @@
 """SentencePiece segmentation against all segmentations of short texts."""
 
+import copy
 import random
 import time
 from array import array
@@ -130,3 +131,15 @@ def test_a_long_word_takes_linear_time(vocabulary):
         return time.process_time() - began
 
     assert seconds(100_000) < 30 * seconds(10_000) + 1
+
+
+def test_gap_takes_no_second_pass(vocabulary, monkeypatch):
+    """The second best way is known at each node, so a chunk's arcs are neither kept nor walked again; ties of score stay ties."""
+    vocabulary = copy.copy(vocabulary)
+    number = vocabulary.ids["▁"]
+    tree = {"x": [{"x": [{}, number + 2, -2.0]}, number + 1, -1.0]}
+    monkeypatch.setattr(vocabulary, "tree", tree)
+    monkeypatch.setattr(vocabulary, "ids", {"x": number + 1, "xx": number + 2})
+    assert pieces.best_and_gap(vocabulary, "xx") == ((number + 1, number + 1), -2.0, 0.0)
+    assert pieces.best_and_gap(vocabulary, "x") == ((number + 1,), -1.0, float("inf"))
+    assert "arcs" not in pieces.best_and_gap.__code__.co_varnames
