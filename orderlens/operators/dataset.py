@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.config import DEFAULTS, Settings
@@ -26,11 +26,27 @@ def training_set_of_orders(tables: Mapping[str, DataFrame], settings: Settings =
     tables, so a model scoring the queue is trained on what it will be given. Late is what
     ``settings.late_grain`` says."""
     delivered = cleaning.filter_delivered(tables["orders"], settings).where(F.col(calendar.DELIVERED).isNotNull())
-    late = F.coalesce(calendar.is_late(settings.late_grain), F.lit(False)).cast("int")
-    sent = queue.payloads(delivered.withColumn(LABEL, late), tables, settings, keep=(LABEL,))
+    sent = queue.payloads(delivered.withColumn(LABEL, _late(settings)), tables, settings, keep=(LABEL,))
     return sent.select("order_id", *feature_columns(), LABEL)
 
 
+def labelled_payloads(tables: Mapping[str, DataFrame], settings: Settings = DEFAULTS) -> DataFrame:
+    """Payloads of all orders and the label, null for orders that ``training_set_of_orders`` leaves out. Stage it where both
+    payloads and training rows are needed: the joins behind them then run once."""
+    delivered = F.col("order_status").isin(*settings.statuses) & F.col(calendar.DELIVERED).isNotNull()
+    orders = tables["orders"].withColumn(LABEL, F.when(delivered, _late(settings)))
+    return queue.payloads(orders, tables, settings, keep=(LABEL,))
+
+
+def training_set_of_payloads(labelled: DataFrame) -> DataFrame:
+    """The rows of ``training_set_of_orders`` among ``labelled_payloads``."""
+    return labelled.where(F.col(LABEL).isNotNull()).select("order_id", *feature_columns(), LABEL)
+
+
+def _late(settings: Settings) -> Column:
+    return F.coalesce(calendar.is_late(settings.late_grain), F.lit(False)).cast("int")
+
+
 def with_split(rows: DataFrame, settings: Settings = DEFAULTS, key: str = "order_id") -> DataFrame:
     """Adds ``is_train``: exactly ``train_percent`` of each class, rounded down.
 

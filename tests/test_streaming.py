@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.operators import dataset, model, queue
+from orderlens.registry import queries as registered
 from orderlens.registry.inputs import SETTINGS
 from orderlens.registry.queries import QUICK
 from orderlens.sources import incremental, lake, landing
@@ -102,3 +103,17 @@ def test_a_new_checkpoint_replaces_no_scores(spark, silver, tmp_path):
         spark.createDataFrame([(f'{{"order_id": "{name}"}}',)], "value string").write.text(f"{tmp_path}/in{run}")
         stream_score(spark, f"{tmp_path}/in{run}", f"{tmp_path}/out", f"{tmp_path}/ck{run}", fitted).awaitTermination()
     assert sorted(r.order_id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == ["a", "b"]
+
+
+def test_payloads_and_training_rows_from_one_pass(spark, inputs, monkeypatch):
+    """The stream's query joins items once; rows and labels are those of the training set."""
+    labelled = dataset.labelled_payloads(inputs.tables, SETTINGS)
+    trained = dataset.training_set_of_payloads(labelled)
+    expected = dataset.training_set_of_orders(inputs.tables, SETTINGS)
+    assert trained.dtypes == expected.dtypes
+    assert sorted(map(tuple, trained.collect())) == sorted(map(tuple, expected.collect()))
+    assert labelled.count() == queue.payloads(inputs["orders"], inputs.tables, SETTINGS).count() > trained.count() > 0
+    calls, build = [], queue.payloads
+    monkeypatch.setattr(queue, "payloads", lambda *a, **b: calls.append(a) or build(*a, **b))
+    assert registered.callables()["t02_stream_score"](spark, inputs.folder).count() == 1
+    assert len(calls) == 1
