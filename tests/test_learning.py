@@ -249,3 +249,18 @@ def test_tuned_points_equal_separate_training(split):
         assert point.avg_recall == pytest.approx(sum(recalls) / 2)
     top = points.orderBy(F.desc("avg_recall")).first()
     assert best.stages[-1].getNumTrees in {int(r.maxIter) for r in points.collect() if r.avg_recall == top.avg_recall}
+
+
+def test_rows_to_learn_from_are_made_once(spark):
+    """The split reads its rows three times, what is behind them runs once."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    values = ", ".join(f"CAST(id % {i + 2} AS double) AS {name}" for i, name in enumerate(FEATURES))
+    rows = spark.sql(f"SELECT CAST(id AS string) AS order_id, {values}, CAST(id % 5 = 0 AS int) AS label FROM range(400)")
+    retraining.fit_and_judge(rows.mapInArrow(count, rows.schema), QUICK, SETTINGS)
+    assert made.value == 400
