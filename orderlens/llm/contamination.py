@@ -55,6 +55,22 @@ class LeakParams:
     seed: int = 7
 
 
+def places(vocabulary: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The place of each hash in an ascending vocabulary, -1 if it has none. The leading bits of a hash tell where to
+    begin; so few words share them that it is found in a step or two."""
+    if not len(vocabulary):
+        return np.full(len(hashes), -1, dtype=np.int32)
+    last = np.int32(len(vocabulary) - 1)
+    bits = (4 * len(vocabulary)).bit_length()
+    shift = np.uint64(64 - bits)
+    first = np.searchsorted(vocabulary >> shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+    at = np.minimum(first[(hashes >> shift).view(np.int64)], last)
+    for _ in range(int(np.diff(first).max()) - 1):
+        at += vocabulary[at] < hashes
+        np.minimum(at, last, out=at)
+    return np.where(vocabulary[at] == hashes, at, np.int32(-1))
+
+
 @dataclass
 class Passages:
     """Words of joined texts that are in the vocabulary, by block."""
@@ -72,10 +88,7 @@ class Passages:
     ) -> Passages:
         text, hashes, _ = words_of(offsets, raw)
         count = len(offsets) - 1
-        column = np.full(len(hashes), -1, dtype=np.int32)
-        if len(vocabulary):
-            at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
-            column = np.where(vocabulary[at] == hashes, at, -1).astype(np.int32)
+        column = places(vocabulary, hashes)
         words = np.bincount(text, minlength=count)
         text_start = np.concatenate([[0], np.cumsum(words)])
         blocks = -(-words // block_words)

@@ -156,3 +156,18 @@ def test_common_words_are_counted_in_all_rows(spark):
     items = contamination.sequences_of([(i, f"quavenlo item{i}") for i in range(8)])
     shared = contamination.sequences_of([(0, "quavenlo")])[0][1]
     assert contamination.common_words(held.unionByName(rest), items, LeakParams()).tolist() == shared.tolist()
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 5000])
+def test_places_are_those_of_a_search(size, monkeypatch):
+    rng = np.random.default_rng(size)
+    vocabulary = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+    ends = np.array([0, 1, (1 << 64) - 1], dtype=np.uint64)
+    if size > 2:  # many words that share their leading bits, and both ends of the range
+        vocabulary = np.unique(np.concatenate([vocabulary, vocabulary[7] + np.arange(50, dtype=np.uint64), ends]))
+    hashes = np.concatenate([vocabulary, vocabulary + np.uint64(1), vocabulary - np.uint64(1), ends, rng.integers(0, 1 << 64, 9000, dtype=np.uint64)])
+    wanted = {h: n for n, h in enumerate(vocabulary.tolist())}
+    searched, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *rest: searched.append(v) or search(a, v, *rest))
+    assert contamination.places(vocabulary, hashes).tolist() == [wanted.get(h, -1) for h in hashes.tolist()]
+    assert not any(v is hashes for v in searched)
