@@ -23,7 +23,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderlens.llm.common import whole
+from orderlens.llm.common import no_cycle_search, whole
 
 #: SentencePiece writes a space as this character. One that stands in a text goes to byte pieces.
 SPACE = "▁"
@@ -58,6 +58,7 @@ class Vocabulary:
         # Pieces character by character: what follows a character, and id and score of the piece that ends there, or None.
         self.tree: dict[str, list] = {}
         self.longest = max(map(len, self.ids))
+        self.single = frozenset(piece for piece in self.ids if len(piece) == 1)
         for piece, i in self.ids.items():
             node = self.tree
             for character in piece:
@@ -104,7 +105,8 @@ def best_and_gap(vocabulary: Vocabulary, chunk: str) -> tuple[tuple[int, ...], f
     Every node keeps the scores of its two best ways, which are made of the two best ways to the nodes before: one pass
     forward, without a search.
     """
-    tree, longest, alone, size = vocabulary.tree, vocabulary.longest, vocabulary.ids, len(chunk)
+    tree, longest, alone, size = vocabulary.tree, vocabulary.longest, vocabulary.single, len(chunk)
+    strange = not alone.issuperset(chunk)
     best, next_best = [0.0] + [-np.inf] * size, [-np.inf] * (size + 1)
     came, last = [0] * (size + 1), [0] * (size + 1)
     for start in range(size):
@@ -127,7 +129,7 @@ def best_and_gap(vocabulary: Vocabulary, chunk: str) -> tuple[tuple[int, ...], f
                         came[end], last[end] = start, number
                 elif score > next_best[end]:
                     next_best[end] = score
-        if chunk[start] not in alone:
+        if strange and chunk[start] not in alone:
             end, score, other = start + 1, here + vocabulary.unknown, below + vocabulary.unknown
             number = vocabulary.bytes[_literal(chunk[start]).encode("utf-8")[-1]]
             if score > best[end] or (score == best[end] and number < last[end]):
@@ -138,7 +140,7 @@ def best_and_gap(vocabulary: Vocabulary, chunk: str) -> tuple[tuple[int, ...], f
     at, ids = size, []
     while at:
         start = came[at]
-        if start == at - 1 and chunk[start] not in alone:
+        if strange and start == at - 1 and chunk[start] not in alone:
             ids += [vocabulary.bytes[b] for b in reversed(_literal(chunk[start]).encode("utf-8"))]
         else:
             ids.append(last[at])
@@ -236,11 +238,11 @@ class Encoder:
         entries = list(map(self.young.get, chunks))
         if None in entries:
             entries = [self._entry(chunk) if entry is None else entry for chunk, entry in zip(chunks, entries, strict=True)]
-        ids = [entry[0] for entry in entries]
-        total = math.fsum([entry[1] for entry in entries])
+        ids, scores, gaps = zip(*entries, strict=True)
+        total = math.fsum(scores)
         ranked: list = [(total, [])]
         if self.n > 1:
-            worse = np.array([entry[2] for entry in entries])
+            worse = np.fromiter(gaps, float, len(gaps))
             few = min(self.n - 1, len(worse))
             # The n - 1 best single changes are in chunks whose first change is at most this bad.
             bound = np.partition(worse, few - 1)[few - 1]
@@ -262,6 +264,11 @@ class Encoder:
                 ranked.append((total - cost, edits))
         return b"".join(ids), ranked
 
+    @no_cycle_search()
+    def encode_all(self, texts: list[str]) -> list[tuple[bytes, list]]:
+        """``encode`` of each text."""
+        return [self.encode(text) for text in texts]
+
 
 def _chunk_pattern(vocabulary: Vocabulary) -> re.Pattern:
     """Cuts a text, spaces as SPACE, into chunks that no piece reaches across.
@@ -354,8 +361,7 @@ def segment(docs: DataFrame, model: bytes, n: int = 4, id_col: str = "doc_id", t
                     chars += len(values[-1])
                     taken += 1
                 ids, ranked, same = [], [], []
-                for value in values:
-                    raw, best = encoder.encode(value)
+                for value, (raw, best) in zip(values, encoder.encode_all(values), strict=True):
                     ids.append(raw)
                     same.append(decode(encoder.vocabulary, array("i", raw)) == value)
                     ranked.append(

@@ -1,6 +1,7 @@
 """SentencePiece segmentation against all segmentations of short texts."""
 
 import copy
+import gc
 import random
 import time
 from array import array
@@ -143,3 +144,12 @@ def test_gap_takes_no_second_pass(vocabulary, monkeypatch):
     assert pieces.best_and_gap(vocabulary, "xx") == ((number + 1, number + 1), -2.0, 0.0)
     assert pieces.best_and_gap(vocabulary, "x") == ((number + 1,), -1.0, float("inf"))
     assert "arcs" not in pieces.best_and_gap.__code__.co_varnames
+
+
+def test_no_search_for_cycles_while_texts_are_encoded(vocabulary):
+    encoder, texts = pieces.Encoder(vocabulary, 4), ["some words", "", "öde ▁ x \U0001f600"]
+    alone, seen = [encoder.encode(text) for text in texts], []
+    encode = encoder.encode
+    encoder.encode = lambda text: seen.append(gc.isenabled()) or encode(text)
+    assert encoder.encode_all(texts) == alone
+    assert seen == [False] * 3 and gc.isenabled()
