@@ -21,6 +21,8 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain, filterfalse
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from orderlens.llm.common import text_parts, whole
+from orderlens.llm.common import no_cycle_search, text_parts, whole
 from orderlens.session import staged
 
 #: SentencePiece writes a space as this character.
@@ -109,19 +111,19 @@ class Tokenizers:
         own = text.encode("utf-8")
         first = self.a.encode(text, add_special_tokens=False)
         pieces = self.b.encode(text[1:], num_threads=1, return_type="proto").pieces
-        a, b = first.ids, [piece.id for piece in pieces]
+        a, b = first.ids, list(map(attrgetter("id"), pieces))
         if b"".join(map(self.a_bytes.__getitem__, a)) != own or b"".join(map(self.b_bytes.__getitem__, b)) != own:
             return None
-        spans = np.array(first.offsets, dtype=np.int64).reshape(-1, 2)
+        spans = np.fromiter(chain.from_iterable(first.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
         if len(own) != len(text):
             raw = np.frombuffer(own, dtype=np.uint8)
             spans = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(own))[spans]
         a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
         a_ends = byte_ends(spans[:, 0], spans[:, 1], self.a_lengths[a])
         # SentencePiece counts from the text without the space it puts before it.
-        begins = np.array([piece.begin for piece in pieces], dtype=np.int64) + 1
+        begins, ends = (np.fromiter(map(attrgetter(n), pieces), np.int64, len(b)) + 1 for n in ("begin", "end"))
         begins[:1] = 0
-        b_ends = byte_ends(begins, np.array([piece.end for piece in pieces], dtype=np.int64) + 1, self.b_lengths[b])
+        b_ends = byte_ends(begins, ends, self.b_lengths[b])
         return a, a_ends, b, b_ends
 
 
@@ -177,15 +179,15 @@ class Aligner:
         self.bytes += sum(map(len, chunks))
         self.links, self.sizes = np.concatenate(self.links_new), np.concatenate(self.sizes_new)
 
+    @no_cycle_search()
     def align(self, texts: list[str]) -> dict:
         """Tokens, groups and links of each text; the distinct pairs of all of them."""
         if len(self.known) > CACHE_CHUNKS or self.bytes > CACHE_BYTES:
             self.clear()
         cut = CUT.split if self.tokenizers.by_chunks else lambda text: [text]
         chunks = [cut(" " + text) if text else [] for text in texts]
-        new = list(dict.fromkeys(c for own in chunks for c in own if c not in self.known))
-        self.learn(new)
-        of = [[self.known[c] for c in own] for own in chunks]
+        self.learn(list(dict.fromkeys(filterfalse(self.known.__contains__, chain.from_iterable(chunks)))))
+        of = [list(map(self.known.__getitem__, own)) for own in chunks]
         # Bytes are the whole text's: what one chunk loses another could in principle add.
         lost = [n for n, own in enumerate(of) if -1 in own]
         if lost and self.tokenizers.by_chunks:
@@ -194,7 +196,7 @@ class Aligner:
         of = [[] if -1 in own else own for own in of]
 
         counts = np.array([len(own) for own in of], dtype=np.int64)
-        flat = np.array([i for own in of for i in own], dtype=np.int64)
+        flat = np.fromiter(chain.from_iterable(of), np.int64, int(counts.sum()))
         row = np.repeat(np.arange(len(of)), counts)
         sizes = self.sizes[flat]
         ends = np.cumsum(self.sizes[:, 3])

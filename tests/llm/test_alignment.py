@@ -1,5 +1,6 @@
 """Alignment of two tokenizers, against whole texts tokenized one by one."""
 
+import gc
 import hashlib
 from collections import Counter
 
@@ -116,3 +117,11 @@ def test_refined_ranges():
     assert alignment.byte_ends(np.array([0, 0, 0]), np.array([0, 0, 3]), np.array([1, 1, 1])).tolist() == [1, 2, 3]
     first, second, shared = alignment.overlaps(np.array([1, 3, 4, 5]), np.array([1, 4, 5]))
     assert list(zip(first, second, shared)) == [(0, 0, 1), (1, 1, 3), (2, 1, 4), (3, 2, 5)]
+
+
+def test_no_search_for_cycles_while_texts_are_aligned(files, monkeypatch):
+    aligner, seen = alignment.Aligner(alignment.Tokenizers(*files)), []
+    learn = aligner.learn
+    monkeypatch.setattr(aligner, "learn", lambda chunks: seen.append(gc.isenabled()) or learn(chunks))
+    assert aligner.align(["some words", "", "some more"])["n_links"][1] == 0
+    assert seen == [False] and gc.isenabled()
