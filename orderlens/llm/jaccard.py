@@ -33,12 +33,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from orderlens.llm.common import SMALL_ROWS, components, joined_components, mix64, text_parts, whole, words_of
-from orderlens.session import staged
+from orderlens.session import drop, shuffles_dropped, staged, staged_at
 
 
 @dataclass(frozen=True)
 class JoinParams:
-    """``percent`` is the similarity; ``common_from`` how many sets must hold a shingle for it to come
+    """``percent`` is the similarity; ``common_from`` about how many sets must hold a shingle for it to come
     last in the order; ``most_common`` bounds the number of such shingles, which every task gets (8 bytes
     each): with more, the number of sets asked for rises. Neither changes a result."""
 
@@ -126,48 +126,61 @@ def _each(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.Ar
             yield batch.column(0).slice(first, last - first), Sets(offsets, raw, words)
 
 
+def _counted_sets(params: JoinParams) -> int:
+    """Shingles are counted over one set in so many, known by its signature: one of ``common_from`` sets is met about
+    four times, however many documents there are."""
+    return max(1, params.common_from // 4)
+
+
 def signatures(docs: DataFrame, params: JoinParams) -> DataFrame:
-    """``doc_id, n_shingles, signature, second, shared``; ``shared``: shingles several sets of a block hold."""
+    """``doc_id, n_shingles, signature, second, shingles``; ``shingles``: the set, where it is to be counted (see
+    ``_counted_sets``), once in a block."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share = np.uint64(_counted_sets(params))
         for ids, sets in _each(batches, params.words):
-            # Copies in the block count once.
-            _, first = np.unique(sets.signature, return_index=True)
-            one = np.isin(sets.owner, first)
-            tokens, counts = np.unique(sets.values[one], return_counts=True)
-            shared = [None] * len(ids)
-            if len(ids):
-                again = counts > 1
-                shared[0] = [
-                    {"token": t, "n": n} for t, n in zip(tokens[again].view(np.int64).tolist(), counts[again].tolist(), strict=True)
-                ]
+            once = np.zeros(len(ids), dtype=bool)
+            once[np.unique(sets.signature, return_index=True)[1]] = True
+            counted = once & (sets.sizes > 0) & (sets.signature.view(np.uint64) % share == 0)
+            ends = np.concatenate([[0], np.cumsum(np.where(counted, sets.sizes, 0))]).astype(np.int32)
+            flat = sets.values[counted[sets.owner]].view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     ids,
                     pa.array(sets.sizes, pa.int64()),
                     pa.array(sets.signature),
                     pa.array(sets.second),
-                    pa.array(shared, pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int64())]))),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                 ],
-                names=["doc_id", "n_shingles", "signature", "second", "shared"],
+                names=["doc_id", "n_shingles", "signature", "second", "shingles"],
             )
 
-    return docs.mapInArrow(
-        work, "doc_id long, n_shingles long, signature long, second long, shared array<struct<token: long, n: long>>"
-    )
+    return docs.mapInArrow(work, "doc_id long, n_shingles long, signature long, second long, shingles array<long>")
 
 
 def _common_shingles(light: DataFrame, params: JoinParams) -> tuple[np.ndarray, float]:
-    """Shingles of at least ``common_from`` sets (sorted), and the mean length of a list of first shingles."""
-    counts = staged(
-        light.select(F.explode("shared").alias("s")).groupBy("s.token").agg(F.sum("s.n").alias("n")), "shared-shingles"
-    )
-    total = light.agg(F.sum("n_shingles").alias("n")).first()["n"] or 0
-    least = max(params.common_from, -(-total // params.most_common))
+    """Shingles of about ``common_from`` sets or more (sorted), and the mean length of a list of first shingles.
+
+    The order they are put in is all that the counted sets decide: any order gives the same links. Which number of
+    sets makes a shingle common depends on how many shingles have it, not on the size of the input.
+    """
+    share = _counted_sets(params)
+    counted = light.where(F.size("shingles") > 0).select("signature", "shingles").dropDuplicates(["signature"])
+    found = counted.select(F.explode("shingles").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    counts = staged(found.where("n > 1"), "shared-shingles")
+    by_count = sorted(map(tuple, counts.groupBy("n").agg(F.count("*").alias("tokens")).collect()), reverse=True)
+    least, taken = -(-params.common_from // share), 0
+    for n, tokens in by_count:
+        taken += tokens
+        if taken > params.most_common:
+            least = max(least, n + 1)
+            break
     common = counts.where(F.col("n") >= least).select("token").toArrow()
-    rest = counts.where(F.col("n") < least).agg(F.sum("n").alias("n")).first()["n"] or 0
+    total = counted.agg(F.sum(F.size("shingles")).alias("n")).first()["n"] or 0
+    # For each shingle of a counted set, the other sets that hold it.
+    others = share * sum(tokens * n * (n - 1) for n, tokens in by_count if n < least)
     found = np.asarray(common.column("token").combine_chunks(), dtype=np.int64) if common.num_rows else np.zeros(0, np.int64)
-    return np.sort(found.view(np.uint64)), rest / max(1, total)
+    return np.sort(found.view(np.uint64)), others / max(1, total)
 
 
 def entries(docs: DataFrame, params: JoinParams, common: np.ndarray, small: int, on_common: bool) -> DataFrame:
@@ -369,8 +382,8 @@ def shingle_sets(docs: DataFrame, params: JoinParams) -> DataFrame:
     return docs.mapInArrow(work, "signature long, shingles array<long>")
 
 
-def _sets_of(wanted: DataFrame, docs: DataFrame, light: DataFrame, params: JoinParams) -> DataFrame:
-    """``signature, shingles`` of the distinct signatures ``wanted``, written once."""
+def _sets_of(wanted: DataFrame, docs: DataFrame, light: DataFrame, params: JoinParams) -> tuple[DataFrame, str]:
+    """``signature, shingles`` of the distinct signatures ``wanted``, written once, and the path to be dropped."""
     holders = staged(
         light.join(wanted, "signature", "left_semi").groupBy("signature").agg(F.min("doc_id").alias("doc_id")), "holders"
     )
@@ -381,7 +394,7 @@ def _sets_of(wanted: DataFrame, docs: DataFrame, light: DataFrame, params: JoinP
     if holders.where(F.col("doc_id").isNull()).limit(1).count():  # sets that only rows without an id hold
         texts = texts.unionByName(docs.where(F.col("doc_id").isNull()).select("doc_id", "text"))
     sets = shingle_sets(texts, params).join(wanted, "signature", "left_semi")
-    return staged(sets.dropDuplicates(["signature"]), "sets")
+    return staged_at(sets.dropDuplicates(["signature"]), "sets")
 
 
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -422,7 +435,7 @@ def _long_list_roots(rows: DataFrame, docs: DataFrame, light: DataFrame, links:
     rows = staged(some.distinct(), "long-lists")
     if not rows.limit(1).count():
         return components(links)
-    sets = _sets_of(rows.select("signature").distinct(), docs, light, params)
+    sets, path = _sets_of(rows.select("signature").distinct(), docs, light, params)
     lists = rows.groupBy("signature").agg(F.count("*").alias("lists"))
     central = F.max(F.struct("lists", "signature", "n")).alias("c")  # combined before the shuffle
     centres = rows.join(lists, "signature").groupBy("token").agg(central).select("token", "c.signature", "c.n")
@@ -459,6 +472,7 @@ def _long_list_roots(rows: DataFrame, docs: DataFrame, light: DataFrame, links:
             continue
         tried = tried.unionByName(pairs)
         roots = joined_components(roots, _similar(_measured(pairs, sets), params))
+    drop(docs.sparkSession, path)
     return roots
 
 
@@ -486,9 +500,21 @@ def near_duplicates(
     equal sets, repeated rows among them, are linked; a null id is never the smallest while there is another.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text).alias("text"))
+    with shuffles_dropped(docs.sparkSession):
+        light, roots = _linked(docs, params)
+    rooted = _with_roots(light.where("n_shingles > 0"), roots)
+    # The smallest id of each group; combined before the shuffle, however many copies a group has.
+    names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    grouped = rooted.join(names, "root").select("doc_id", "n_shingles", "component_id")
+    alone = light.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return grouped.unionByName(alone)
+
+
+def _linked(docs: DataFrame, params: JoinParams) -> tuple[DataFrame, DataFrame]:
+    """The signatures of ``docs`` and ``node, root`` of the linked ones, both written."""
     light = staged(signatures(docs, params), "signatures")
     common, list_length = _common_shingles(light, params)
-    light = light.drop("shared")
+    light = light.drop("shingles")
     clash = light.where("n_shingles > 0").groupBy("signature").agg(F.count_distinct("n_shingles", "second").alias("n"))
     if clash.where("n > 1").limit(1).count():
         raise RuntimeError("two sets share a signature")
@@ -505,7 +531,9 @@ def near_duplicates(
     )
     candidates = staged(_could_link(paired.where(F.col("long_token").isNull()), params), "candidates")
     wanted = candidates.select(F.explode(F.array("a", "b")).alias("signature")).distinct()
-    links = staged(_similar(_measured(candidates, _sets_of(wanted, docs, light, params)), params), "links")
+    sets, path = _sets_of(wanted, docs, light, params)
+    links = staged(_similar(_measured(candidates, sets), params), "links")
+    drop(docs.sparkSession, path)
     n, place = F.col("n").cast("long").alias("n"), F.col("place").cast("long")
     rows = paired.where(F.col("long_token").isNotNull()).select(
         F.col("long_token").alias("token"), F.col("a").alias("signature"), F.col("na").alias("n"), F.col("place_a").alias("place")
@@ -515,10 +543,4 @@ def near_duplicates(
         more = entries(docs, params, common, small, on_common=True)
         before = (place - F.col("early")).alias("before")
         rows = rows.unionByName(more.select("token", "signature", n, before, (n - place).alias("behind")))
-    roots = _long_list_roots(rows, docs, light, links, params)
-    rooted = _with_roots(light.where("n_shingles > 0"), roots)
-    # The smallest id of each group; combined before the shuffle, however many copies a group has.
-    names = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    grouped = rooted.join(names, "root").select("doc_id", "n_shingles", "component_id")
-    alone = light.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return grouped.unionByName(alone)
+    return light, _long_list_roots(rows, docs, light, links, params)

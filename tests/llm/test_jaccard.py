@@ -1,5 +1,6 @@
 """Set-similarity components against a comparison of all pairs."""
 
+import os
 import random
 import re
 
@@ -8,6 +9,7 @@ import pytest
 from orderlens.llm import jaccard
 from orderlens.llm.common import components, joined_components
 from orderlens.llm.jaccard import JoinParams
+from orderlens.session import scratch_home
 
 
 def shingles(text, words=5):
@@ -166,3 +168,28 @@ def test_components_after_more_edges(spark, seed):
     assert [r for r in got if r[0] not in loops] == [r for r in want if r[0] not in loops]
     nothing = spark.createDataFrame([], "a long, b long")
     assert sorted(joined_components(components(first), nothing).collect()) == sorted(components(first).collect())
+
+
+def test_common_shingles_are_known_at_any_size(spark):
+    # The bound on their number is far above the number there is: a larger input alone must not raise the count asked for.
+    shared = "one line that every eighth text of these holds"
+    docs = [(i, " ".join(f"w{i}x{j}" for j in range(60)) + (f" {shared}" if i % 8 == 0 else "")) for i in range(160)]
+    params = JoinParams(common_from=8, most_common=100)
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    light = jaccard.signatures(table, params)
+    common, _ = jaccard._common_shingles(light, params)
+    assert len(common) == len(shingles(shared))
+    # Of more than the bound the most frequent stay.
+    few = JoinParams(common_from=8, most_common=3)
+    assert len(jaccard._common_shingles(light, few)[0]) <= 3
+    # Equal sets count once, however many blocks they stand in.
+    again = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(60))) for i in range(64)], "doc_id long, text string")
+    assert len(jaccard._common_shingles(jaccard.signatures(again.repartition(32), params), params)[0]) == 0
+
+
+def test_fetched_sets_do_not_stay(spark):
+    home = scratch_home(spark).removeprefix("file:")
+    before = set(os.listdir(home)) if os.path.isdir(home) else set()
+    line = " ".join(f"w{j}" for j in range(60))
+    assert {r[2] for r in found(spark, [(i, f"{line} end{i}") for i in range(4)])} == {0}
+    assert not [name for name in set(os.listdir(home)) - before if name.startswith("sets-")]
