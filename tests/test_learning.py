@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from orderlens.config import DEFAULTS, FEATURES
 from orderlens.operators import blocks, dataset, evaluation, model, queue, rounds
 from orderlens.plans import retraining
+from orderlens.registry import queries
 from orderlens.registry.inputs import SETTINGS
 from orderlens.registry.queries import QUICK
 from orderlens.session import staged
@@ -264,3 +265,20 @@ def test_rows_to_learn_from_are_made_once(spark):
     rows = spark.sql(f"SELECT CAST(id AS string) AS order_id, {values}, CAST(id % 5 = 0 AS int) AS label FROM range(400)")
     retraining.fit_and_judge(rows.mapInArrow(count, rows.schema), QUICK, SETTINGS)
     assert made.value == 400
+
+
+def test_production_presets_in_the_queries(spark, inputs, monkeypatch):
+    # The queries ask for all trees and the whole grid; the models themselves would take hours here.
+    asked = []
+
+    def stop(*given, **named):
+        asked.append((given, named))
+        raise InterruptedError
+
+    monkeypatch.setattr(queries.retraining, "monthly_job", stop)
+    monkeypatch.setattr(queries.model, "tune", stop)
+    for name in ("d06_monthly_job", "m07_grid_of_27_points"):
+        with pytest.raises(InterruptedError):
+            queries.QUERIES[name](inputs)
+    assert asked[0][0][2] == model.MONTHLY and asked[0][0][2].class_weight == "balanced"
+    assert asked[1][0][2] == model.GRID
